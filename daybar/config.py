@@ -29,6 +29,8 @@ class SourceColumns:
     min_price: str = "MinPrice"
     max_price: str = "MaxPrice"
     traded_volume: str = "TradedVolume"
+    double_columns: tuple[str, ...] = ("StartPrice", "EndPrice", "MinPrice", "MaxPrice")
+    long_columns: tuple[str, ...] = ("TradedVolume",)
 
 
 @dataclass(frozen=True)

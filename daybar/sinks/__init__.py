@@ -1,0 +1,5 @@
+"""Report sinks."""
+
+from daybar.sinks.publish import check_format, publish, target_name, write_csv, write_parquet
+
+__all__ = ["check_format", "publish", "target_name", "write_csv", "write_parquet"]
