@@ -87,7 +87,7 @@ def read_since(spark: SparkSession, base: str, cutoff: str, src: SourceColumns =
     if raw is None:
         return empty_ticks(spark, src)
     key = relative_key(F.col("_metadata.file_path"), qualified(spark, base))
-    day = F.try_to_date(first_path_segment(key), F.lit("yyyy-MM-dd"))
+    day = F.try_to_date(first_path_segment(key), "yyyy-MM-dd")
     return cast_ticks(raw.where(day >= F.to_date(F.lit(cutoff))), src)
 
 
