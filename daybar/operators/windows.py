@@ -29,7 +29,15 @@ def frame_lag(df: DataFrame, order: str, values: list[str], suffix: str = "_prev
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.unix_date(_q(order)) if dict(df.dtypes)[order] == "date" else _q(order)
+    kind = dict(df.dtypes)[order]
+    if kind == "date":
+        key = F.unix_date(_q(order))
+    elif kind == "string":  # ISO day text, as in the report's Date column
+        key = F.unix_date(F.to_date(_q(order)))
+    elif kind.startswith("timestamp"):
+        key = F.unix_micros(_q(order).cast("timestamp"))
+    else:
+        key = _q(order)
     keyed = df.withColumn("__k", key.cast("double"))
     probs = [i / n for i in range(1, n)]
     bounds = sorted(set(b for b in keyed.approxQuantile("__k", probs, 0.0) if b is not None))
