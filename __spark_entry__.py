@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybar.config import JobConfig
+from daybar.config import JobConfig, SourceColumns
 from daybar.functions import dates as D
 from daybar.functions.numeric import round_double_columns, round_dp
 from daybar.operators import (
@@ -27,7 +27,7 @@ from daybar.sources import (
     cast_ticks, list_objects, load_ticks, read_csv, read_days, read_since, union_by_name,
     write_day_tree,
 )
-from daybar.sources.adapters import table
+from daybar.sources.adapters import source_columns, table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -46,8 +46,9 @@ def _ticks(spark, sf_dir, kind="events"):
     return load_ticks(spark, sf_dir, kind)
 
 
-def _bars(spark, sf_dir, kind):
-    return daily_bars(select_ticks(_ticks(spark, sf_dir, kind)))
+def _bars(spark, sf_dir, kind, src=None):
+    src = src or source_columns(kind)
+    return daily_bars(select_ticks(_ticks(spark, sf_dir, kind), src), src)
 
 
 def _tree(spark, sf_dir, layout="prefix"):
@@ -66,7 +67,7 @@ def q_report1_close_change(spark, sf_dir):
 
 
 def q_report1_lineitem(spark, sf_dir):
-    return daily_report(_ticks(spark, sf_dir, "lineitem"), cutoff="1996-01-01")
+    return daily_report(_ticks(spark, sf_dir, "lineitem"), source_columns("lineitem"), cutoff="1996-01-01")
 
 
 def q_report1_ties(spark, sf_dir):
@@ -85,6 +86,11 @@ def q_daily_bars_ties(spark, sf_dir):
     return _bars(spark, sf_dir, "events_hourly")
 
 
+def q_daily_bars_ties_text(spark, sf_dir):
+    # Same bars with the time compared as text (struct ordering, any Time format).
+    return _bars(spark, sf_dir, "events_hourly", SourceColumns(time_order="text"))
+
+
 def q_open_per_tick(spark, sf_dir):
     return open_per_tick(_ticks(spark, sf_dir))
 
@@ -234,6 +240,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_bars": q_daily_bars,
         "daily_bars_lineitem": q_daily_bars_lineitem,
         "daily_bars_ties": q_daily_bars_ties,
+        "daily_bars_ties_text": q_daily_bars_ties_text,
         "open_per_tick": q_open_per_tick,
         "prev_open": q_prev_open,
         "day_lag": q_day_lag,
@@ -322,6 +329,7 @@ def oracle_sql() -> dict[str, str]:
         "daily_bars": _BARS.format(ticks=_EV),
         "daily_bars_lineitem": _BARS.format(ticks=_LI),
         "daily_bars_ties": _BARS.format(ticks=_EV_HOURLY),
+        "daily_bars_ties_text": _BARS.format(ticks=_EV_HOURLY),
         "open_per_tick": f"""select t.*, first("StartPrice" order by "Time", "StartPrice")
                                  over (partition by "ISIN", "Date") as opening_price_eur from ({_EV}) t""",
         "prev_open": f"""select *, lag(opening_price_eur) over (partition by "ISIN" order by "Date") as prev_open

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybar.config import ReportColumns, SourceColumns
+from daybar.functions.ordering import clock_micros, tick_order_key
 
 
 def _q(name: str) -> Column:
@@ -13,19 +14,36 @@ def _q(name: str) -> Column:
 
 
 def _tick(src: SourceColumns) -> Column:
-    # Ordering key for first/last: time first, price breaks ties, so the
-    # result never depends on the order rows happen to arrive in.
+    # Ordering for first/last: time first, price breaks ties, so the result
+    # never depends on the order rows happen to arrive in.
     return F.struct(_q(src.time).alias("t"), _q(src.start_price).alias("p"))
 
 
+def _tick_key(src: SourceColumns) -> Column | None:
+    """Numeric form of the same ordering (None for plain text order)."""
+    if src.time_order == "text":
+        return None
+    if src.time_order == "clock":
+        t = clock_micros(_q(src.time))
+    else:
+        t = F.expr(src.time_order).cast("long")
+    return tick_order_key(t, _q(src.start_price))
+
+
 def first_price(src: SourceColumns) -> Column:
     """StartPrice of the day's earliest tick (aggregate expression)."""
-    return F.min(_tick(src)).getField("p")
+    key = _tick_key(src)
+    if key is None:
+        return F.min(_tick(src)).getField("p")
+    return F.min_by(_q(src.start_price), key)
 
 
 def last_price(src: SourceColumns) -> Column:
     """StartPrice of the day's latest tick (the reference's "closing price")."""
-    return F.max(_tick(src)).getField("p")
+    key = _tick_key(src)
+    if key is None:
+        return F.max(_tick(src)).getField("p")
+    return F.max_by(_q(src.start_price), key)
 
 
 def daily_bars(ticks: DataFrame, src: SourceColumns = SourceColumns(),

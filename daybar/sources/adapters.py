@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybar.config import SourceColumns
+
 TICK_COLUMNS = ("ISIN", "Mnemonic", "Date", "Time", "StartPrice",
                 "EndPrice", "MinPrice", "MaxPrice", "TradedVolume")
 
@@ -58,3 +60,14 @@ def load_ticks(spark: SparkSession, sf_dir: str, kind: str = "events") -> DataFr
     if kind == "lineitem":
         return lineitem_ticks(table(spark, sf_dir, "lineitem"))
     raise ValueError(f"unknown tick adapter {kind!r}")
+
+
+# lineitem's Time is 12 + 3 zero-padded digits: as a number it sorts like the text.
+LINEITEM_TIME_ORDER = "cast(replace(Time, '.', '') as bigint)"
+
+
+def source_columns(kind: str = "events") -> SourceColumns:
+    """Column settings for an adapter's ticks."""
+    if kind == "lineitem":
+        return SourceColumns(time_order=LINEITEM_TIME_ORDER)
+    return SourceColumns()

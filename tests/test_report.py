@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from daybar.config import SourceColumns
 from daybar.functions.numeric import round_dp
 from daybar.operators import daily_bars, daily_report, frame_lag, open_per_tick
 from tests.fixtures import F1, F2, F2_CLOSE_CHANGE, REPORT_COLUMNS, TICK_DDL
@@ -65,14 +66,34 @@ def test_missing_values_drop_the_whole_tick(spark):
     assert _rows(daily_report(_ticks(spark, rows), cutoff="2021-04-17")) == F2
 
 
-def test_ties_on_time_are_broken_by_price(spark):
+@pytest.mark.parametrize("order", ["clock", "text"])
+def test_ties_on_time_are_broken_by_price(spark, order):
     rows = [("T", "N", "2021-01-01", "09:00", 3.0, 1.0, 1.0, 9.0, 1),
+            ("T", "N", "2021-01-01", "09:00", -2.0, 1.0, 1.0, 9.0, 1),
             ("T", "N", "2021-01-01", "09:00", 2.0, 1.0, 1.0, 9.0, 1),
             ("T", "N", "2021-01-01", "10:00", 7.0, 1.0, 1.0, 9.0, 1),
-            ("T", "N", "2021-01-01", "10:00", 8.0, 1.0, 1.0, 9.0, 1)]
+            ("T", "N", "2021-01-01", "10:00", 8.0, 1.0, 1.0, 9.0, 1),
+            ("T", "N", "2021-01-01", "10:00", 7.5, 1.0, 1.0, 9.0, 1)]
+    src = SourceColumns(time_order=order)
     for parts in (1, 3):
-        r = _rows(daily_bars(_ticks(spark, rows).repartition(parts)))[0]
-        assert (r[2], r[3]) == (2.0, 8.0)
+        r = _rows(daily_bars(_ticks(spark, rows).repartition(parts), src))[0]
+        assert (r[2], r[3]) == (-2.0, 8.0)
+
+
+@pytest.mark.parametrize("order", ["clock", "text"])
+def test_both_orderings_give_the_golden_report(spark, order):
+    out = daily_report(_ticks(spark, F1[1:]), SourceColumns(time_order=order), cutoff="2021-04-17")
+    assert _rows(out) == F2
+
+
+def test_clock_formats_and_bad_time(spark):
+    from daybar.functions.ordering import clock_micros
+    df = spark.createDataFrame([("07",), ("07:05",), ("07:05:09",), ("07:05:09.5",), ("07:05:09.000123",)], "t string")
+    got = [r[0] for r in df.select(clock_micros(F.col("t"))).collect()]
+    assert got == [25200000000, 25500000000, 25509000000, 25509500000, 25509000123]
+    bad = spark.createDataFrame([("7:05",)], "t string")
+    with pytest.raises(Exception):
+        bad.select(clock_micros(F.col("t"))).collect()
 
 
 def test_instrument_skipping_a_day_compares_with_its_last_trading_day(spark):
