@@ -27,7 +27,7 @@ from daybar.sources import (
     cast_ticks, list_objects, load_ticks, read_csv, read_days, read_since, union_by_name,
     write_day_tree,
 )
-from daybar.sources.adapters import source_columns, table
+from daybar.sources.adapters import LINEITEM_TIME_ORDER, source_columns, table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -83,14 +83,20 @@ def q_daily_bars_lineitem(spark, sf_dir):
 
 
 def q_daily_bars_ties(spark, sf_dir):
-    return _bars(spark, sf_dir, "events_hourly")
+    # Ties on the hour, ordered through the numeric (clock time, price) key.
+    return _bars(spark, sf_dir, "events_hourly", SourceColumns(time_order="clock"))
 
 
 def q_daily_bars_ties_text(spark, sf_dir):
-    # Same bars with the time compared as text (struct ordering, any Time format).
+    # The same bars with the time compared as text (the default ordering).
     return _bars(spark, sf_dir, "events_hourly", SourceColumns(time_order="text"))
 
 
+def q_daily_bars_lineitem_numeric(spark, sf_dir):
+    # lineitem's digit-string Time through an expression key.
+    return _bars(spark, sf_dir, "lineitem", SourceColumns(time_order=LINEITEM_TIME_ORDER))
+
+
 def q_open_per_tick(spark, sf_dir):
     return open_per_tick(_ticks(spark, sf_dir))
 
@@ -241,6 +247,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_bars_lineitem": q_daily_bars_lineitem,
         "daily_bars_ties": q_daily_bars_ties,
         "daily_bars_ties_text": q_daily_bars_ties_text,
+        "daily_bars_lineitem_numeric": q_daily_bars_lineitem_numeric,
         "open_per_tick": q_open_per_tick,
         "prev_open": q_prev_open,
         "day_lag": q_day_lag,
@@ -330,6 +337,7 @@ def oracle_sql() -> dict[str, str]:
         "daily_bars_lineitem": _BARS.format(ticks=_LI),
         "daily_bars_ties": _BARS.format(ticks=_EV_HOURLY),
         "daily_bars_ties_text": _BARS.format(ticks=_EV_HOURLY),
+        "daily_bars_lineitem_numeric": _BARS.format(ticks=_LI),
         "open_per_tick": f"""select t.*, first("StartPrice" order by "Time", "StartPrice")
                                  over (partition by "ISIN", "Date") as opening_price_eur from ({_EV}) t""",
         "prev_open": f"""select *, lag(opening_price_eur) over (partition by "ISIN" order by "Date") as prev_open

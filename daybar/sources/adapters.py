@@ -67,7 +67,5 @@ LINEITEM_TIME_ORDER = "cast(replace(Time, '.', '') as bigint)"
 
 
 def source_columns(kind: str = "events") -> SourceColumns:
-    """Column settings for an adapter's ticks."""
-    if kind == "lineitem":
-        return SourceColumns(time_order=LINEITEM_TIME_ORDER)
+    """Column settings for an adapter's ticks (text ordering, the default)."""
     return SourceColumns()
