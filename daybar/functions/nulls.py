@@ -13,6 +13,11 @@ NA_TOKENS = (
 )
 
 
+def is_missing(c: Column) -> Column:
+    """True for null text or one of the NA tokens."""
+    return c.isNull() | c.isin(*NA_TOKENS)
+
+
 def na_token_to_null(c: Column) -> Column:
     """Null when the (untrimmed) text is one of the NA tokens."""
     return F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c)

@@ -50,13 +50,16 @@ def apply_cutoff(df: DataFrame, date_col: str, cutoff: str | None) -> DataFrame:
 
 def daily_report(ticks: DataFrame, src: SourceColumns = SourceColumns(),
                  rep: ReportColumns = ReportColumns(), cutoff: str | None = None,
-                 change_on: str = "open") -> DataFrame:
+                 change_on: str = "open", drop_missing: bool = True) -> DataFrame:
     """select → drop missing → bars → lag/change → round → cutoff.
 
     The cutoff filter sits above the window on purpose: the lookback day must
-    reach the lag before it is dropped.
+    reach the lag before it is dropped. ``drop_missing=False`` is for ticks a
+    source already cleaned (``read_days(drop_missing=True)``): a null filter
+    here would be pushed below the source's casts and evaluate them twice.
     """
-    bars = daily_bars(select_ticks(ticks, src), src, rep)
+    t = select_ticks(ticks, src) if drop_missing else ticks.select(*[_q(c) for c in src.columns])
+    bars = daily_bars(t, src, rep)
     out = round_double_columns(with_change(bars, src, rep, on=change_on))
     out = apply_cutoff(out, src.date, cutoff)
     return out.select(_q(src.isin), _q(src.date), _q(rep.opening_price), _q(rep.closing_price),

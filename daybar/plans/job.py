@@ -30,8 +30,8 @@ class RunResult:
 def build_report(spark: SparkSession, cfg: JobConfig, plan: DayPlan):
     """The lazy report plan for a day plan (nothing runs yet)."""
     ticks = read_days(spark, cfg.source_path, list(plan.days), cfg.source, layout=cfg.source_layout,
-                      fmt=cfg.source_format, sep=cfg.csv_sep, encoding=cfg.csv_encoding)
-    return daily_report(ticks, cfg.source, cfg.report, plan.cutoff, cfg.change_on)
+                      fmt=cfg.source_format, sep=cfg.csv_sep, encoding=cfg.csv_encoding, drop_missing=True)
+    return daily_report(ticks, cfg.source, cfg.report, plan.cutoff, cfg.change_on, drop_missing=False)
 
 
 def run(spark: SparkSession, cfg: JobConfig, as_of=None, now: _dt.datetime | None = None) -> RunResult:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybar.config import SourceColumns
-from daybar.functions.nulls import na_tokens_to_null
+from daybar.functions.nulls import is_missing, na_token_to_null, na_tokens_to_null
 
 
 def string_schema(columns) -> T.StructType:
@@ -33,47 +33,62 @@ def empty_ticks(spark: SparkSession, src: SourceColumns = SourceColumns()) -> Da
     return spark.createDataFrame([], tick_schema(src))
 
 
-def _reader(spark: SparkSession, sep: str, encoding: str, recursive: bool):
+def _reader(spark: SparkSession, sep: str, encoding: str, recursive: bool, strict: bool):
     r = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
          .option("mode", "FAILFAST"))
+    if strict:
+        r = r.option("enforceSchema", False)
     if recursive:
         r = r.option("recursiveFileLookup", True)
     return r
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], *, sep: str = ",", encoding: str = "utf-8",
-             recursive: bool = False, strict: bool = True) -> DataFrame | None:
-    """All columns as strings, NA tokens as null; ``None`` when no file matches.
-
-    The header of one file names the columns. With ``strict`` every other file
-    must carry the same header in the same order (``enforceSchema=False``):
-    Spark would otherwise bind later files by position and silently shift
-    values between columns.
+             recursive: bool = False, strict: bool = True, na_tokens: bool = True) -> DataFrame | None:
+    """All columns as strings; ``None`` when no file matches.
+
+    The header of one file names the columns (no type inference). With
+    ``strict`` every other file must carry the same header in the same order
+    (``enforceSchema=False``): Spark would otherwise bind later files by
+    position and silently shift values between columns. ``na_tokens`` turns
+    the reference reader's missing-value tokens into null; callers that drop
+    missing rows anyway pass False and test :func:`is_missing` themselves.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         return None
     try:
-        header = _reader(spark, sep, encoding, recursive).csv(paths).columns
+        df = _reader(spark, sep, encoding, recursive, strict).csv(paths)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
-    if not header:
+    if not df.columns:
         return None
-    r = _reader(spark, sep, encoding, recursive).schema(string_schema(header))
-    if strict:
-        r = r.option("enforceSchema", False)
-    return na_tokens_to_null(r.csv(paths))
+    return na_tokens_to_null(df) if na_tokens else df
+
 
+def cast_ticks(df: DataFrame, src: SourceColumns = SourceColumns(), *, drop_missing: bool = False) -> DataFrame:
+    """Select the configured columns by name and cast them (ANSI: bad text raises).
 
-def cast_ticks(df: DataFrame, src: SourceColumns = SourceColumns()) -> DataFrame:
-    """Select the configured columns by name and cast them (ANSI: bad text raises)."""
+    String input may still hold NA tokens. ``drop_missing`` removes every row
+    with a missing value in the selected columns *before* casting, testing the
+    raw text, so each cast runs once per row; otherwise NA tokens become null.
+    """
     schema = tick_schema(src)
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise KeyError(f"source is missing columns {missing}")
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    raw = {f.name: dict(df.dtypes)[f.name] == "string" for f in schema.fields}
+    if drop_missing:
+        keep = reduce(lambda a, b: a & b, [
+            ~is_missing(F.col(f"`{f.name}`")) if raw[f.name] else F.col(f"`{f.name}`").isNotNull()
+            for f in schema.fields])
+        df = df.where(keep)
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[
+        (na_token_to_null(F.col(f"`{f.name}`")) if raw[f.name] else F.col(f"`{f.name}`"))
+        .cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame | None:

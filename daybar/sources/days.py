@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybar.config import SourceColumns
-from daybar.functions.dates import first_path_segment
 from daybar.sources.csv import cast_ticks, empty_ticks, read_csv, string_schema, union_by_name
-from daybar.sources.listing import escape_glob, qualified, relative_key
+from daybar.sources.listing import escape_glob
+
+_DAY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
 
 def day_glob(base: str, days: list[str]) -> str:
@@ -21,7 +25,8 @@ def day_glob(base: str, days: list[str]) -> str:
 def _read_any(spark: SparkSession, paths, fmt: str, *, recursive: bool, sep: str, encoding: str,
               strict: bool) -> DataFrame | None:
     if fmt == "csv":
-        return read_csv(spark, paths, sep=sep, encoding=encoding, recursive=recursive, strict=strict)
+        return read_csv(spark, paths, sep=sep, encoding=encoding, recursive=recursive, strict=strict,
+                        na_tokens=False)
     if fmt == "parquet":
         r = spark.read
         if recursive:
@@ -37,7 +42,7 @@ def _read_any(spark: SparkSession, paths, fmt: str, *, recursive: bool, sep: str
 
 def read_days(spark: SparkSession, base: str, days: list[str], src: SourceColumns = SourceColumns(), *,
               layout: str = "prefix", fmt: str = "csv", sep: str = ",", encoding: str = "utf-8",
-              strict: bool = True, per_day: bool = False) -> DataFrame:
+              strict: bool = True, per_day: bool = False, drop_missing: bool = False) -> DataFrame:
     """Typed ticks of the planned days; days without files add nothing.
 
     ``layout="prefix"``: keys ``<day>...`` (e.g. ``2021-04-17/…_XETR13.csv``);
@@ -45,7 +50,8 @@ def read_days(spark: SparkSession, base: str, days: list[str], src: SourceColumn
     ``<date column>=<day>``; the day filter is a partition filter, so Spark
     prunes the other folders at planning time. ``per_day`` reads each day
     separately and unions by column name, for trees whose header layout
-    changed over time.
+    changed over time. ``drop_missing`` drops ticks with a missing value in
+    any selected column while they are still text (see ``cast_ticks``).
     """
     days = sorted(set(days))
     if not days:
@@ -55,7 +61,7 @@ def read_days(spark: SparkSession, base: str, days: list[str], src: SourceColumn
         if raw is None:
             return empty_ticks(spark, src)
         raw = raw.withColumn(src.date, F.date_format(F.col(src.date), "yyyy-MM-dd"))
-        return cast_ticks(raw.where(F.col(src.date).isin(days)), src)
+        return cast_ticks(raw.where(F.col(src.date).isin(days)), src, drop_missing=drop_missing)
     if layout != "prefix":
         raise ValueError(f"unknown layout {layout!r}")
     if per_day:
@@ -65,30 +71,54 @@ def read_days(spark: SparkSession, base: str, days: list[str], src: SourceColumn
     else:
         raw = _read_any(spark, day_glob(base, days), fmt, recursive=True, sep=sep,
                         encoding=encoding, strict=strict)
-    return empty_ticks(spark, src) if raw is None else cast_ticks(raw, src)
+    return empty_ticks(spark, src) if raw is None else cast_ticks(raw, src, drop_missing=drop_missing)
+
+
+def top_level_days(spark: SparkSession, base: str) -> list[tuple[str, str]]:
+    """(day, path) of every top-level entry of ``base`` whose name starts with a day.
+
+    One non-recursive listing of ``base``; its size is one entry per day (or
+    per flat file), never the whole tree.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        head = name[:10]
+        if _DAY.match(head) and not name.startswith(("_", ".")):
+            try:
+                _dt.date.fromisoformat(head)
+            except ValueError:
+                continue
+            out.append((head, str(st.getPath().toString())))
+    return sorted(out)
 
 
 def read_since(spark: SparkSession, base: str, cutoff: str, src: SourceColumns = SourceColumns(), *,
                layout: str = "prefix", fmt: str = "csv", sep: str = ",", encoding: str = "utf-8",
-               strict: bool = True) -> DataFrame:
+               strict: bool = True, drop_missing: bool = False) -> DataFrame:
     """Typed ticks of every day on or after ``cutoff``.
 
-    Prefix layout: the first key segment, read as a date, is compared with the
-    cutoff through ``_metadata.file_path``; Spark skips non-matching files when
-    it plans the scan. Keys whose first segment is not a date are skipped.
+    Prefix layout: the top level of ``base`` is listed once and the entries
+    whose name (read as a day) is on or after the cutoff are scanned; keys
+    that do not start with a day are skipped. Hive layout: a partition
+    filter, pruned by Spark at planning time.
     """
     if layout == "hive":
         raw = _read_any(spark, base, fmt, recursive=False, sep=sep, encoding=encoding, strict=strict)
         if raw is None:
             return empty_ticks(spark, src)
         raw = raw.withColumn(src.date, F.date_format(F.col(src.date), "yyyy-MM-dd"))
-        return cast_ticks(raw.where(F.col(src.date) >= F.lit(cutoff)), src)
-    raw = _read_any(spark, base, fmt, recursive=True, sep=sep, encoding=encoding, strict=strict)
+        return cast_ticks(raw.where(F.col(src.date) >= F.lit(cutoff)), src, drop_missing=drop_missing)
+    paths = [p for d, p in top_level_days(spark, base) if d >= cutoff]
+    raw = _read_any(spark, paths, fmt, recursive=True, sep=sep, encoding=encoding, strict=strict) if paths else None
     if raw is None:
         return empty_ticks(spark, src)
-    key = relative_key(F.col("_metadata.file_path"), qualified(spark, base))
-    day = F.try_to_date(first_path_segment(key), "yyyy-MM-dd")
-    return cast_ticks(raw.where(day >= F.to_date(F.lit(cutoff))), src)
+    return cast_ticks(raw, src, drop_missing=drop_missing)
 
 
 def write_day_tree(ticks: DataFrame, base: str, src: SourceColumns = SourceColumns(), *,
