@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,10 +79,10 @@ def plan_days_keyed(keys_df: DataFrame, ledger: DataFrame | None, first_date: st
 
     Returns (keys..., day, cutoff) for every key that has a gap: its days to
     read from its own cutoff - lookback to as_of. Each key's calendar is
-    generated beside it (``explode(sequence)``, no cross join), the gaps come
-    from an anti-join with the ledger on (keys, day), and the per-key cutoff
-    joins back on the keys. A key holds at most one calendar of rows, so a
-    hot key cannot overload a task.
+    generated beside it (``explode(sequence)``, no cross join); a left join
+    with the ledger on (keys, day) marks processed days, and a window per key
+    takes the first unprocessed day. A key holds at most one calendar of rows,
+    so even a key with a third of all ticks cannot overload a task.
     """
     today = _d(as_of_string(as_of))
     first = _d(first_date)
@@ -92,10 +92,14 @@ def plan_days_keyed(keys_df: DataFrame, ledger: DataFrame | None, first_date: st
     if start > today:
         per_key = per_key.where(F.lit(False))
     kc = per_key.select(*cols, F.explode(F.sequence(F.lit(start), F.lit(today))).alias("day"))
-    gaps = kc.where(F.col("day") >= F.lit(first))
     if ledger is not None:
-        gaps = gaps.join(ledger_days(ledger, keys), [*keys, "day"], "left_anti")
-    cut = gaps.groupBy(*cols).agg(F.min("day").alias("m"))
-    out = kc.join(cut, list(keys)).where(F.col("day") >= F.date_sub(F.col("m"), lookback_days))
+        done = ledger_days(ledger, keys).withColumn("__done", F.lit(True))
+        kc = kc.join(done, [*keys, "day"], "left")
+    else:
+        kc = kc.withColumn("__done", F.lit(None).cast("boolean"))
+    gap = F.when((F.col("day") >= F.lit(first)) & F.col("__done").isNull(), F.col("day"))
+    w = Window.partitionBy(*cols)
+    out = kc.withColumn("m", F.min(gap).over(w))
+    out = out.where(F.col("m").isNotNull() & (F.col("day") >= F.date_sub(F.col("m"), lookback_days)))
     return out.select(*cols, F.date_format("day", "yyyy-MM-dd").alias("day"),
                       F.date_format("m", "yyyy-MM-dd").alias("cutoff"))
