@@ -28,6 +28,7 @@ from daybar.sources import (
     write_day_tree,
 )
 from daybar.sources.adapters import LINEITEM_TIME_ORDER, source_columns, table
+from daybar.streaming import published_reports, start_report_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -39,6 +40,7 @@ LOOKUP_ISIN = "U7"
 ORDERS_FIRST, ORDERS_AS_OF, ORDERS_STAMP = "1995-01-01", "2001-08-31", "2001-08-01"
 KEYED_FIRST, KEYED_AS_OF = "2024-01-02", "2024-01-30"
 JOB_FIRST, JOB_AS_OF, JOB_LOOKBACK = "2024-01-10", "2024-01-31", "2024-01-09"
+STREAM_FIRST = "2024-01-02"
 
 
 def _ticks(spark, sf_dir, kind="events"):
@@ -232,6 +234,17 @@ def q_job_twice(spark, sf_dir):
     return spark.read.parquet(first.target)
 
 
+def q_stream_report(spark, sf_dir):
+    # The job on a Structured Streaming trigger (availableNow) over the CSV
+    # tree: every day is new, so one batch reports all days from first_date.
+    base = _tree(spark, sf_dir)
+    out = scratch_path(spark, "stream")
+    cfg = JobConfig(source_path=base, target_prefix=f"{out}/report1/daily_report1_",
+                    ledger_path=f"{out}/meta/ledger", first_date=STREAM_FIRST)
+    start_report_stream(spark, cfg, f"{out}/checkpoint").awaitTermination()
+    return published_reports(spark, cfg)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the daily report over the events ticks at sf0.001."""
     return q_report1(spark, SMOKE_DIR)
@@ -268,6 +281,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ledger_append": q_ledger_append,
         "date_fns": q_date_fns,
         "job_twice": q_job_twice,
+        "stream_report": q_stream_report,
     }
 
 
@@ -393,4 +407,5 @@ from kc join m on kc.isin = m.isin where kc.d >= m.m - 1""",
         # The job reads one lookback day before first_date, no more.
         "job_twice": _report(f"""select * from ({_EV}) e where "Date" between '{JOB_LOOKBACK}' and '{JOB_AS_OF}'""",
                              JOB_FIRST),
+        "stream_report": _report(_EV, STREAM_FIRST),
     }
