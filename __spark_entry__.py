@@ -247,11 +247,25 @@ def q_stream_report(spark, sf_dir):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the daily report over the events ticks at sf0.001."""
+    apply_required_conf(spark)
     return q_report1(spark, SMOKE_DIR)
 
 
+def _with_conf(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Run a query under the settings its semantics rely on (UTC days, ANSI)."""
+    def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_required_conf(spark)
+        return fn(spark, sf_dir)
+    run_query.__name__ = fn.__name__
+    run_query.__doc__ = fn.__doc__
+    return run_query
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return {name: _with_conf(fn) for name, fn in _QUERIES.items()}
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "report1": q_report1,
         "report1_close_change": q_report1_close_change,
         "report1_lineitem": q_report1_lineitem,
