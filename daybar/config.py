@@ -72,3 +72,48 @@ class JobConfig:
     csv_encoding: str = "utf-8"
     change_on: str = "open"
     lookback_days: int = 1
+
+
+def _spark_time_format(py_format: str) -> str:
+    """``%Y%m%d_%H%M%S``-style pattern to Spark's ``yyyyMMdd_HHmmss``."""
+    out = py_format
+    for a, b in (("%Y", "yyyy"), ("%m", "MM"), ("%d", "dd"), ("%H", "HH"), ("%M", "mm"), ("%S", "ss")):
+        out = out.replace(a, b)
+    return out
+
+
+def job_config_from_mapping(cfg: dict, *, source_root: str | None = None,
+                            target_root: str | None = None) -> JobConfig:
+    """Build a :class:`JobConfig` from the reference job's YAML layout.
+
+    Sections ``source`` (``src_*``), ``target`` (``trg_*``), ``meta``
+    (``meta_key``) and ``s3`` (buckets). Paths are the buckets as ``s3a://``
+    roots unless ``source_root`` / ``target_root`` are given; credentials and
+    endpoints belong in the Hadoop configuration, not here. The declared but
+    unused ``trg_col_isin`` / ``trg_col_date`` are accepted and ignored: the
+    report keeps the source key names.
+    """
+    src, trg, meta, s3 = cfg["source"], cfg["target"], cfg.get("meta", {}), cfg.get("s3", {})
+    source_root = (source_root or f"s3a://{s3['src_bucket']}").rstrip("/")
+    target_root = (target_root or f"s3a://{s3['trg_bucket']}").rstrip("/")
+    columns = tuple(src["src_columns"])
+    source = SourceColumns(
+        columns=columns, date=src["src_col_date"], isin=src["src_col_isin"], time=src["src_col_time"],
+        start_price=src["src_col_start_price"], min_price=src["src_col_min_price"],
+        max_price=src["src_col_max_price"], traded_volume=src["src_col_traded_vol"],
+        double_columns=tuple(c for c in columns if c in DEFAULT_SOURCE_COLUMNS[4:8]
+                             or c in (src["src_col_start_price"], src["src_col_min_price"],
+                                      src["src_col_max_price"])),
+        long_columns=(src["src_col_traded_vol"],),
+    )
+    report = ReportColumns(
+        opening_price=trg["trg_col_op_price"], closing_price=trg["trg_col_clos_price"],
+        minimum_price=trg["trg_col_min_price"], maximum_price=trg["trg_col_max_price"],
+        daily_traded_volume=trg["trg_col_dail_trade_vol"], change_prev=trg["trg_col_ch_prev_clos"],
+    )
+    return JobConfig(
+        source_path=source_root, target_prefix=f"{target_root}/{trg['trg_key']}",
+        ledger_path=f"{target_root}/{meta['meta_key']}", first_date=str(src["src_first_extract_date"]),
+        source=source, report=report, target_format=trg["trg_format"],
+        target_time_format=_spark_time_format(trg.get("trg_key_date_format", "%Y%m%d_%H%M%S")),
+    )

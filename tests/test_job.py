@@ -60,3 +60,52 @@ def test_gap_reprocesses_later_days(spark, relative_tree):
     assert sorted(r["Date"] for r in back.collect()) == [n(2), n(1)]
     led = sorted(r[0] for r in read_ledger(spark, cfg.ledger_path).collect())
     assert led == sorted([n(3), n(1), n(0), n(2), n(1), n(0)])  # repeats, no dedupe
+
+
+CONFIG_YAML = """
+s3:
+  access_key: 'KEY_VAR'
+  secret_key: 'SECRET_VAR'
+  src_endpoint_url: 'https://example.invalid'
+  src_bucket: 'src-bucket'
+  trg_endpoint_url: 'https://example.invalid'
+  trg_bucket: 'trg-bucket'
+source:
+  src_first_extract_date: '{first}'
+  src_columns: ['ISIN', 'Mnemonic', 'Date', 'Time', 'StartPrice', 'EndPrice', 'MinPrice', 'MaxPrice', 'TradedVolume']
+  src_col_date: 'Date'
+  src_col_isin: 'ISIN'
+  src_col_time: 'Time'
+  src_col_min_price: 'MinPrice'
+  src_col_start_price: 'StartPrice'
+  src_col_max_price: 'MaxPrice'
+  src_col_traded_vol: 'TradedVolume'
+target:
+  trg_key: 'report1/daily_report1_'
+  trg_key_date_format: '%Y%m%d_%H%M%S'
+  trg_format: 'parquet'
+  trg_col_isin: 'isin'
+  trg_col_date: 'date'
+  trg_col_op_price: 'opening_price_eur'
+  trg_col_clos_price: 'closing_price_eur'
+  trg_col_min_price: 'minimum_price_eur'
+  trg_col_max_price: 'maximum_price_eur'
+  trg_col_dail_trade_vol: 'daily_traded_volume'
+  trg_col_ch_prev_clos: 'change_prev_closing_%'
+meta:
+  meta_key: 'meta/report1/report1_meta_file.csv'
+"""
+
+
+def test_reference_style_config(spark, relative_tree):
+    import yaml
+
+    from daybar.config import job_config_from_mapping
+    raw = yaml.safe_load(CONFIG_YAML.format(first=n(3)))
+    assert job_config_from_mapping(raw).source_path == "s3a://src-bucket"
+    cfg = job_config_from_mapping(raw, source_root=f"{relative_tree}/src", target_root=f"{relative_tree}/trg")
+    assert cfg.target_time_format == "yyyyMMdd_HHmmss" and cfg.source.double_columns[0] == "StartPrice"
+    res = run(spark, cfg, TODAY, now=dt.datetime(2030, 1, 1, 0, 0, 1))
+    assert res.target.endswith("report1/daily_report1_20300101_000001.parquet")
+    out = spark.read.parquet(res.target).orderBy("Date").collect()
+    assert [tuple(r)[2:] for r in out] == [r[2:] for r in F2]
