@@ -79,11 +79,19 @@ def cast_ticks(df: DataFrame, src: SourceColumns = SourceColumns(), *, drop_miss
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise KeyError(f"source is missing columns {missing}")
-    raw = {f.name: dict(df.dtypes)[f.name] == "string" for f in schema.fields}
+    types = dict(df.dtypes)
+    raw = {f.name: types[f.name] == "string" for f in schema.fields}
+
+    def present(name: str):
+        c = F.col(f"`{name}`")
+        if raw[name]:
+            return ~is_missing(c)
+        if types[name] in ("double", "float"):
+            return c.isNotNull() & ~F.isnan(c)
+        return c.isNotNull()
+
     if drop_missing:
-        keep = reduce(lambda a, b: a & b, [
-            ~is_missing(F.col(f"`{f.name}`")) if raw[f.name] else F.col(f"`{f.name}`").isNotNull()
-            for f in schema.fields])
+        keep = reduce(lambda a, b: a & b, [present(f.name) for f in schema.fields])
         df = df.where(keep)
         return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
     return df.select(*[

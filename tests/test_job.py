@@ -109,3 +109,18 @@ def test_reference_style_config(spark, relative_tree):
     assert res.target.endswith("report1/daily_report1_20300101_000001.parquet")
     out = spark.read.parquet(res.target).orderBy("Date").collect()
     assert [tuple(r)[2:] for r in out] == [r[2:] for r in F2]
+
+
+@pytest.mark.parametrize("layout,fmt", [("hive", "parquet"), ("prefix", "parquet"), ("hive", "csv")])
+def test_job_over_other_layouts(spark, tmp_dir, layout, fmt):
+    from tests.fixtures import TICK_DDL
+    shift = {"2021-04-15": n(5), "2021-04-16": n(4), "2021-04-17": n(3), "2021-04-18": n(2), "2021-04-19": n(1)}
+    rows = [r[:2] + (shift[r[2]],) + r[3:] for r in F1]
+    from daybar.sources import write_day_tree
+    days = write_day_tree(spark.createDataFrame(rows, TICK_DDL), f"{tmp_dir}/src", layout=layout, fmt=fmt)
+    assert days == sorted(shift.values())
+    cfg = JobConfig(source_path=f"{tmp_dir}/src", target_prefix=f"{tmp_dir}/trg/r_", ledger_path=f"{tmp_dir}/trg/ledger",
+                    first_date=n(3), source_layout=layout, source_format=fmt)
+    res = run(spark, cfg, TODAY, now=dt.datetime(2030, 1, 1, 0, 0, 1))
+    out = spark.read.parquet(res.target).orderBy("Date").collect()
+    assert [tuple(r)[2:] for r in out] == [r[2:] for r in F2]

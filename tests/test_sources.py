@@ -103,3 +103,13 @@ def test_missing_column_raises(spark, tmp_dir):
     open(os.path.join(p, "a.csv"), "w").write("ISIN,Date\nX,2021-04-16\n")
     with pytest.raises((KeyError, AnalysisException)):
         read_days(spark, tmp_dir, ["2021-04-16"])
+
+
+def test_drop_missing_on_typed_parquet_drops_nan(spark, tmp_dir):
+    from daybar.sources import write_day_tree
+    from tests.fixtures import TICK_DDL
+    rows = list(F1[1:3]) + [F1[3][:5] + (float("nan"),) + F1[3][6:], F1[4][:4] + (None,) + F1[4][5:]]
+    write_day_tree(spark.createDataFrame(rows, TICK_DDL), f"{tmp_dir}/t", layout="prefix", fmt="parquet")
+    got = read_days(spark, f"{tmp_dir}/t", ["2021-04-16", "2021-04-17", "2021-04-18"], fmt="parquet",
+                    drop_missing=True)
+    assert _sorted(got) == sorted(F1[1:3])
