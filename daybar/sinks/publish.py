@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from daybar.config import SUPPORTED_FORMATS
 from daybar.errors import WrongFormatError
-from daybar.session import delete_path, rename_path
+from daybar.session import delete_path, path_exists, rename_path
 
 log = logging.getLogger(__name__)
 
@@ -48,6 +48,9 @@ def publish(df: DataFrame, path: str, fmt: str, *, partitions: int | None = None
     retries after executor loss are handled by Spark's commit protocol.
     """
     check_format(fmt)
+    spark = df.sparkSession
+    if path_exists(spark, path):  # rename onto a folder would nest, never overwrite
+        raise FileExistsError(path)
     obs = Observation(f"publish_{uuid.uuid4().hex[:8]}")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partitions:
@@ -56,13 +59,12 @@ def publish(df: DataFrame, path: str, fmt: str, *, partitions: int | None = None
     staging = f"{parent}/_staging-{uuid.uuid4().hex[:12]}-{leaf}" if parent else f"_staging-{leaf}"
     _writer(counted, fmt).save(staging)
     rows = int(obs.get.get("rows", 0) or 0)
-    spark = df.sparkSession
     if rows == 0:
         delete_path(spark, staging)
         log.info("The dataframe is empty! No file will be written!")
         return None
-    if not rename_path(spark, staging, path):
-        raise RuntimeError(f"could not publish {staging} to {path}")
+    if path_exists(spark, path) or not rename_path(spark, staging, path):
+        raise FileExistsError(f"could not publish {staging} to {path}: target exists")
     log.info("Writing %d rows to %s", rows, path)
     return path
 

@@ -32,3 +32,12 @@ def test_wrong_format_raises(spark, tmp_dir):
 def test_target_name():
     import datetime as dt
     assert target_name("report1/r_", "parquet", dt.datetime(2021, 4, 17, 8, 5, 3)) == "report1/r_20210417_080503.parquet"
+
+
+def test_publish_never_overwrites(spark, tmp_dir):
+    df = spark.createDataFrame([("A", "B")], "col1 string, col2 string")
+    path = publish(df, f"{tmp_dir}/t.parquet", "parquet")
+    with pytest.raises(FileExistsError):
+        publish(df, path, "parquet")
+    assert sorted(os.listdir(path)) == sorted(n for n in os.listdir(path))  # unchanged, nothing nested
+    assert not [n for n in os.listdir(path) if n.startswith("_staging")]
