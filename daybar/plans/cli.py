@@ -1,6 +1,6 @@
 """``spark-submit`` entry point: run the daily report job from a YAML config.
 
-    spark-submit --py-files daybar.zip -m daybar.plans.cli config.yml [--as-of YYYY-MM-DD]
+    spark-submit --py-files daybar.zip daybar/plans/cli.py config.yml [--as-of YYYY-MM-DD]
         [--source-root PATH] [--target-root PATH]
 
 The session comes from ``spark-submit`` (cluster settings, ``spark.checkpoint.dir``).
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import logging.config
 
 from pyspark.sql import SparkSession
 
@@ -28,7 +29,6 @@ def main(argv=None) -> None:
     with open(args.config) as fh:
         raw = yaml.safe_load(fh)
     if "logging" in raw:
-        import logging.config
         logging.config.dictConfig(raw["logging"])
     cfg = job_config_from_mapping(raw, source_root=args.source_root, target_root=args.target_root)
     spark = SparkSession.builder.appName("daybar-report1").getOrCreate()

@@ -124,3 +124,16 @@ def test_job_over_other_layouts(spark, tmp_dir, layout, fmt):
     res = run(spark, cfg, TODAY, now=dt.datetime(2030, 1, 1, 0, 0, 1))
     out = spark.read.parquet(res.target).orderBy("Date").collect()
     assert [tuple(r)[2:] for r in out] == [r[2:] for r in F2]
+
+
+def test_cli_runs_the_job(spark, relative_tree):
+    from daybar.plans.cli import main
+    cfg_path = f"{relative_tree}/config.yml"
+    with open(cfg_path, "w") as fh:
+        fh.write(CONFIG_YAML.format(first=n(3)))
+    main([cfg_path, "--as-of", TODAY.isoformat(), "--source-root", f"{relative_tree}/src",
+          "--target-root", f"{relative_tree}/trg"])
+    written = os.listdir(f"{relative_tree}/trg/report1")
+    assert len(written) == 1 and written[0].startswith("daily_report1_")
+    led = sorted(r[0] for r in read_ledger(spark, f"{relative_tree}/trg/meta/report1/report1_meta_file.csv").collect())
+    assert led == [n(3), n(2), n(1), n(0)]
