@@ -50,13 +50,14 @@ def frame_lag(df: DataFrame, order: str, values: list[str], suffix: str = "_prev
 
     w = Window.partitionBy("__b").orderBy(_q(order))
     inner = keyed.select("*", *[F.lag(_q(v)).over(w).alias(v + suffix) for v in values],
-                         (F.row_number().over(w) == 1).alias("__first"))
+                         (F.row_number().over(w) == 1).alias("__first"),
+                         F.lead(_q(order)).over(w).isNull().alias("__last"))
 
-    last = keyed.groupBy("__b").agg(
-        F.max(F.struct(_q(order).alias("o"), *[_q(v).alias(v) for v in values])).alias("__last"))
-    wb = Window.orderBy("__b")  # one row per bucket: bounded by ``n``
-    carry = last.select(F.col("__b"), *[F.lag(F.col("__last").getField(v)).over(wb).alias("__c_" + v)
-                                        for v in values])
+    # The last row of each range comes from the same windowed branch, so the
+    # one exchange by range is computed once and reused.
+    wb = Window.orderBy("__b")  # one row per range: bounded by ``n``
+    carry = inner.where(F.col("__last")).select(
+        F.col("__b"), *[F.lag(_q(v)).over(wb).alias("__c_" + v) for v in values])
     out = inner.join(F.broadcast(carry), on="__b", how="left")
     return out.select(
         *[_q(c) for c in df.columns],
