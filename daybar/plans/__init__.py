@@ -2,9 +2,9 @@
 
 from daybar.plans.backfill import DayPlan, calendar, plan_days, plan_days_keyed, plan_frame
 from daybar.plans.job import RunResult, build_report, run
-from daybar.plans.ledger import LEDGER_COLUMNS, append_ledger, ledger_days, read_ledger
+from daybar.plans.ledger import LEDGER_COLUMNS, append_ledger, import_ledger, ledger_days, read_ledger
 
 __all__ = [
-    "LEDGER_COLUMNS", "DayPlan", "RunResult", "append_ledger", "build_report", "calendar",
+    "LEDGER_COLUMNS", "DayPlan", "RunResult", "append_ledger", "build_report", "calendar", "import_ledger",
     "ledger_days", "plan_days", "plan_days_keyed", "plan_frame", "read_ledger", "run",
 ]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybar.config import LEDGER_DAY_COL, LEDGER_PROCESSED_COL
-from daybar.errors import LedgerSchemaError
+from daybar.errors import LedgerLayoutError, LedgerSchemaError
 from daybar.functions.dates import as_of_string
 from daybar.session import path_exists
 from daybar.sources.csv import string_schema
@@ -63,6 +63,9 @@ def append_ledger(spark: SparkSession, path: str, days: list[str], as_of=None,
     ``keys_rows`` (keyed ledgers) is a DataFrame of (keys..., day) to record.
     """
     stamp = as_of_string(as_of)
+    if _is_file(spark, path):
+        raise LedgerLayoutError(f"{path} is a single-file ledger; copy it into a ledger folder with "
+                                "import_ledger() and point the job at the folder")
     if path_exists(spark, path) and _header(spark, path) is not None:
         read_ledger(spark, path, keys)  # column check before appending
     if keys_rows is not None:
@@ -75,3 +78,25 @@ def append_ledger(spark: SparkSession, path: str, days: list[str], as_of=None,
     rows = spark.createDataFrame([(d, stamp) for d in days], string_schema(LEDGER_COLUMNS))
     rows.coalesce(1).write.mode("append").option("header", True).csv(path)
     return True
+
+
+def _is_file(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.getFileStatus(p).isFile())
+
+
+def import_ledger(spark: SparkSession, legacy_file: str, path: str) -> int:
+    """Copy a single-file CSV ledger (the reference's layout) into the ledger folder ``path``.
+
+    Rows are kept as they are (timestamps included, no dedupe); the column
+    check of :func:`read_ledger` applies. Returns the number of rows copied.
+    """
+    old = read_ledger(spark, legacy_file)
+    if old is None:
+        return 0
+    n = old.count()
+    if n:
+        old.coalesce(1).write.mode("append").option("header", True).csv(path)
+    return n

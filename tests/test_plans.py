@@ -97,3 +97,19 @@ def test_keyed_plan(spark):
     out = sorted(tuple(r) for r in plan_days_keyed(keys, led, n(2), TODAY).collect())
     assert out == sorted([("A", n(3), n(2)), ("A", n(2), n(2)), ("A", n(1), n(2)), ("A", n(0), n(2)),
                           ("B", n(1), n(0)), ("B", n(0), n(0))])
+
+
+def test_single_file_ledger_is_imported_not_appended(spark, tmp_dir):
+    from daybar.errors import LedgerLayoutError
+    from daybar.plans import import_ledger
+    legacy = os.path.join(tmp_dir, "meta_file.csv")
+    open(legacy, "w").write(f"source_file_date,datetime_of_processing\n{n(3)},{TODAY} 10:00:00\n{n(2)},{TODAY}\n")
+    assert sorted(r[0] for r in read_ledger(spark, legacy).collect()) == [n(3), n(2)]
+    with pytest.raises(LedgerLayoutError):
+        append_ledger(spark, legacy, [n(1)], TODAY)
+    folder = f"{tmp_dir}/ledger"
+    assert import_ledger(spark, legacy, folder) == 2
+    append_ledger(spark, folder, [n(1)], TODAY)
+    assert sorted(r[0] for r in read_ledger(spark, folder).collect()) == [n(3), n(2), n(1)]
+    plan = plan_days(spark, read_ledger(spark, folder), n(3), TODAY)
+    assert plan.cutoff == n(0) and plan.days == (n(1), n(0))
