@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybar.config import SourceColumns
-from daybar.sources.csv import cast_ticks, empty_ticks, read_csv, string_schema, union_by_name
+from daybar.sources.csv import cast_ticks, empty_ticks, read_csv, union_by_name
 from daybar.sources.listing import escape_glob
 
 _DAY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
