@@ -50,9 +50,10 @@ def daily_bars(ticks: DataFrame, src: SourceColumns = SourceColumns(),
                rep: ReportColumns = ReportColumns()) -> DataFrame:
     """One row per (ISIN, Date) with open, close, min, max and summed volume.
 
-    A single hash-partitioned aggregation: Spark computes partial results per
-    input split before the shuffle, so a hot instrument-day sends at most one
-    row per map task across the network.
+    One aggregation, shuffled by (ISIN, Date): Spark computes partial results
+    per input split before the exchange, so a hot instrument-day sends at most
+    one row per map task across the network. With the default text ordering
+    Spark plans it sort-based (struct buffers); see ``SourceColumns.time_order``.
     """
     return ticks.groupBy(_q(src.isin), _q(src.date)).agg(
         first_price(src).alias(rep.opening_price),
