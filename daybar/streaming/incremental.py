@@ -22,14 +22,18 @@ from daybar.operators.report import daily_report
 from daybar.session import apply_required_conf, path_exists, scratch_path
 from daybar.sinks.publish import check_format, publish
 from daybar.sources.csv import read_csv, string_schema
-from daybar.sources.days import read_days
+from daybar.sources.days import read_days, top_level_days
 
 log = logging.getLogger(__name__)
 
 
 def _header(spark: SparkSession, cfg: JobConfig) -> list[str]:
-    df = read_csv(spark, f"{cfg.source_path.rstrip('/')}/*", sep=cfg.csv_sep, encoding=cfg.csv_encoding,
-                  recursive=True, na_tokens=False)
+    """Header of the newest day's files (one top-level listing, one day read)."""
+    days = top_level_days(spark, cfg.source_path)
+    if not days:
+        return list(cfg.source.columns)
+    df = read_csv(spark, days[-1][1], sep=cfg.csv_sep, encoding=cfg.csv_encoding, recursive=True,
+                  na_tokens=False)
     return df.columns if df is not None else list(cfg.source.columns)
 
 
