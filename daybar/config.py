@@ -37,6 +37,9 @@ class SourceColumns:
     #          (hash aggregation over a DECIMAL(38,0) key; measured slower);
     # other    a SQL expression giving a long in [0, 2^62) in the text's order.
     time_order: str = "text"
+    # Full header of the source files, in file order, when known: the scan then
+    # needs no header-inference pass, and every file is still checked against it.
+    file_columns: tuple[str, ...] | None = None
 
 
 @dataclass(frozen=True)
@@ -87,7 +90,8 @@ def job_config_from_mapping(cfg: dict, *, source_root: str | None = None,
     """Build a :class:`JobConfig` from the reference job's YAML layout.
 
     Sections ``source`` (``src_*``), ``target`` (``trg_*``), ``meta``
-    (``meta_key``) and ``s3`` (buckets). Paths are the buckets as ``s3a://``
+    (``meta_key``) and ``s3`` (buckets); an optional ``src_file_columns`` gives the
+    files' full header. Paths are the buckets as ``s3a://``
     roots unless ``source_root`` / ``target_root`` are given; credentials and
     endpoints belong in the Hadoop configuration, not here. The declared but
     unused ``trg_col_isin`` / ``trg_col_date`` are accepted and ignored: the
@@ -105,6 +109,7 @@ def job_config_from_mapping(cfg: dict, *, source_root: str | None = None,
                              or c in (src["src_col_start_price"], src["src_col_min_price"],
                                       src["src_col_max_price"])),
         long_columns=(src["src_col_traded_vol"],),
+        file_columns=tuple(src["src_file_columns"]) if src.get("src_file_columns") else None,
     )
     report = ReportColumns(
         opening_price=trg["trg_col_op_price"], closing_price=trg["trg_col_clos_price"],

@@ -45,13 +45,14 @@ def run(spark: SparkSession, cfg: JobConfig, as_of=None, now: _dt.datetime | Non
     check_format(cfg.target_format)
     apply_required_conf(spark)
     as_of = as_of_string(as_of)
-    plan = plan_days(spark, read_ledger(spark, cfg.ledger_path), cfg.first_date, as_of, cfg.lookback_days)
+    ledger = read_ledger(spark, cfg.ledger_path)  # column check happens here, once
+    plan = plan_days(spark, ledger, cfg.first_date, as_of, cfg.lookback_days)
     log.info("cutoff %s, %d day(s) to read", plan.cutoff, len(plan.days))
     report = build_report(spark, cfg, plan)
     target = publish(report, target_name(cfg.target_prefix, cfg.target_format, now,
                                          _py_format(cfg.target_time_format)), cfg.target_format)
     recorded = plan.days_to_record
-    append_ledger(spark, cfg.ledger_path, recorded, as_of)
+    append_ledger(spark, cfg.ledger_path, recorded, as_of, checked=ledger is not None)
     return RunResult(plan, target, tuple(recorded))
 
 

@@ -56,17 +56,19 @@ def ledger_days(ledger: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 
 
 def append_ledger(spark: SparkSession, path: str, days: list[str], as_of=None,
-                  keys_rows: DataFrame | None = None, keys: tuple[str, ...] = ()) -> bool:
+                  keys_rows: DataFrame | None = None, keys: tuple[str, ...] = (),
+                  checked: bool = False) -> bool:
     """Record ``days`` as processed on ``as_of``; nothing is written for no days.
 
     No dedupe: a day recorded twice appears twice, as in the reference.
     ``keys_rows`` (keyed ledgers) is a DataFrame of (keys..., day) to record.
+    ``checked`` skips the column check when the caller read the ledger already.
     """
     stamp = as_of_string(as_of)
     if _is_file(spark, path):
         raise LedgerLayoutError(f"{path} is a single-file ledger; copy it into a ledger folder with "
                                 "import_ledger() and point the job at the folder")
-    if path_exists(spark, path) and _header(spark, path) is not None:
+    if not checked and path_exists(spark, path) and _header(spark, path) is not None:
         read_ledger(spark, path, keys)  # column check before appending
     if keys_rows is not None:
         rows = keys_rows.select(*keys, F.col("day").cast("string").alias(LEDGER_DAY_COL),

@@ -44,7 +44,8 @@ def _reader(spark: SparkSession, sep: str, encoding: str, recursive: bool, stric
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], *, sep: str = ",", encoding: str = "utf-8",
-             recursive: bool = False, strict: bool = True, na_tokens: bool = True) -> DataFrame | None:
+             recursive: bool = False, strict: bool = True, na_tokens: bool = True,
+             header: tuple[str, ...] | list[str] | None = None) -> DataFrame | None:
     """All columns as strings; ``None`` when no file matches.
 
     The header of one file names the columns (no type inference). With
@@ -53,12 +54,16 @@ def read_csv(spark: SparkSession, paths: str | list[str], *, sep: str = ",", enc
     position and silently shift values between columns. ``na_tokens`` turns
     the reference reader's missing-value tokens into null; callers that drop
     missing rows anyway pass False and test :func:`is_missing` themselves.
+    A known ``header`` replaces the inference pass (files are checked against it).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         return None
     try:
-        df = _reader(spark, sep, encoding, recursive, strict).csv(paths)
+        r = _reader(spark, sep, encoding, recursive, strict)
+        if header:
+            r = r.schema(string_schema(header))
+        df = r.csv(paths)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None

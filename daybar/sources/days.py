@@ -23,10 +23,10 @@ def day_glob(base: str, days: list[str]) -> str:
 
 
 def _read_any(spark: SparkSession, paths, fmt: str, *, recursive: bool, sep: str, encoding: str,
-              strict: bool) -> DataFrame | None:
+              strict: bool, header=None) -> DataFrame | None:
     if fmt == "csv":
         return read_csv(spark, paths, sep=sep, encoding=encoding, recursive=recursive, strict=strict,
-                        na_tokens=False)
+                        na_tokens=False, header=header)
     if fmt == "parquet":
         r = spark.read
         if recursive:
@@ -66,11 +66,11 @@ def read_days(spark: SparkSession, base: str, days: list[str], src: SourceColumn
         raise ValueError(f"unknown layout {layout!r}")
     if per_day:
         frames = [_read_any(spark, day_glob(base, [d]), fmt, recursive=True, sep=sep,
-                            encoding=encoding, strict=strict) for d in days]
+                            encoding=encoding, strict=strict) for d in days]  # layouts differ: infer each
         raw = union_by_name(frames)
     else:
         raw = _read_any(spark, day_glob(base, days), fmt, recursive=True, sep=sep,
-                        encoding=encoding, strict=strict)
+                        encoding=encoding, strict=strict, header=src.file_columns)
     return empty_ticks(spark, src) if raw is None else cast_ticks(raw, src, drop_missing=drop_missing)
 
 
@@ -115,7 +115,8 @@ def read_since(spark: SparkSession, base: str, cutoff: str, src: SourceColumns =
         raw = raw.withColumn(src.date, F.date_format(F.col(src.date), "yyyy-MM-dd"))
         return cast_ticks(raw.where(F.col(src.date) >= F.lit(cutoff)), src, drop_missing=drop_missing)
     paths = [p for d, p in top_level_days(spark, base) if d >= cutoff]
-    raw = _read_any(spark, paths, fmt, recursive=True, sep=sep, encoding=encoding, strict=strict) if paths else None
+    raw = _read_any(spark, paths, fmt, recursive=True, sep=sep, encoding=encoding, strict=strict,
+                    header=src.file_columns) if paths else None
     if raw is None:
         return empty_ticks(spark, src)
     return cast_ticks(raw, src, drop_missing=drop_missing)

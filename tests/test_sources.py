@@ -113,3 +113,15 @@ def test_drop_missing_on_typed_parquet_drops_nan(spark, tmp_dir):
     got = read_days(spark, f"{tmp_dir}/t", ["2021-04-16", "2021-04-17", "2021-04-18"], fmt="parquet",
                     drop_missing=True)
     assert _sorted(got) == sorted(F1[1:3])
+
+
+def test_known_header_skips_inference_and_still_checks_files(spark, f1_tree, tmp_dir):
+    from daybar.config import SourceColumns
+    src = SourceColumns(file_columns=tuple(TICK_COLUMNS))
+    days = ["2021-04-16", "2021-04-17", "2021-04-18", "2021-04-19"]
+    assert _sorted(read_days(spark, f1_tree, days, src, drop_missing=True)) == sorted(F1[1:])
+    # a file whose header differs from the declared one fails loudly
+    swapped = TICK_COLUMNS[1:2] + TICK_COLUMNS[:1] + TICK_COLUMNS[2:]
+    write_tick_csvs(f1_tree, [(F1[5][1], F1[5][0]) + F1[5][2:]], names=["2021-04-18/z.csv"], columns=swapped)
+    with pytest.raises(Exception, match="(?i)header|schema|CSV"):
+        read_days(spark, f1_tree, days, src).collect()
