@@ -75,6 +75,9 @@ class JobConfig:
     csv_encoding: str = "utf-8"
     change_on: str = "open"
     lookback_days: int = 1
+    # Publish rows ordered by (ISIN, Date), as the reference's report is; the
+    # sort runs on day-grain rows (one range exchange), never on ticks.
+    sorted_output: bool = True
 
 
 def _spark_time_format(py_format: str) -> str:

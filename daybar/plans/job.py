@@ -7,6 +7,7 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from daybar.config import JobConfig
 from daybar.functions.dates import as_of_string
@@ -31,7 +32,10 @@ def build_report(spark: SparkSession, cfg: JobConfig, plan: DayPlan):
     """The lazy report plan for a day plan (nothing runs yet)."""
     ticks = read_days(spark, cfg.source_path, list(plan.days), cfg.source, layout=cfg.source_layout,
                       fmt=cfg.source_format, sep=cfg.csv_sep, encoding=cfg.csv_encoding, drop_missing=True)
-    return daily_report(ticks, cfg.source, cfg.report, plan.cutoff, cfg.change_on, drop_missing=False)
+    rep = daily_report(ticks, cfg.source, cfg.report, plan.cutoff, cfg.change_on, drop_missing=False)
+    if cfg.sorted_output:
+        rep = rep.orderBy(F.col(f"`{cfg.source.isin}`"), F.col(f"`{cfg.source.date}`"))
+    return rep
 
 
 def run(spark: SparkSession, cfg: JobConfig, as_of=None, now: _dt.datetime | None = None) -> RunResult:

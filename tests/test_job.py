@@ -137,3 +137,22 @@ def test_cli_runs_the_job(spark, relative_tree):
     assert len(written) == 1 and written[0].startswith("daily_report1_")
     led = sorted(r[0] for r in read_ledger(spark, f"{relative_tree}/trg/meta/report1/report1_meta_file.csv").collect())
     assert led == [n(3), n(2), n(1), n(0)]
+
+
+def test_published_report_is_ordered_like_the_reference(spark, tmp_dir):
+    import pandas as pd
+
+    from tests.fixtures import TICK_DDL
+    from daybar.sources import write_day_tree
+    # several instruments, written in scrambled order
+    rows = []
+    for i, isin in enumerate(["C9", "A1", "B5"]):
+        for k in (3, 1, 2, 4):
+            rows.append((isin, "X", n(k), "09:00", 10.0 + i + k, 1.0, 9.0, 20.0, 10 * k))
+    write_day_tree(spark.createDataFrame(rows, TICK_DDL).repartition(3), f"{tmp_dir}/src")
+    cfg = JobConfig(source_path=f"{tmp_dir}/src", target_prefix=f"{tmp_dir}/trg/r_", ledger_path=f"{tmp_dir}/led",
+                    first_date=n(3))
+    res = run(spark, cfg, TODAY, now=dt.datetime(2030, 1, 1, 0, 0, 1))
+    got = pd.read_parquet(res.target)
+    keys = list(zip(got["ISIN"], got["Date"]))
+    assert keys == sorted(keys) and len(keys) == 9
