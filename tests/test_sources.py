@@ -125,3 +125,11 @@ def test_known_header_skips_inference_and_still_checks_files(spark, f1_tree, tmp
     write_tick_csvs(f1_tree, [(F1[5][1], F1[5][0]) + F1[5][2:]], names=["2021-04-18/z.csv"], columns=swapped)
     with pytest.raises(Exception, match="(?i)header|schema|CSV"):
         read_days(spark, f1_tree, days, src).collect()
+
+
+def test_read_since_hive_layout(spark, tmp_dir):
+    from daybar.sources import write_day_tree
+    from tests.fixtures import TICK_DDL
+    write_day_tree(spark.createDataFrame(F1, TICK_DDL), f"{tmp_dir}/h", layout="hive")
+    got = read_since(spark, f"{tmp_dir}/h", "2021-04-18", layout="hive")
+    assert _sorted(got) == sorted(F1[4:])
