@@ -156,3 +156,15 @@ def test_published_report_is_ordered_like_the_reference(spark, tmp_dir):
     got = pd.read_parquet(res.target)
     keys = list(zip(got["ISIN"], got["Date"]))
     assert keys == sorted(keys) and len(keys) == 9
+
+
+def test_na_mnemonic_in_csv_drops_the_tick(spark, tmp_dir):
+    # 'NA' is a missing-value token for the reference's reader: the tick is dropped.
+    rows = [r[:2] + (n(2),) + r[3:] for r in F1[2:4]]
+    bad = ("AT0000A0E9W5", "NA", n(2), "06:00", 1.0, 1.0, 1.0, 99.0, 5)
+    write_tick_csvs(f"{tmp_dir}/src", rows + [bad], names=[f"{n(2)}/a.csv", f"{n(2)}/b.csv", f"{n(2)}/c.csv"])
+    cfg = JobConfig(source_path=f"{tmp_dir}/src", target_prefix=f"{tmp_dir}/trg/r_", ledger_path=f"{tmp_dir}/led",
+                    first_date=n(2))
+    res = run(spark, cfg, TODAY, now=dt.datetime(2030, 1, 1, 0, 0, 1))
+    (row,) = spark.read.parquet(res.target).collect()
+    assert (row["opening_price_eur"], row["maximum_price_eur"], row["daily_traded_volume"]) == (20.21, 21.34, 1088)
