@@ -19,3 +19,19 @@ def test_stream_reports_new_days_then_late_files(spark, tmp_dir):
     q.awaitTermination()
     rows = sorted(tuple(r) for r in published_reports(spark, cfg).collect())
     assert rows == sorted(F2)
+
+
+def test_late_file_for_a_reported_day_is_reported_again(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    write_tick_csvs(src, F1[1:3])  # 04-16, 04-17 13:00
+    cfg = JobConfig(source_path=src, target_prefix=f"{tmp_dir}/trg/r_", ledger_path=f"{tmp_dir}/unused",
+                    first_date="2021-04-17")
+    ck = f"{tmp_dir}/ck"
+    start_report_stream(spark, cfg, ck).awaitTermination()
+    first = [tuple(r) for r in published_reports(spark, cfg).collect()]
+    assert [r[1] for r in first] == ["2021-04-17"] and first[0][3] == 20.21  # close = only tick so far
+    # The 14:00 file for 04-17 arrives late: the day is recomputed in full.
+    write_tick_csvs(src, [F1[3]], names=["2021-04-17/2021-04-17_BINS_XETR14.csv"])
+    start_report_stream(spark, cfg, ck).awaitTermination()
+    rows = sorted(tuple(r) for r in published_reports(spark, cfg).collect())
+    assert len(rows) == 2 and F2[0] in rows
