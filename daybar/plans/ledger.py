@@ -31,11 +31,15 @@ def _header(spark: SparkSession, path: str) -> list[str] | None:
         raise
 
 
-def read_ledger(spark: SparkSession, path: str, keys: tuple[str, ...] = ()) -> DataFrame | None:
+def read_ledger(spark: SparkSession, path: str, keys: tuple[str, ...] = (),
+                ordered: bool = False) -> DataFrame | None:
     """Ledger rows as strings, or ``None`` when there is no ledger yet.
 
     The header must hold exactly the ledger columns (plus ``keys``), in any
     order; every part file is then checked against it while it is read.
+    ``ordered`` returns rows in append order: older part files first, and
+    days ascending within a part file (each run appends its days in that
+    order). Planning only needs the set, so it does not ask for it.
     """
     if not path_exists(spark, path):
         return None
@@ -47,6 +51,9 @@ def read_ledger(spark: SparkSession, path: str, keys: tuple[str, ...] = ()) -> D
         raise LedgerSchemaError(f"ledger columns {header} != {expected}")
     df = (spark.read.schema(string_schema(header)).option("header", True)
           .option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
+    if ordered:
+        df = df.orderBy(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"),
+                        *[F.col(k) for k in keys], F.col(LEDGER_DAY_COL))
     return df.select(*expected)
 
 

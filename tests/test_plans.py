@@ -41,6 +41,9 @@ def test_append_keeps_old_rows(spark, tmp_dir):
     append_ledger(spark, p, ["2021-04-16", "2021-04-17"], TODAY)
     days = sorted(r[0] for r in read_ledger(spark, p).collect())
     assert days == ["2021-04-12", "2021-04-13", "2021-04-16", "2021-04-17"]
+    # old rows first, then the new ones (the reference's concat order)
+    in_order = [r[0] for r in read_ledger(spark, p, ordered=True).collect()]
+    assert in_order == ["2021-04-12", "2021-04-13", "2021-04-16", "2021-04-17"]
 
 
 @pytest.mark.parametrize("header", ["wrong_column,datetime_of_processing",
