@@ -30,20 +30,31 @@ def _tick_key(src: SourceColumns) -> Column | None:
     return tick_order_key(t, _q(src.start_price))
 
 
-def first_price(src: SourceColumns) -> Column:
-    """StartPrice of the day's earliest tick (aggregate expression)."""
+ORDER_COL = "__tick_order"
+
+
+def with_tick_order(ticks: DataFrame, src: SourceColumns = SourceColumns()) -> DataFrame:
+    """Add the ordering column once, in the projection below the aggregate.
+
+    Both first and last read it, so it is built once per row in generated
+    code instead of once per aggregate function.
+    """
     key = _tick_key(src)
-    if key is None:
-        return F.min(_tick(src)).getField("p")
-    return F.min_by(_q(src.start_price), key)
+    return ticks.withColumn(ORDER_COL, key if key is not None else _tick(src))
+
+
+def first_price(src: SourceColumns) -> Column:
+    """StartPrice of the day's earliest tick (aggregate over ``with_tick_order``)."""
+    if src.time_order == "text":
+        return F.min(F.col(ORDER_COL)).getField("p")
+    return F.min_by(_q(src.start_price), F.col(ORDER_COL))
 
 
 def last_price(src: SourceColumns) -> Column:
-    """StartPrice of the day's latest tick (the reference's "closing price")."""
-    key = _tick_key(src)
-    if key is None:
-        return F.max(_tick(src)).getField("p")
-    return F.max_by(_q(src.start_price), key)
+    """StartPrice of the day's latest tick, the reference's "closing price" (over ``with_tick_order``)."""
+    if src.time_order == "text":
+        return F.max(F.col(ORDER_COL)).getField("p")
+    return F.max_by(_q(src.start_price), F.col(ORDER_COL))
 
 
 def daily_bars(ticks: DataFrame, src: SourceColumns = SourceColumns(),
@@ -55,7 +66,7 @@ def daily_bars(ticks: DataFrame, src: SourceColumns = SourceColumns(),
     one row per map task across the network. With the default text ordering
     Spark plans it sort-based (struct buffers); see ``SourceColumns.time_order``.
     """
-    return ticks.groupBy(_q(src.isin), _q(src.date)).agg(
+    return with_tick_order(ticks, src).groupBy(_q(src.isin), _q(src.date)).agg(
         first_price(src).alias(rep.opening_price),
         last_price(src).alias(rep.closing_price),
         F.min(_q(src.min_price)).alias(rep.minimum_price),
@@ -73,5 +84,6 @@ def open_per_tick(ticks: DataFrame, src: SourceColumns = SourceColumns(),
     combined map-side and the join is planned (broadcast or skew-split) by AQE
     from the measured size of the per-day side.
     """
-    opens = ticks.groupBy(_q(src.isin), _q(src.date)).agg(first_price(src).alias(rep.opening_price))
+    opens = with_tick_order(ticks, src).groupBy(_q(src.isin), _q(src.date)).agg(
+        first_price(src).alias(rep.opening_price))
     return ticks.join(opens, on=[src.isin, src.date], how="left")
