@@ -38,6 +38,31 @@ def _writer(df: DataFrame, fmt: str):
     return w.format(fmt)
 
 
+STALE_STAGING_HOURS = 24
+
+
+def clean_stale_staging(spark, parent: str, max_age_hours: float = STALE_STAGING_HOURS) -> int:
+    """Remove ``_staging-*`` folders in ``parent`` older than ``max_age_hours``.
+
+    They are what a publish leaves when its driver dies between write and
+    rename. Fresh ones may belong to a run in progress and are kept.
+    """
+    import time
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(parent)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    cutoff_ms = (time.time() - max_age_hours * 3600) * 1000
+    removed = 0
+    for st in fs.listStatus(root):
+        if st.isDirectory() and st.getPath().getName().startswith("_staging-") \
+                and st.getModificationTime() < cutoff_ms:
+            fs.delete(st.getPath(), True)
+            removed += 1
+    return removed
+
+
 def publish(df: DataFrame, path: str, fmt: str, *, partitions: int | None = None) -> str | None:
     """Write ``df`` to ``path`` unless it has no rows; return the path or None.
 
@@ -56,6 +81,8 @@ def publish(df: DataFrame, path: str, fmt: str, *, partitions: int | None = None
     if partitions:
         counted = counted.coalesce(partitions)
     parent, _, leaf = path.rstrip("/").rpartition("/")
+    if parent:
+        clean_stale_staging(spark, parent)
     staging = f"{parent}/_staging-{uuid.uuid4().hex[:12]}-{leaf}" if parent else f"_staging-{leaf}"
     _writer(counted, fmt).save(staging)
     rows = int(obs.get.get("rows", 0) or 0)

@@ -41,3 +41,16 @@ def test_publish_never_overwrites(spark, tmp_dir):
         publish(df, path, "parquet")
     assert sorted(os.listdir(path)) == sorted(n for n in os.listdir(path))  # unchanged, nothing nested
     assert not [n for n in os.listdir(path) if n.startswith("_staging")]
+
+
+def test_stale_staging_folders_are_removed(spark, tmp_dir):
+    import time
+    old = os.path.join(tmp_dir, "_staging-dead-run")
+    fresh = os.path.join(tmp_dir, "_staging-live-run")
+    os.makedirs(old)
+    os.makedirs(fresh)
+    past = time.time() - 3 * 24 * 3600
+    os.utime(old, (past, past))
+    df = spark.createDataFrame([("A", "B")], "col1 string, col2 string")
+    publish(df, f"{tmp_dir}/t.parquet", "parquet")
+    assert not os.path.exists(old) and os.path.exists(fresh)
