@@ -58,7 +58,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
     root = tempfile.mkdtemp(prefix="daybar-ckpt-")
     sc.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
+    try:  # mirror it in the conf where the session allows setting core keys
+        spark.conf.set("spark.checkpoint.dir", root)
+    except Exception:  # noqa: BLE001 - getCheckpointDir() above finds it next time
+        pass
     return root
 
 
