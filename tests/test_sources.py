@@ -133,3 +133,12 @@ def test_read_since_hive_layout(spark, tmp_dir):
     write_day_tree(spark.createDataFrame(F1, TICK_DDL), f"{tmp_dir}/h", layout="hive")
     got = read_since(spark, f"{tmp_dir}/h", "2021-04-18", layout="hive")
     assert _sorted(got) == sorted(F1[4:])
+
+
+def test_listing_and_scan_with_space_in_base(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "my bucket")
+    write_tick_csvs(base, F1[1:3])
+    keys = sorted(r["key"] for r in list_objects(spark, base, "2021-04").collect())
+    assert keys == ["2021-04-16/2021-04-16_BINS_XETR15.csv", "2021-04-17/2021-04-17_BINS_XETR13.csv"]
+    assert _sorted(read_days(spark, base, ["2021-04-16", "2021-04-17"])) == sorted(F1[1:3])
+    assert _sorted(read_since(spark, base, "2021-04-17")) == [F1[2]]
