@@ -29,13 +29,27 @@ def build_session(master: str = "local[*]", app: str = "daybar", shuffle_partiti
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    apply_required_conf(spark)
     return spark
 
 
+LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_SPARK_DEFAULT_LISTING_PARALLELISM = "10000"
+
+
 def apply_required_conf(spark: SparkSession) -> None:
-    """Runtime SQL settings; safe to call on a session somebody else built."""
+    """Runtime SQL settings; safe to call on a session somebody else built.
+
+    Folder listing: Spark lists many paths with one task per folder (up to
+    10000). A backfill over thousands of day folders then spends its time
+    scheduling tiny listing tasks (2,500 folders: 8.6 s vs 0.6 s locally), so
+    unless the session chose a value itself, the listing is spread over the
+    cores the cluster has instead.
+    """
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    if spark.conf.get(LISTING_PARALLELISM, _SPARK_DEFAULT_LISTING_PARALLELISM) == _SPARK_DEFAULT_LISTING_PARALLELISM:
+        spark.conf.set(LISTING_PARALLELISM, str(max(8, spark.sparkContext.defaultParallelism)))
 
 
 def _hadoop_path(spark: SparkSession, path: str):
