@@ -53,10 +53,10 @@ def _bars(spark, sf_dir, kind, src=None):
     return daily_bars(select_ticks(_ticks(spark, sf_dir, kind), src), src)
 
 
-def _tree(spark, sf_dir, layout="prefix"):
+def _tree(spark, sf_dir, layout="prefix", **csv_opts):
     """The events ticks written as a day-keyed CSV tree; returns its path."""
     base = scratch_path(spark, f"src-{layout}")
-    write_day_tree(_ticks(spark, sf_dir), base, layout=layout)
+    write_day_tree(_ticks(spark, sf_dir), base, layout=layout, **csv_opts)
     return base
 
 
@@ -157,6 +157,19 @@ def q_scan_since(spark, sf_dir):
     return read_since(spark, _tree(spark, sf_dir), SINCE)
 
 
+def q_scan_days_semicolon_latin1(spark, sf_dir):
+    # CSV scan options of the reference reader: separator and encoding.
+    base = _tree(spark, sf_dir, sep=";", encoding="ISO-8859-1")
+    return read_days(spark, base, list(SCAN_DAYS), sep=";", encoding="ISO-8859-1")
+
+
+def q_list_all_objects(spark, sf_dir):
+    # Listing with no prefix: every key; reduced to its day folder and file type.
+    keys = list_objects(spark, _tree(spark, sf_dir))
+    return keys.select(D.first_path_segment("key").alias("day"),
+                       F.regexp_extract("key", r"\.([a-z]+)$", 1).alias("ext")).distinct()
+
+
 def q_list_objects(spark, sf_dir):
     keys = list_objects(spark, _tree(spark, sf_dir), "2024-01")
     return keys.select(D.first_path_segment("key").alias("day")).distinct()
@@ -286,7 +299,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "scan_days": q_scan_days,
         "scan_days_hive": q_scan_days_hive,
         "scan_since": q_scan_since,
+        "scan_days_semicolon_latin1": q_scan_days_semicolon_latin1,
         "list_objects": q_list_objects,
+        "list_all_objects": q_list_all_objects,
         "union_by_name": q_union_by_name,
         "sink_parquet": q_sink_parquet,
         "sink_csv": q_sink_csv,
@@ -393,6 +408,8 @@ def oracle_sql() -> dict[str, str]:
         "scan_since": f"""select * from ({_EV}) t where "Date" >= '{SINCE}'""",
         "list_objects": """select distinct strftime(ts, '%Y-%m-%d') as day from events
                            where strftime(ts, '%Y-%m-%d') like '2024-01%'""",
+        "scan_days_semicolon_latin1": f"""select * from ({_EV}) t where "Date" in ({days})""",
+        "list_all_objects": """select distinct strftime(ts, '%Y-%m-%d') as day, 'csv' as ext from events""",
         "union_by_name": f"""select * from ({_EV}) a union all by name
                              select "ISIN", "Date", "StartPrice", "TradedVolume" from ({_LI}) b""",
         "sink_parquet": _report(_LI, "1996-01-01"),

@@ -123,7 +123,8 @@ def read_since(spark: SparkSession, base: str, cutoff: str, src: SourceColumns =
 
 
 def write_day_tree(ticks: DataFrame, base: str, src: SourceColumns = SourceColumns(), *,
-                   layout: str = "prefix", fmt: str = "csv") -> list[str]:
+                   layout: str = "prefix", fmt: str = "csv", sep: str = ",",
+                   encoding: str = "utf-8") -> list[str]:
     """Lay ticks out as a day-keyed tree; returns the days written.
 
     ``hive``: ``base/<Date>=<day>/part-*``. ``prefix``: ``base/<day>/part-*``
@@ -132,7 +133,7 @@ def write_day_tree(ticks: DataFrame, base: str, src: SourceColumns = SourceColum
     renames the day folders (one rename per day, no data copied).
     """
     spark = ticks.sparkSession
-    opts = {"header": "true"} if fmt == "csv" else {}
+    opts = {"header": "true", "sep": sep, "encoding": encoding} if fmt == "csv" else {}
     if layout == "hive":
         ticks.write.mode("errorifexists").options(**opts).partitionBy(src.date).format(fmt).save(base)
         part = src.date
