@@ -142,3 +142,14 @@ def test_listing_and_scan_with_space_in_base(spark, tmp_dir):
     assert keys == ["2021-04-16/2021-04-16_BINS_XETR15.csv", "2021-04-17/2021-04-17_BINS_XETR13.csv"]
     assert _sorted(read_days(spark, base, ["2021-04-16", "2021-04-17"])) == sorted(F1[1:3])
     assert _sorted(read_since(spark, base, "2021-04-17")) == [F1[2]]
+
+
+def test_row_with_wrong_field_count_raises(spark, tmp_dir):
+    # FAILFAST: a truncated or overlong row is an error, never silently reshaped.
+    p = os.path.join(tmp_dir, "2021-04-16")
+    os.makedirs(p)
+    with open(os.path.join(p, "a.csv"), "w") as fh:
+        fh.write(",".join(TICK_COLUMNS) + "\n")
+        fh.write("AT0000A0E9W5,SANT,2021-04-16,15:00,18.27,21.19\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|MALFORMED"):
+        read_days(spark, tmp_dir, ["2021-04-16"]).collect()
