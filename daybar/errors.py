@@ -9,9 +9,5 @@ class LedgerSchemaError(ValueError):
     """The ledger does not have exactly the expected columns."""
 
 
-class SourceLayoutError(ValueError):
-    """Source files disagree on their header layout."""
-
-
 class LedgerLayoutError(ValueError):
     """The ledger path is a single file (the old layout) where a folder is expected."""
