@@ -93,8 +93,9 @@ def job_config_from_mapping(cfg: dict, *, source_root: str | None = None,
     """Build a :class:`JobConfig` from the reference job's YAML layout.
 
     Sections ``source`` (``src_*``), ``target`` (``trg_*``), ``meta``
-    (``meta_key``) and ``s3`` (buckets); an optional ``src_file_columns`` gives the
-    files' full header. Paths are the buckets as ``s3a://``
+    (``meta_key``) and ``s3`` (buckets). Optional source keys: ``src_file_columns``
+    (the files' full header), ``src_layout`` (prefix | hive), ``src_format``
+    (csv | parquet), ``src_sep``, ``src_encoding``. Paths are the buckets as ``s3a://``
     roots unless ``source_root`` / ``target_root`` are given; credentials and
     endpoints belong in the Hadoop configuration, not here. The declared but
     unused ``trg_col_isin`` / ``trg_col_date`` are accepted and ignored: the
@@ -124,4 +125,6 @@ def job_config_from_mapping(cfg: dict, *, source_root: str | None = None,
         ledger_path=f"{target_root}/{meta['meta_key']}", first_date=str(src["src_first_extract_date"]),
         source=source, report=report, target_format=trg["trg_format"],
         target_time_format=_spark_time_format(trg.get("trg_key_date_format", "%Y%m%d_%H%M%S")),
+        source_layout=src.get("src_layout", "prefix"), source_format=src.get("src_format", "csv"),
+        csv_sep=src.get("src_sep", ","), csv_encoding=src.get("src_encoding", "utf-8"),
     )

@@ -168,3 +168,16 @@ def test_na_mnemonic_in_csv_drops_the_tick(spark, tmp_dir):
     res = run(spark, cfg, TODAY, now=dt.datetime(2030, 1, 1, 0, 0, 1))
     (row,) = spark.read.parquet(res.target).collect()
     assert (row["opening_price_eur"], row["maximum_price_eur"], row["daily_traded_volume"]) == (20.21, 21.34, 1088)
+
+
+def test_config_mapping_optional_source_keys():
+    import yaml
+
+    from daybar.config import job_config_from_mapping
+    raw = yaml.safe_load(CONFIG_YAML.format(first="2021-04-17"))
+    assert job_config_from_mapping(raw).source_layout == "prefix"
+    raw["source"].update(src_layout="hive", src_format="parquet", src_sep=";", src_encoding="ISO-8859-1",
+                         src_file_columns=["ISIN", "Date"])
+    cfg = job_config_from_mapping(raw)
+    assert (cfg.source_layout, cfg.source_format, cfg.csv_sep, cfg.csv_encoding) == ("hive", "parquet", ";", "ISO-8859-1")
+    assert cfg.source.file_columns == ("ISIN", "Date")
