@@ -27,14 +27,32 @@ from daybar.sources.days import read_days, top_level_days
 log = logging.getLogger(__name__)
 
 
+def _newest_day_folder(spark: SparkSession, cfg: JobConfig) -> str | None:
+    """Path of the newest day entry: ``<day>…`` (prefix) or ``<date col>=<day>`` (hive)."""
+    if cfg.source_layout == "prefix":
+        days = top_level_days(spark, cfg.source_path)
+        return days[-1][1] if days else None
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(cfg.source_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    prefix = cfg.source.date + "="
+    names = sorted(str(st.getPath().toString()) for st in fs.listStatus(root)
+                   if st.isDirectory() and st.getPath().getName().startswith(prefix))
+    return names[-1] if names else None
+
+
 def _header(spark: SparkSession, cfg: JobConfig) -> list[str]:
     """Header of the newest day's files (one top-level listing, one day read)."""
-    days = top_level_days(spark, cfg.source_path)
-    if not days:
-        return list(cfg.source.columns)
-    df = read_csv(spark, days[-1][1], sep=cfg.csv_sep, encoding=cfg.csv_encoding, recursive=True,
-                  na_tokens=False)
-    return df.columns if df is not None else list(cfg.source.columns)
+    if cfg.source.file_columns:
+        return list(cfg.source.file_columns)
+    newest = _newest_day_folder(spark, cfg)
+    df = None if newest is None else read_csv(spark, newest, sep=cfg.csv_sep, encoding=cfg.csv_encoding,
+                                              recursive=True, na_tokens=False)
+    if df is not None:
+        return df.columns
+    return [c for c in cfg.source.columns if not (cfg.source_layout == "hive" and c == cfg.source.date)]
 
 
 def report_batch(spark: SparkSession, cfg: JobConfig, days: list[str], batch_id: int) -> str | None:
@@ -62,16 +80,24 @@ def start_report_stream(spark: SparkSession, cfg: JobConfig, checkpoint: str | N
     report is a batch query over exactly those days.
     """
     check_format(cfg.target_format)
-    if cfg.source_format != "csv" or cfg.source_layout != "prefix":
-        raise ValueError("the stream reads day-keyed CSV trees (prefix layout)")
+    if cfg.source_format != "csv" or cfg.source_layout not in ("prefix", "hive"):
+        raise ValueError("the stream reads day-keyed CSV trees (prefix or hive layout)")
     apply_required_conf(spark)
     header = _header(spark, cfg)
+    hive = cfg.source_layout == "hive"
+    if hive:  # the day comes from the folder name, filled in by partition discovery
+        header = [c for c in header if c != cfg.source.date] + [cfg.source.date]
     reader = (spark.readStream.schema(string_schema(header)).option("header", True)
               .option("sep", cfg.csv_sep).option("encoding", cfg.csv_encoding)
-              .option("enforceSchema", False).option("recursiveFileLookup", True))
+              .option("enforceSchema", False))
+    if not hive:  # recursive lookup would switch partition discovery off
+        reader = reader.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    days = reader.csv(cfg.source_path).select(F.col(f"`{cfg.source.date}`").alias("day"))
+    day = F.col(f"`{cfg.source.date}`")
+    if hive:
+        day = F.date_format(day, "yyyy-MM-dd")
+    days = reader.csv(cfg.source_path).select(day.alias("day"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         touched = [r["day"] for r in batch.where(F.col("day").isNotNull()).distinct().collect()]

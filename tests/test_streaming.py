@@ -35,3 +35,14 @@ def test_late_file_for_a_reported_day_is_reported_again(spark, tmp_dir):
     start_report_stream(spark, cfg, ck).awaitTermination()
     rows = sorted(tuple(r) for r in published_reports(spark, cfg).collect())
     assert len(rows) == 2 and F2[0] in rows
+
+
+def test_stream_over_hive_layout(spark, tmp_dir):
+    from daybar.sources import write_day_tree
+    from tests.fixtures import TICK_DDL
+    src = f"{tmp_dir}/src"
+    write_day_tree(spark.createDataFrame(F1[1:], TICK_DDL), src, layout="hive")
+    cfg = JobConfig(source_path=src, target_prefix=f"{tmp_dir}/trg/r_", ledger_path=f"{tmp_dir}/unused",
+                    first_date="2021-04-17", source_layout="hive")
+    start_report_stream(spark, cfg, f"{tmp_dir}/ck").awaitTermination()
+    assert sorted(tuple(r) for r in published_reports(spark, cfg).collect()) == sorted(F2)
