@@ -80,16 +80,25 @@ def start_report_stream(spark: SparkSession, cfg: JobConfig, checkpoint: str | N
     report is a batch query over exactly those days.
     """
     check_format(cfg.target_format)
-    if cfg.source_format != "csv" or cfg.source_layout not in ("prefix", "hive"):
-        raise ValueError("the stream reads day-keyed CSV trees (prefix or hive layout)")
+    if cfg.source_format not in ("csv", "parquet") or cfg.source_layout not in ("prefix", "hive"):
+        raise ValueError("the stream reads day-keyed CSV or Parquet trees (prefix or hive layout)")
     apply_required_conf(spark)
-    header = _header(spark, cfg)
     hive = cfg.source_layout == "hive"
-    if hive:  # the day comes from the folder name, filled in by partition discovery
-        header = [c for c in header if c != cfg.source.date] + [cfg.source.date]
-    reader = (spark.readStream.schema(string_schema(header)).option("header", True)
-              .option("sep", cfg.csv_sep).option("encoding", cfg.csv_encoding)
-              .option("enforceSchema", False))
+    if cfg.source_format == "csv":
+        header = _header(spark, cfg)
+        if hive:  # the day comes from the folder name, filled in by partition discovery
+            header = [c for c in header if c != cfg.source.date] + [cfg.source.date]
+        reader = (spark.readStream.schema(string_schema(header)).option("header", True)
+                  .option("sep", cfg.csv_sep).option("encoding", cfg.csv_encoding)
+                  .option("enforceSchema", False))
+    else:  # a file stream needs its schema up front: take it from the newest day
+        newest = _newest_day_folder(spark, cfg)
+        if newest is None:
+            raise ValueError(f"no day folders under {cfg.source_path} to take the Parquet schema from")
+        schema = spark.read.option("recursiveFileLookup", True).parquet(newest).schema
+        if hive:
+            schema = schema.add(cfg.source.date, "string")
+        reader = spark.readStream.schema(schema)
     if not hive:  # recursive lookup would switch partition discovery off
         reader = reader.option("recursiveFileLookup", True)
     if max_files_per_trigger:
@@ -97,7 +106,7 @@ def start_report_stream(spark: SparkSession, cfg: JobConfig, checkpoint: str | N
     day = F.col(f"`{cfg.source.date}`")
     if hive:
         day = F.date_format(day, "yyyy-MM-dd")
-    days = reader.csv(cfg.source_path).select(day.alias("day"))
+    days = reader.format(cfg.source_format).load(cfg.source_path).select(day.alias("day"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         touched = [r["day"] for r in batch.where(F.col("day").isNotNull()).distinct().collect()]

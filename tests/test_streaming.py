@@ -46,3 +46,15 @@ def test_stream_over_hive_layout(spark, tmp_dir):
                     first_date="2021-04-17", source_layout="hive")
     start_report_stream(spark, cfg, f"{tmp_dir}/ck").awaitTermination()
     assert sorted(tuple(r) for r in published_reports(spark, cfg).collect()) == sorted(F2)
+
+
+def test_stream_over_parquet_trees(spark, tmp_dir):
+    from daybar.sources import write_day_tree
+    from tests.fixtures import TICK_DDL
+    for layout in ("prefix", "hive"):
+        src = f"{tmp_dir}/{layout}/src"
+        write_day_tree(spark.createDataFrame(F1[1:], TICK_DDL), src, layout=layout, fmt="parquet")
+        cfg = JobConfig(source_path=src, target_prefix=f"{tmp_dir}/{layout}/trg/r_", ledger_path=f"{tmp_dir}/x",
+                        first_date="2021-04-17", source_layout=layout, source_format="parquet")
+        start_report_stream(spark, cfg, f"{tmp_dir}/{layout}/ck").awaitTermination()
+        assert sorted(tuple(r) for r in published_reports(spark, cfg).collect()) == sorted(F2), layout
