@@ -65,6 +65,8 @@ def report_batch(spark: SparkSession, cfg: JobConfig, days: list[str], batch_id:
                       fmt=cfg.source_format, sep=cfg.csv_sep, encoding=cfg.csv_encoding, drop_missing=True)
     rep = daily_report(ticks, cfg.source, cfg.report, None, cfg.change_on, drop_missing=False)
     rep = rep.where(F.col(f"`{cfg.source.date}`").isin(days))
+    if cfg.sorted_output:
+        rep = rep.orderBy(F.col(f"`{cfg.source.isin}`"), F.col(f"`{cfg.source.date}`"))
     target = f"{cfg.target_prefix}batch_{batch_id:010d}.{cfg.target_format}"
     if path_exists(spark, target):  # the batch was published before a restart
         return target
@@ -77,7 +79,9 @@ def start_report_stream(spark: SparkSession, cfg: JobConfig, checkpoint: str | N
 
     The stream itself carries only the day column of new files; the days of
     one micro-batch are collected (at most one entry per calendar day) and the
-    report is a batch query over exactly those days.
+    report is a batch query over exactly those days. Pass the same
+    ``checkpoint`` (a shared folder) on every start to resume where the last
+    run stopped; without one, a fresh folder is used and the whole tree is new.
     """
     check_format(cfg.target_format)
     if cfg.source_format not in ("csv", "parquet") or cfg.source_layout not in ("prefix", "hive"):
