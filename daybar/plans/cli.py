@@ -1,7 +1,7 @@
 """``spark-submit`` entry point: run the daily report job from a YAML config.
 
     spark-submit --py-files daybar.zip daybar/plans/cli.py config.yml [--as-of YYYY-MM-DD]
-        [--source-root PATH] [--target-root PATH]
+        [--source-root PATH] [--target-root PATH] [--stream --checkpoint PATH]
 
 The session comes from ``spark-submit`` (cluster settings, ``spark.checkpoint.dir``).
 """
@@ -24,7 +24,12 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=None, help="run date (default: today)")
     ap.add_argument("--source-root", default=None)
     ap.add_argument("--target-root", default=None)
+    ap.add_argument("--stream", action="store_true",
+                    help="process new files with the Structured Streaming trigger instead of the ledger")
+    ap.add_argument("--checkpoint", default=None, help="stream checkpoint folder (required with --stream)")
     args = ap.parse_args(argv)
+    if args.stream and not args.checkpoint:
+        ap.error("--stream needs --checkpoint (a shared folder kept between runs)")
     import yaml
     with open(args.config) as fh:
         raw = yaml.safe_load(fh)
@@ -32,6 +37,10 @@ def main(argv=None) -> None:
         logging.config.dictConfig(raw["logging"])
     cfg = job_config_from_mapping(raw, source_root=args.source_root, target_root=args.target_root)
     spark = SparkSession.builder.appName("daybar-report1").getOrCreate()
+    if args.stream:
+        from daybar.streaming import start_report_stream
+        start_report_stream(spark, cfg, args.checkpoint).awaitTermination()
+        return
     res = run(spark, cfg, args.as_of)
     logging.getLogger(__name__).info("cutoff %s, published %s, recorded %d day(s)",
                                      res.plan.cutoff, res.target, len(res.recorded))

@@ -181,3 +181,19 @@ def test_config_mapping_optional_source_keys():
     cfg = job_config_from_mapping(raw)
     assert (cfg.source_layout, cfg.source_format, cfg.csv_sep, cfg.csv_encoding) == ("hive", "parquet", ";", "ISO-8859-1")
     assert cfg.source.file_columns == ("ISIN", "Date")
+
+
+def test_cli_stream_mode(spark, relative_tree):
+    from daybar.plans.cli import main
+    cfg_path = f"{relative_tree}/config.yml"
+    with open(cfg_path, "w") as fh:
+        fh.write(CONFIG_YAML.format(first=n(3)))
+    args = [cfg_path, "--source-root", f"{relative_tree}/src", "--target-root", f"{relative_tree}/trg",
+            "--stream", "--checkpoint", f"{relative_tree}/ck"]
+    main(args)
+    written = [d for d in os.listdir(f"{relative_tree}/trg/report1") if d.startswith("daily_report1_batch_")]
+    assert len(written) == 1
+    out = spark.read.parquet(f"{relative_tree}/trg/report1/{written[0]}").orderBy("Date").collect()
+    assert [tuple(r)[2:] for r in out] == [r[2:] for r in F2]
+    main(args)  # nothing new: no second report
+    assert len([d for d in os.listdir(f"{relative_tree}/trg/report1") if d.startswith("daily_report1_batch_")]) == 1
