@@ -153,3 +153,12 @@ def test_row_with_wrong_field_count_raises(spark, tmp_dir):
         fh.write("AT0000A0E9W5,SANT,2021-04-16,15:00,18.27,21.19\n")
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST|MALFORMED"):
         read_days(spark, tmp_dir, ["2021-04-16"]).collect()
+
+
+def test_listing_prefix_with_glob_characters(spark, tmp_dir):
+    for name in ("x[1]/a.csv", "x1/b.csv", "y{a,b}/c.csv"):
+        p = os.path.join(tmp_dir, name)
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        open(p, "w").write("c\n1\n")
+    assert [r["key"] for r in list_objects(spark, tmp_dir, "x[1]").collect()] == ["x[1]/a.csv"]
+    assert [r["key"] for r in list_objects(spark, tmp_dir, "y{a,b}").collect()] == ["y{a,b}/c.csv"]
