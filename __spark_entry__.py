@@ -30,6 +30,16 @@ from daybar.sources import (
 from daybar.sources.adapters import LINEITEM_TIME_ORDER, source_columns, table
 from daybar.streaming import published_reports, start_report_stream
 
+try:  # the llm operators and their pipeline are optional
+    from daybar.llm.queries import QUERIES as _LLM_QUERIES, SQL as _LLM_SQL
+except ImportError:
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+try:
+    import corpus_pipeline
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": corpus_pipeline.run}
+except ImportError:
+    pass
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Fixed parameters of the registered queries (the oracle SQL uses the same).
@@ -275,7 +285,7 @@ def _with_conf(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _with_conf(fn) for name, fn in _QUERIES.items()}
+    return {name: _with_conf(fn) for name, fn in {**_QUERIES, **_LLM_QUERIES}.items()}
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -439,4 +449,5 @@ from kc join m on kc.isin = m.isin where kc.d >= m.m - 1""",
         "job_twice": _report(f"""select * from ({_EV}) e where "Date" between '{JOB_LOOKBACK}' and '{JOB_AS_OF}'""",
                              JOB_FIRST),
         "stream_report": _report(_EV, STREAM_FIRST),
+        **_LLM_SQL,
     }
