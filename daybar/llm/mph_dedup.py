@@ -80,7 +80,7 @@ def _key_matrix(digests) -> np.ndarray:
     return np.frombuffer(b"".join(bytes(d) for d in digests), np.uint64).reshape(-1, 4)
 
 
-def _index_shard(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _index_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     keys = _key_matrix(rows["digest"])
     levels, slot = build_index(keys)
     order = np.argsort(slot)

@@ -72,12 +72,12 @@ def _license_sql() -> str:
 d as (select doc_id, row_number() over () as rid,
              list_transform(string_split(regexp_replace(translate(coalesce(text, ''),
                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9\n]+', ' ', 'g'), chr(10)),
-               x -> trim(x)) as lines from documents),
+               lambda x: trim(x)) as lines from documents),
 u as (select rid, unnest(lines) as u, generate_subscripts(lines, 1) as line from d
       union all
       select rid, trim(regexp_replace(array_to_string(lines, ' '), ' +', ' ', 'g')), 0 from d where len(lines) > 1),
 w as (select rid, line, string_split(u, ' ') as w from u where u <> ''),
-p as (select rid, line, len(w) - 1 as n, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) as pairs
+p as (select rid, line, len(w) - 1 as n, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as pairs
       from w where len(w) between 2 and 40),
 s as (select rid, line, name, 2.0::double * len(list_intersect(pairs, own)) / (n + len(own)) as dice from p, t),
 b as (select *, row_number() over (partition by rid order by dice desc, line, name) as k,
