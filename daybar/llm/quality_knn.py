@@ -4,7 +4,7 @@ Texts become log-scaled, idf-weighted counts of hashed byte trigrams, and the
 share of words that repeat the word before; the singular directions of a bounded sample of labelled texts span the latent space. The sample's vectors (``MAX_LABELLED`` rows of ``RANK`` floats,
 1 MB) are sent to every task. A task takes blocks of documents, computes all
 exact cosine products of a block with the labelled vectors as one matrix
-product, and lets the nearest vote with their similarity as weight. Short texts lean to the prior. No index
+product, and lets the nearest vote, weighted by (a power of) their similarity. Short texts lean to the prior. No index
 and no pruning: every document meets every labelled vector.
 
 Labels: only rows whose crc32(id) mod 5 is not 0 are learnt from, the
@@ -30,7 +30,8 @@ from daybar.llm.text import as_bytes, chunked, joined, span_hashes, words_of
 MAX_LABELLED = 4096
 TERMS = 2048
 RANK = 64
-NEIGHBOURS = 25
+SHARPNESS = 32       # power of the similarity by which a neighbour votes
+NEIGHBOURS = 9
 BLOCK = 256          # documents in one matrix product
 REPEAT_WEIGHT = 1.5  # of the share of repeated words, against the trigram part's length of 1
 SHORT = 20           # trigrams at which the votes count as much as the prior
@@ -109,7 +110,7 @@ class LatentVotes:
             v = self._latent(_weighted(features, self.idf))
             cosine = v @ self.known.T
             near = np.argpartition(cosine, -k, axis=1)[:, -k:]
-            weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64)
+            weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** SHARPNESS
             total = weight.sum(axis=1)
             got = total > 0
             votes = np.clip((weight * self.labels[near]).sum(axis=1)[got] / total[got], 0, 1)

@@ -13,6 +13,8 @@ from daybar.llm.quality_knn import fit, quality_votes
 from daybar.llm.quality_rules import RepetitionRules, repetition_rules
 from daybar.llm.rans import coded_documents
 from daybar.llm.simhash_bk import simhash_components
+from daybar.llm.subtree_dedup import LENGTH as WINDOW_WORDS, dedup_words
+from daybar.llm.suffix_dedup import LENGTH as STRING_BYTES, dedup_substrings
 from daybar.llm.tables import documents, table
 from daybar.llm.tokens import default_vocabulary
 
@@ -25,6 +27,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir))
 
@@ -34,6 +40,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_words(documents(spark, sf_dir))
+
+
 def op6_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded_documents(documents(spark, sf_dir), default_vocabulary(), end_id=0)
 
@@ -58,8 +68,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op3_quality_rules, op4_quality_classifier, op6_rans, op7_packing, op8_simhash, op9_exact_dedup,
-    op10_mixing)}
+    op1_license_scan, op2_suffix_dedup, op3_quality_rules, op4_quality_classifier, op5_substring_dedup, op6_rans,
+    op7_packing, op8_simhash, op9_exact_dedup, op10_mixing)}
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -124,6 +134,34 @@ b as (select *, n_words < {rules.min_words} or 100 * n_repeat_words > {rules.bas
 select *, not base_failed and not ({verdict}) as kept from b"""
 
 
+# Bytes as pairs of hex digits, so that substrings never cut a character's bytes wrongly.
+_BYTES_SQL = f"""with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+p as (select doc_id, h, unnest(range(0, (strlen(h) // 2)::bigint)) as i from d),
+s as (select doc_id, i, substr(h, (2 * i + 1)::bigint, {2 * STRING_BYTES}) as s from p where i <= strlen(h) // 2 - {STRING_BYTES}),
+m as (select s, min(doc_id) as m from s group by s having count(*) > 1),
+r as (select s.doc_id, s.i from s join m using (s) where m.m < s.doc_id),
+c as (select p.doc_id, p.i, substr(p.h, (2 * p.i + 1)::bigint, 2) as b,
+             coalesce(max(r.i) over (partition by p.doc_id order by p.i rows between unbounded preceding and current row)
+                      > p.i - {STRING_BYTES}, false) as gone
+      from p left join r on p.doc_id = r.doc_id and p.i = r.i),
+g as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) as new from c),
+a as (select doc_id, count(*) filter (gone) as n_removed, count(*) filter (new) as n_spans,
+             sha256(unhex(coalesce(string_agg(b, '' order by i) filter (not gone), ''))) as kept_sha256 from g group by doc_id)
+select d.doc_id, strlen(h) // 2 as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       coalesce(kept_sha256, sha256('')) as kept_sha256 from d left join a using (doc_id)"""
+
+_WORDS_SQL = rf"""with l as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as l from documents),
+w as (select doc_id, unnest(l) as w, generate_subscripts(l, 1) as i from l),
+g as (select doc_id, i, w, case when count(*) over n = {WINDOW_WORDS} then string_agg(w, ' ') over n end as g from w
+      window n as (partition by doc_id order by i rows between current row and {WINDOW_WORDS - 1} following)),
+f as (select doc_id, i, w, g is not null and min(doc_id) over (partition by g) < doc_id as f from g),
+c as (select doc_id, i, w, max(f) over (partition by doc_id order by i rows between {WINDOW_WORDS - 1} preceding and current row) as gone
+      from f),
+a as (select doc_id, count(*) as n_words, count(*) filter (gone) as n_removed,
+             sha256(coalesce(string_agg(w, ' ' order by i) filter (not gone), '')) as kept_sha256 from c group by doc_id)
+select l.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed,
+       coalesce(kept_sha256, sha256('')) as kept_sha256 from l left join a using (doc_id)"""
+
 _DEDUP_SQL = r"""with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
 select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
        doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256 from d"""
@@ -173,7 +211,9 @@ select doc_id, domain, lang, source, n_tokens, unnest(range(1, (epochs + 1)::big
 
 SQL = {
     "op1_license_scan": _license_sql(),
+    "op2_suffix_dedup": _BYTES_SQL,
     "op3_quality_rules": _rules_sql(),
+    "op5_substring_dedup": _WORDS_SQL,
     "op9_exact_dedup": _DEDUP_SQL,
     "op10_mixing": _mix_sql(),
 }

@@ -73,7 +73,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hashes of the byte spans [start, end), which must be ascending and disjoint.
+    """64-bit polynomial hashes of the spans [start, end) of bytes or 64-bit values; both ends must ascend.
 
     Prefix sums of byte * base^i give every span's hash by one subtraction;
     the inverse power takes its position out again.
@@ -85,7 +85,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         a, b = int(starts[i]), int(ends[j - 1])
         up, down = _power_tables(b - a + 1)
         sums = np.zeros(b - a + 1, np.uint64)
-        np.cumsum(_BYTE[data[a:b]] * up[: b - a], out=sums[1:])
+        np.cumsum((_BYTE[data[a:b]] if data.dtype == np.uint8 else data[a:b]) * up[: b - a], out=sums[1:])
         s, e = starts[i:j] - a, ends[i:j] - a
         out[i:j] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)
         i = j
