@@ -38,10 +38,10 @@ from pyspark.sql import functions as F
 from daybar.llm.tables import release, shards_for, written
 from daybar.llm.text import as_bytes, mix, span_hashes
 
-CHUNK = 2 << 20          # bytes of documents in a chunk
+CHUNK = 6 << 20          # bytes of documents in a chunk
 SPAN = 1 << 18           # windows looked at together
 LONGEST_RUN = 1 << 12    # windows in one string
-SHARD_BYTES = 8 << 20    # bytes of input for each shard
+SHARD_BYTES = 24 << 20   # bytes of input for each shard
 HOT_CHUNKS = 64          # an anchor in more chunks is dealt by single windows
 BATCH_UNITS = 1 << 19    # units of strings that a shard compares together (an anchor's strings stay together)
 NO_ID = (1 << 63) - 1    # stands for a null id: after all others
@@ -60,17 +60,21 @@ class Units:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of one length each, compressed; read by ``_unpack`` with the same kinds."""
-    raw = b"".join([np.array([len(a) for a in arrays], "<i8").tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    """Arrays, compressed with the equal bytes of their integers side by side; read by ``_unpack`` with the same kinds."""
+    raw = [np.array([len(a) for a in arrays], "<i8").tobytes()]
+    for a in arrays:
+        raw.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(raw))
 
 
 def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     sizes, at, out = np.frombuffer(raw, "<i8", len(kinds)), 8 * len(kinds), []
     for kind, n in zip(kinds, sizes):
-        out.append(np.frombuffer(raw, kind, int(n), at))
-        at += out[-1].nbytes
+        wide = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, int(n) * wide, at).reshape(wide, int(n))
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += planes.nbytes
     return out
 
 
@@ -170,6 +174,10 @@ class Chunk:
         hashes = span_hashes(self.units, first, first + count + self.kind.length - 1)
         key = np.where(single, mix(hashes), key)
         _, sample, of = np.unique(hashes, return_index=True, return_inverse=True)
+        order = np.argsort(sample)  # distinct strings in the order of the text
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        sample, of = sample[order], rank[of]
         low, high = _least_most(of, doc, len(sample))
         shard = ((key[sample] >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
         return first, doc, of, first[sample], count[sample], key[sample], low, high, shard
