@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from daybar.llm.repeats import Chunk, Units, repeated_windows
 
 LENGTH = 50
-_GRAM = 16
+_GRAM = 24
 
 
 def _packed(a: np.ndarray, b: np.ndarray, c: np.ndarray, bound: int) -> np.ndarray:
@@ -107,9 +107,10 @@ def _eights(units: np.ndarray) -> np.ndarray:
 
 
 def byte_grams(units: np.ndarray) -> np.ndarray:
-    """A hash of the 16 bytes from each place on."""
+    """A hash of the 24 bytes from each place on."""
     eight = _eights(units)
-    x = eight[:-8] * np.uint64(0x9E3779B97F4A7C15) + eight[8:] * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = eight[:-16] * np.uint64(0x9E3779B97F4A7C15) + eight[8:-8] * np.uint64(0xC2B2AE3D27D4EB4F)
+    x += eight[16:] * np.uint64(0x165667B19E3779F9)
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
