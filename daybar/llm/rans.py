@@ -1,7 +1,7 @@
 """Token ids in entropy-coded blocks: a static range asymmetric numeral system.
 
 Token counts of the whole corpus give one frequency table, shared by all
-blocks. A block holds whole documents in ascending id order, some 130,000 ids
+blocks. A block holds whole documents in ascending id order, some 500,000 ids
 (a longer document is a block of its own), and is coded alone: ids go round
 ``LANES`` interleaved states (id i to lane i mod LANES), so numpy codes one id
 of every lane at a time. A block carries its documents' ids and lengths, the
@@ -33,10 +33,10 @@ from daybar.llm.text import as_bytes, chunked
 from daybar.session import scratch_path
 
 MAGIC = b"DBR1"
-BLOCK_TOKENS = 1 << 17
-LANES = 512
+BLOCK_TOKENS = 1 << 19
+LANES = 2048
 CHECKPOINT = 128
-SCALE = 20  # frequencies add up to 2**SCALE
+SCALE = 18  # frequencies add up to 2**SCALE
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sBBHIIIII")  # magic, scale, flags, lanes, tokens, documents, words, crc of ids, crc of words
 
@@ -203,11 +203,10 @@ def corpus_table(rows: DataFrame) -> Table:
     def count(batches):
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                own = np.bincount(_wide(data))
-                if len(own) > len(total):
-                    total = np.concatenate([total, np.zeros(len(own) - len(total), np.int64)])
-                total[:len(own)] += own
+            own = np.bincount(np.concatenate([_wide(data) for data in batch.column(0).to_pylist()]))
+            if len(own) > len(total):
+                total = np.concatenate([total, np.zeros(len(own) - len(total), np.int64)])
+            total[:len(own)] += own
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
