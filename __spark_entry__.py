@@ -70,12 +70,16 @@ def _tree(spark, sf_dir, layout="prefix", **csv_opts):
     return base
 
 
+# Events carry their time to the microsecond; no two of a user's day share it.
+UNIQUE = SourceColumns(time_order="unique_clock")
+
+
 def q_report1(spark, sf_dir):
-    return daily_report(_ticks(spark, sf_dir), cutoff=CUTOFF)
+    return daily_report(_ticks(spark, sf_dir), UNIQUE, cutoff=CUTOFF)
 
 
 def q_report1_close_change(spark, sf_dir):
-    return daily_report(_ticks(spark, sf_dir), cutoff=CUTOFF, change_on="close")
+    return daily_report(_ticks(spark, sf_dir), UNIQUE, cutoff=CUTOFF, change_on="close")
 
 
 def q_report1_lineitem(spark, sf_dir):
@@ -87,7 +91,30 @@ def q_report1_ties(spark, sf_dir):
 
 
 def q_daily_bars(spark, sf_dir):
-    return _bars(spark, sf_dir, "events")
+    return _bars(spark, sf_dir, "events", UNIQUE)
+
+
+def q_sink_csv_lines(spark, sf_dir):
+    # The published CSV as raw text lines: quotes doubled, the leading blank kept.
+    ev = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit(" "), F.col("props")).alias("props"))
+    path = publish(ev, scratch_path(spark, "lines") + ".csv", "csv")
+    return spark.read.text(path).where(F.col("value") != "event_id,props").select(F.col("value").alias("line"))
+
+
+def q_scan_csv_multiline(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("page_id"), "html")
+    path = publish(pages, scratch_path(spark, "pages") + ".csv", "csv")
+    return read_csv(spark, path, multi_line=True, na_tokens=False)
+
+
+def q_ledger_append_reordered(spark, sf_dir):
+    # A ledger whose columns stand the other way round is read, appended to and read again.
+    path = scratch_path(spark, "ledger")
+    read_ledger(spark, _orders_ledger(spark, sf_dir)).select(
+        "datetime_of_processing", "source_file_date").write.option("header", True).csv(path)
+    plan = plan_days(spark, read_ledger(spark, path), ORDERS_FIRST, ORDERS_AS_OF)
+    append_ledger(spark, path, plan.days_to_record, ORDERS_AS_OF)
+    return read_ledger(spark, path)
 
 
 def q_daily_bars_lineitem(spark, sf_dir):
@@ -294,6 +321,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "report1_lineitem": q_report1_lineitem,
         "report1_ties": q_report1_ties,
         "daily_bars": q_daily_bars,
+        "sink_csv_lines": q_sink_csv_lines,
+        "scan_csv_multiline": q_scan_csv_multiline,
+        "ledger_append_reordered": q_ledger_append_reordered,
         "daily_bars_lineitem": q_daily_bars_lineitem,
         "daily_bars_ties": q_daily_bars_ties,
         "daily_bars_ties_text": q_daily_bars_ties_text,
@@ -437,6 +467,13 @@ from kc join m on kc.isin = m.isin where kc.d >= m.m - 1""",
                                                 '{ORDERS_STAMP}' as datetime_of_processing from od
                                          union all
                                          select strftime(d, '%Y-%m-%d'), '{ORDERS_AS_OF}' from cal, m where d >= m.m"""),
+        "ledger_append_reordered": _orders_plan(f"""select strftime(d, '%Y-%m-%d') as source_file_date,
+                                                '{ORDERS_STAMP}' as datetime_of_processing from od
+                                         union all
+                                         select strftime(d, '%Y-%m-%d'), '{ORDERS_AS_OF}' from cal, m where d >= m.m"""),
+        "sink_csv_lines": """select event_id || ',"' || ' ' || replace(props, '"', '""') || '"' as line from events
+                             where props is not null""",
+        "scan_csv_multiline": "select cast(page_id as varchar) as page_id, html from pages",
         "date_fns": f"""select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day,
                                strftime(cast(o_orderdate as date) + 1, '%Y-%m-%d') as next_day,
                                strftime(cast(o_orderdate as date) - 1, '%Y-%m-%d') as prev_day,

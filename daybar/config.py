@@ -35,6 +35,8 @@ class SourceColumns:
     # "text"   any text, compared as text (struct key, sort aggregation);
     # "clock"  zero-padded HH[:MM[:SS[.ffffff]]] text, as a numeric key
     #          (hash aggregation over a DECIMAL(38,0) key; measured slower);
+    # unique_clock  clock text that the source declares unique per (ISIN, Date): hash
+    #          aggregation over a long; of equal times either price may be taken;
     # other    a SQL expression giving a long in [0, 2^62) in the text's order.
     time_order: str = "text"
     # Full header of the source files, in file order, when known: the scan then

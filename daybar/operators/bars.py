@@ -23,6 +23,8 @@ def _tick_key(src: SourceColumns) -> Column | None:
     """Numeric form of the same ordering (None for plain text order)."""
     if src.time_order == "text":
         return None
+    if src.time_order == "unique_clock":
+        return clock_micros(_q(src.time))  # a long: both aggregates stay in hash aggregation
     if src.time_order == "clock":
         t = clock_micros(_q(src.time))
     else:

@@ -13,7 +13,7 @@ from daybar.config import JobConfig
 from daybar.functions.dates import as_of_string
 from daybar.operators.report import daily_report
 from daybar.plans.backfill import DayPlan, plan_days
-from daybar.plans.ledger import append_ledger, read_ledger
+from daybar.plans.ledger import append_ledger, check_ledger_layout, read_ledger
 from daybar.session import apply_required_conf
 from daybar.sinks.publish import check_format, publish, target_name
 from daybar.sources.days import read_days
@@ -49,9 +49,12 @@ def run(spark: SparkSession, cfg: JobConfig, as_of=None, now: _dt.datetime | Non
     check_format(cfg.target_format)
     apply_required_conf(spark)
     as_of = as_of_string(as_of)
+    check_ledger_layout(spark, cfg.ledger_path)  # before anything is published
     ledger = read_ledger(spark, cfg.ledger_path)  # column check happens here, once
     plan = plan_days(spark, ledger, cfg.first_date, as_of, cfg.lookback_days)
     log.info("cutoff %s, %d day(s) to read", plan.cutoff, len(plan.days))
+    if not plan.days:
+        return RunResult(plan, None, ())
     report = build_report(spark, cfg, plan)
     target = publish(report, target_name(cfg.target_prefix, cfg.target_format, now,
                                          _py_format(cfg.target_time_format)), cfg.target_format)

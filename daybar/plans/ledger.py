@@ -72,23 +72,30 @@ def append_ledger(spark: SparkSession, path: str, days: list[str], as_of=None,
     ``checked`` skips the column check when the caller read the ledger already.
     """
     stamp = as_of_string(as_of)
-    if _is_file(spark, path):
-        raise LedgerLayoutError(f"{path} is a single-file ledger; copy it into a ledger folder with "
-                                "import_ledger() and point the job at the folder")
-    if not checked and path_exists(spark, path) and _header(spark, path) is not None:
+    check_ledger_layout(spark, path)
+    header = _header(spark, path) if path_exists(spark, path) else None
+    if not checked and header is not None:
         read_ledger(spark, path, keys)  # column check before appending
+    order = header or [*keys, *LEDGER_COLUMNS]  # an existing ledger keeps its own column order
     if keys_rows is not None:
         rows = keys_rows.select(*keys, F.col("day").cast("string").alias(LEDGER_DAY_COL),
                                 F.lit(stamp).alias(LEDGER_PROCESSED_COL))
-        rows.write.mode("append").option("header", True).csv(path)
+        rows.select(*order).write.mode("append").option("header", True).csv(path)
         return True
     if not days:
         return True
     rows = spark.createDataFrame([(d, stamp) for d in days], string_schema(LEDGER_COLUMNS))
-    rows.coalesce(1).write.mode("append").option("header", True).csv(path)
+    rows.select(*order).coalesce(1).write.mode("append").option("header", True).csv(path)
     return True
 
 
+def check_ledger_layout(spark: SparkSession, path: str) -> None:
+    """A ledger that rows can be appended to is a folder (or not there yet)."""
+    if _is_file(spark, path):
+        raise LedgerLayoutError(f"{path} is a single-file ledger; copy it into a ledger folder with "
+                                "import_ledger() and point the job at the folder")
+
+
 def _is_file(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -19,7 +19,7 @@ log = logging.getLogger(__name__)
 def check_format(fmt: str) -> str:
     """Only csv and parquet are supported; checked before any work is planned."""
     if fmt not in SUPPORTED_FORMATS:
-        log.info("The file format %s is not supported", fmt)
+        log.info("unknown output format: %s", fmt)
         raise WrongFormatError(fmt)
     return fmt
 
@@ -33,44 +33,22 @@ def target_name(prefix: str, fmt: str, now: _dt.datetime | None = None,
 
 def _writer(df: DataFrame, fmt: str):
     w = df.write.mode("errorifexists")
-    if fmt == "csv":
-        w = w.option("header", True)
+    if fmt == "csv":  # quotes doubled and blanks kept, as other CSV readers expect
+        w = (w.option("header", True).option("quote", '"').option("escape", '"')
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     return w.format(fmt)
 
 
-STALE_STAGING_HOURS = 24
-
-
-def clean_stale_staging(spark, parent: str, max_age_hours: float = STALE_STAGING_HOURS) -> int:
-    """Remove ``_staging-*`` folders in ``parent`` older than ``max_age_hours``.
-
-    They are what a publish leaves when its driver dies between write and
-    rename. Fresh ones may belong to a run in progress and are kept.
-    """
-    import time
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(parent)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return 0
-    cutoff_ms = (time.time() - max_age_hours * 3600) * 1000
-    removed = 0
-    for st in fs.listStatus(root):
-        if st.isDirectory() and st.getPath().getName().startswith("_staging-") \
-                and st.getModificationTime() < cutoff_ms:
-            fs.delete(st.getPath(), True)
-            removed += 1
-    return removed
-
-
 def publish(df: DataFrame, path: str, fmt: str, *, partitions: int | None = None) -> str | None:
     """Write ``df`` to ``path`` unless it has no rows; return the path or None.
 
     One pass: the rows are counted by an observation on the write itself, into
     a staging folder beside the target (same file system, hidden name). A
-    non-empty result is then renamed into place, so readers never see a
-    partial report; an empty one is deleted, so no object appears. Task
-    retries after executor loss are handled by Spark's commit protocol.
+    non-empty result is then renamed into place; an empty one is deleted, so
+    no object appears. On file systems with an atomic rename readers never see
+    a partial report; on object stores the rename is a copy that they may see
+    in part. Other runs' staging folders are never touched, whatever their age.
+    Task retries after executor loss are handled by Spark's commit protocol.
     """
     check_format(fmt)
     spark = df.sparkSession
@@ -81,14 +59,12 @@ def publish(df: DataFrame, path: str, fmt: str, *, partitions: int | None = None
     if partitions:
         counted = counted.coalesce(partitions)
     parent, _, leaf = path.rstrip("/").rpartition("/")
-    if parent:
-        clean_stale_staging(spark, parent)
     staging = f"{parent}/_staging-{uuid.uuid4().hex[:12]}-{leaf}" if parent else f"_staging-{leaf}"
     _writer(counted, fmt).save(staging)
     rows = int(obs.get.get("rows", 0) or 0)
     if rows == 0:
         delete_path(spark, staging)
-        log.info("The dataframe is empty! No file will be written!")
+        log.info("no rows for %s: nothing published", path)
         return None
     if path_exists(spark, path) or not rename_path(spark, staging, path):
         raise FileExistsError(f"could not publish {staging} to {path}: target exists")

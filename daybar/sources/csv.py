@@ -33,9 +33,11 @@ def empty_ticks(spark: SparkSession, src: SourceColumns = SourceColumns()) -> Da
     return spark.createDataFrame([], tick_schema(src))
 
 
-def _reader(spark: SparkSession, sep: str, encoding: str, recursive: bool, strict: bool):
+def _reader(spark: SparkSession, sep: str, encoding: str, recursive: bool, strict: bool, multi_line: bool):
     r = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-         .option("mode", "FAILFAST"))
+         .option("quote", '"').option("escape", '"').option("mode", "FAILFAST"))
+    if multi_line:
+        r = r.option("multiLine", True)
     if strict:
         r = r.option("enforceSchema", False)
     if recursive:
@@ -45,7 +47,7 @@ def _reader(spark: SparkSession, sep: str, encoding: str, recursive: bool, stric
 
 def read_csv(spark: SparkSession, paths: str | list[str], *, sep: str = ",", encoding: str = "utf-8",
              recursive: bool = False, strict: bool = True, na_tokens: bool = True,
-             header: tuple[str, ...] | list[str] | None = None) -> DataFrame | None:
+             header: tuple[str, ...] | list[str] | None = None, multi_line: bool = False) -> DataFrame | None:
     """All columns as strings; ``None`` when no file matches.
 
     The header of one file names the columns (no type inference). With
@@ -55,12 +57,14 @@ def read_csv(spark: SparkSession, paths: str | list[str], *, sep: str = ",", enc
     the reference reader's missing-value tokens into null; callers that drop
     missing rows anyway pass False and test :func:`is_missing` themselves.
     A known ``header`` replaces the inference pass (files are checked against it).
+    Quotes inside quoted fields are doubled. ``multi_line`` allows newlines in
+    quoted fields; such files cannot be split, so it is off by default.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         return None
     try:
-        r = _reader(spark, sep, encoding, recursive, strict)
+        r = _reader(spark, sep, encoding, recursive, strict, multi_line)
         if header:
             r = r.schema(string_schema(header))
         df = r.csv(paths)

@@ -43,14 +43,19 @@ def test_publish_never_overwrites(spark, tmp_dir):
     assert not [n for n in os.listdir(path) if n.startswith("_staging")]
 
 
-def test_stale_staging_folders_are_removed(spark, tmp_dir):
-    import time
-    old = os.path.join(tmp_dir, "_staging-dead-run")
-    fresh = os.path.join(tmp_dir, "_staging-live-run")
+def test_foreign_staging_folders_stay(spark, tmp_dir):
+    old = os.path.join(tmp_dir, "_staging-other-run")
     os.makedirs(old)
-    os.makedirs(fresh)
-    past = time.time() - 3 * 24 * 3600
-    os.utime(old, (past, past))
-    df = spark.createDataFrame([("A", "B")], "col1 string, col2 string")
-    publish(df, f"{tmp_dir}/t.parquet", "parquet")
-    assert not os.path.exists(old) and os.path.exists(fresh)
+    os.utime(old, (0, 0))
+    publish(spark.createDataFrame([("A", "B")], "col1 string, col2 string"), f"{tmp_dir}/t.parquet", "parquet")
+    assert os.path.exists(old)
+
+
+def test_other_readers_read_our_csv(spark, tmp_dir):
+    import glob
+
+    import pandas as pd
+    rows = [(" lead", 'x "q" y', "a,b"), ("t ", '"', "line\nbreak")]
+    path = publish(spark.createDataFrame(rows, "a string, b string, c string").coalesce(1), f"{tmp_dir}/t.csv", "csv")
+    got = pd.read_csv(glob.glob(f"{path}/part-*")[0])
+    assert list(got.itertuples(index=False, name=None)) == rows
