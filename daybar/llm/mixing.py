@@ -75,14 +75,13 @@ def leaf_budgets(leaves: DataFrame, plan: MixPlan, levels: tuple[str, ...] = LEV
     base = leaves.withColumn("cap", F.col("tokens") * plan.max_epochs)
     for level in levels:
         base = base.where(_weight(plan, level) > 0)
-    whole = leaves.agg((F.sum("tokens") * plan.percent).alias("t")).select(F.expr("t div 100").alias("given"))
+    wanted = (leaves.agg(F.sum("tokens")).first()[0] or 0) * plan.percent // 100
     dealt = None
     for k, level in enumerate(levels):
         parent = list(levels[:k])
         nodes = base.groupBy(*levels[:k + 1]).agg(F.sum("cap").alias("cap")).withColumn("w", _weight(plan, level))
         if dealt is None:
-            # One row: the budget of the root.
-            nodes = nodes.withColumn("root", F.lit(0)).join(whole.withColumn("root", F.lit(0)), "root")
+            nodes = nodes.withColumn("root", F.lit(0)).withColumn("given", F.lit(wanted).cast("long"))
             dealt = _dealt(nodes, ["root"], level).select(level, "budget")
         else:
             nodes = nodes.join(dealt.withColumnRenamed("budget", "given"), parent)
