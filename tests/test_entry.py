@@ -38,10 +38,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E._QUERIES) <= set(E.oracle_sql())  # the optional llm queries without SQL have brute-force tests
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
