@@ -203,7 +203,7 @@ def q_scan_days_semicolon_latin1(spark, sf_dir):
 def q_list_all_objects(spark, sf_dir):
     # Listing with no prefix: every key; reduced to its day folder and file type.
     keys = list_objects(spark, _tree(spark, sf_dir))
-    return keys.select(D.first_path_segment("key").alias("day"),
+    return keys.where(~F.col("key").startswith("_")).select(D.first_path_segment("key").alias("day"),
                        F.regexp_extract("key", r"\.([a-z]+)$", 1).alias("ext")).distinct()
 
 
@@ -295,6 +295,22 @@ def q_stream_report(spark, sf_dir):
     return published_reports(spark, cfg)
 
 
+def q_stream_report_late(spark, sf_dir):
+    # Micro-batches of few files each, then a late file for an early day. With a
+    # lookback over the whole tree every day is settled by the newest batch.
+    ticks = load_ticks(spark, sf_dir, "events")
+    late = (F.col("Date") == SINCE) & (F.col("Mnemonic") == "click")
+    base, out = scratch_path(spark, "late-tree"), scratch_path(spark, "stream-late")
+    days = write_day_tree(ticks.where(~late), base)
+    cfg = JobConfig(source_path=base, target_prefix=f"{out}/r_", ledger_path=f"{out}/ledger",
+                    first_date=STREAM_FIRST, lookback_days=len(days))
+    start = lambda: start_report_stream(spark, cfg, f"{out}/checkpoint", max_files_per_trigger=max(1, len(days) // 5))
+    start().awaitTermination()
+    ticks.where(late).write.option("header", True).csv(f"{base}/{SINCE}/late")
+    start().awaitTermination()
+    return published_reports(spark, cfg)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the daily report over the events ticks at sf0.001."""
     apply_required_conf(spark)
@@ -351,6 +367,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "date_fns": q_date_fns,
         "job_twice": q_job_twice,
         "stream_report": q_stream_report,
+        "stream_report_late": q_stream_report_late,
     }
 
 
@@ -486,5 +503,6 @@ from kc join m on kc.isin = m.isin where kc.d >= m.m - 1""",
         "job_twice": _report(f"""select * from ({_EV}) e where "Date" between '{JOB_LOOKBACK}' and '{JOB_AS_OF}'""",
                              JOB_FIRST),
         "stream_report": _report(_EV, STREAM_FIRST),
+        "stream_report_late": _report(_EV, STREAM_FIRST),
         **_LLM_SQL,
     }

@@ -47,7 +47,8 @@ def _reader(spark: SparkSession, sep: str, encoding: str, recursive: bool, stric
 
 def read_csv(spark: SparkSession, paths: str | list[str], *, sep: str = ",", encoding: str = "utf-8",
              recursive: bool = False, strict: bool = True, na_tokens: bool = True,
-             header: tuple[str, ...] | list[str] | None = None, multi_line: bool = False) -> DataFrame | None:
+             header: tuple[str, ...] | list[str] | None = None, multi_line: bool = False,
+             tree: str | None = None) -> DataFrame | None:
     """All columns as strings; ``None`` when no file matches.
 
     The header of one file names the columns (no type inference). With
@@ -59,12 +60,15 @@ def read_csv(spark: SparkSession, paths: str | list[str], *, sep: str = ",", enc
     A known ``header`` replaces the inference pass (files are checked against it).
     Quotes inside quoted fields are doubled. ``multi_line`` allows newlines in
     quoted fields; such files cannot be split, so it is off by default.
+    ``tree`` is the root from which folders ``name=value`` become columns.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         return None
     try:
         r = _reader(spark, sep, encoding, recursive, strict, multi_line)
+        if tree:
+            r = r.option("basePath", tree)
         if header:
             r = r.schema(string_schema(header))
         df = r.csv(paths)

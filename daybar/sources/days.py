@@ -23,12 +23,12 @@ def day_glob(base: str, days: list[str]) -> str:
 
 
 def _read_any(spark: SparkSession, paths, fmt: str, *, recursive: bool, sep: str, encoding: str,
-              strict: bool, header=None) -> DataFrame | None:
+              strict: bool, header=None, tree: str | None = None) -> DataFrame | None:
     if fmt == "csv":
         return read_csv(spark, paths, sep=sep, encoding=encoding, recursive=recursive, strict=strict,
-                        na_tokens=False, header=header)
+                        na_tokens=False, header=header, tree=tree)
     if fmt == "parquet":
-        r = spark.read
+        r = spark.read.option("basePath", tree) if tree else spark.read
         if recursive:
             r = r.option("recursiveFileLookup", True)
         try:
@@ -47,8 +47,8 @@ def read_days(spark: SparkSession, base: str, days: list[str], src: SourceColumn
 
     ``layout="prefix"``: keys ``<day>...`` (e.g. ``2021-04-17/…_XETR13.csv``);
     one glob lists only the planned days. ``layout="hive"``: folders
-    ``<date column>=<day>``; the day filter is a partition filter, so Spark
-    prunes the other folders at planning time. ``per_day`` reads each day
+    ``<date column>=<day>``; only the planned days' folders are listed.
+    ``per_day`` reads each day
     separately and unions by column name, for trees whose header layout
     changed over time. ``drop_missing`` drops ticks with a missing value in
     any selected column while they are still text (see ``cast_ticks``).
@@ -57,11 +57,14 @@ def read_days(spark: SparkSession, base: str, days: list[str], src: SourceColumn
     if not days:
         return empty_ticks(spark, src)
     if layout == "hive":
-        raw = _read_any(spark, base, fmt, recursive=False, sep=sep, encoding=encoding, strict=strict)
+        planned = f"{base.rstrip('/')}/{escape_glob(src.date)}={{{','.join(map(escape_glob, days))}}}"
+        header = [c for c in src.file_columns if c != src.date] if src.file_columns else None
+        raw = _read_any(spark, planned, fmt, recursive=False, sep=sep, encoding=encoding, strict=strict,
+                        header=header, tree=base)
         if raw is None:
             return empty_ticks(spark, src)
-        raw = raw.withColumn(src.date, F.date_format(F.col(src.date), "yyyy-MM-dd"))
-        return cast_ticks(raw.where(F.col(src.date).isin(days)), src, drop_missing=drop_missing)
+        raw = raw.withColumn(src.date, F.date_format(F.col(f"`{src.date}`"), "yyyy-MM-dd"))
+        return cast_ticks(raw, src, drop_missing=drop_missing)
     if layout != "prefix":
         raise ValueError(f"unknown layout {layout!r}")
     if per_day:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import datetime as _dt
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybar.session import scratch_path
+
 LISTING_SCHEMA = T.StructType([
     T.StructField("key", T.StringType(), False),
     T.StructField("size", T.LongType(), False),
@@ -28,28 +31,46 @@ def qualified(spark: SparkSession, path: str) -> str:
     return str(fs.makeQualified(p).toString()).rstrip("/")
 
 
-def relative_key(path_col, base_uri: str):
-    """Path of a file relative to ``base_uri`` (the object key)."""
-    return F.substring(path_col, len(base_uri) + 2, 1 << 30)
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """Absolute path of ``path`` inside its file system, without scheme and authority."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return str(fs.makeQualified(p).toUri().getPath()).rstrip("/")
+
+
+BLOCK = 50_000  # keys that the driver holds at a time
+
+
+def _files(spark: SparkSession, base_uri: str, prefix: str):
+    """(key, size, modification time in ms) of each file, one by one from the file system's own listing."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base_uri)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    tops = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{escape_glob(base_uri)}/{escape_glob(prefix)}*"))
+    for top in tops or ():
+        found = fs.listFiles(top.getPath(), True)
+        while found.hasNext():
+            status = found.next()
+            key = str(status.getPath().toString())[len(base_uri) + 1:]
+            yield key, status.getLen(), _dt.datetime.fromtimestamp(status.getModificationTime() / 1000, _dt.timezone.utc)
 
 
 def list_objects(spark: SparkSession, base: str, prefix: str = "") -> DataFrame:
     """Every file whose key (path under ``base``) starts with ``prefix``.
 
-    A prefix, not a directory: nested and suffixed keys match. The glob
-    ``base/prefix*`` makes Spark list only matching entries; file contents are
-    never read (the scan is pruned to path, length and modification time).
-    An unknown prefix gives an empty frame.
+    A prefix, not a directory: nested and suffixed keys match. Zero-byte files
+    and names that Spark's own scans hide (``_x``, ``.x``) are listed too, so
+    the file system lists, below the entries that match ``base/prefix*`` only.
+    The driver passes the listing on in blocks of ``BLOCK`` keys, which go to
+    a scratch table; it never holds more. An unknown prefix gives an empty frame.
     """
-    base_uri = qualified(spark, base)
-    pattern = f"{base_uri}/{escape_glob(prefix)}*" if prefix else base_uri
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .load(pattern).select("path", "length", "modificationTime"))
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], LISTING_SCHEMA)
-        raise
-    out = files.select(relative_key(F.col("path"), base_uri).alias("key"),
-                       F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
-    return out.where(F.col("key").startswith(prefix)) if prefix else out
+    files = _files(spark, qualified(spark, base), prefix)
+    block = list(islice(files, BLOCK))
+    if len(block) < BLOCK:
+        return spark.createDataFrame(block, LISTING_SCHEMA)
+    out = scratch_path(spark, "listing")
+    while block:
+        spark.createDataFrame(block, LISTING_SCHEMA).coalesce(1).write.mode("append").parquet(out)
+        block = list(islice(files, BLOCK))
+    return spark.read.parquet(out)

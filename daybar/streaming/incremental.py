@@ -2,10 +2,13 @@
 
 Instead of the ledger, Spark's file-source checkpoint remembers which files
 were processed. Each micro-batch recomputes the report for the days its new
-files touch (reading those days in full, plus one lookback day each, from the
-day-keyed tree) and publishes it under the batch id, so a retried batch
-rewrites nothing. A late file for an already reported day therefore causes a
-new report for that day; the ledger job would not re-read it.
+files touch and for the days after them whose change may look back at those
+(reading all these days in full, with their lookback days, from the day-keyed
+tree) and publishes it under the batch id, so a retried batch rewrites
+nothing. Change never reaches across days that were not read: it is null
+there, as on a first day. A late file for an already reported day therefore
+causes a new report for that day; the ledger job would not re-read it.
+:func:`published_reports` takes each instrument's day from the newest batch.
 """
 
 from __future__ import annotations
@@ -13,16 +16,19 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from daybar.config import JobConfig
 from daybar.operators.report import daily_report
+from daybar.operators.windows import lag_within
 from daybar.session import apply_required_conf, path_exists, scratch_path
 from daybar.sinks.publish import check_format, publish
 from daybar.sources.csv import read_csv, string_schema
 from daybar.sources.days import read_days, top_level_days
+from daybar.sources.listing import qualified_path
 
 log = logging.getLogger(__name__)
 
@@ -55,15 +61,31 @@ def _header(spark: SparkSession, cfg: JobConfig) -> list[str]:
     return [c for c in cfg.source.columns if not (cfg.source_layout == "hive" and c == cfg.source.date)]
 
 
+def _plan_batch(touched: list[str], first_date: str, lookback: int) -> tuple[list[str], list[str], list[str]]:
+    """Days to report, days to read, and the first day of each unbroken run of days read.
+
+    One entry per calendar day near a touched one, never one per row or file.
+    """
+    shift = lambda d, n: (_dt.date.fromisoformat(d) + _dt.timedelta(days=n)).isoformat()
+    report = sorted({t for d in touched for n in range(lookback + 1) if (t := shift(d, n)) >= first_date})
+    read = sorted({shift(d, -n) for d in report for n in range(lookback + 1)})
+    known = set(read)
+    return report, read, [d for d in read if shift(d, -1) not in known]
+
+
 def report_batch(spark: SparkSession, cfg: JobConfig, days: list[str], batch_id: int) -> str | None:
-    """Report for ``days`` (each with its lookback day), published as batch ``batch_id``."""
-    days = sorted(d for d in set(days) if d >= cfg.first_date)
+    """Report for ``days`` and those that look back at them, published as batch ``batch_id``."""
+    days, read, runs = _plan_batch(days, cfg.first_date, cfg.lookback_days)
     if not days:
         return None
-    look = {(_dt.date.fromisoformat(d) - _dt.timedelta(days=cfg.lookback_days)).isoformat() for d in days}
-    ticks = read_days(spark, cfg.source_path, sorted(set(days) | look), cfg.source, layout=cfg.source_layout,
+    ticks = read_days(spark, cfg.source_path, read, cfg.source, layout=cfg.source_layout,
                       fmt=cfg.source_format, sep=cfg.csv_sep, encoding=cfg.csv_encoding, drop_missing=True)
     rep = daily_report(ticks, cfg.source, cfg.report, None, cfg.change_on, drop_missing=False)
+    if len(runs) > 1:  # a previous row of an earlier run is not the previous trading day: days between were not read
+        run_of = lambda c: F.size(F.filter(F.lit(runs), lambda start: start <= c))
+        rep = lag_within(rep, cfg.source.date, [cfg.source.isin], cfg.source.date, "__prev_day")
+        same = run_of(F.col("__prev_day")) == run_of(F.col(f"`{cfg.source.date}`"))
+        rep = rep.withColumn(cfg.report.change_prev, F.when(same, F.col(f"`{cfg.report.change_prev}`"))).drop("__prev_day")
     rep = rep.where(F.col(f"`{cfg.source.date}`").isin(days))
     if cfg.sorted_output:
         rep = rep.orderBy(F.col(f"`{cfg.source.isin}`"), F.col(f"`{cfg.source.date}`"))
@@ -73,13 +95,24 @@ def report_batch(spark: SparkSession, cfg: JobConfig, days: list[str], batch_id:
     return publish(rep, target, cfg.target_format)
 
 
+def _day_of_path(spark: SparkSession, cfg: JobConfig, path: Column) -> Column:
+    """The calendar day that a file of the tree is keyed by (ISO text), null for other names."""
+    depth = qualified_path(spark, cfg.source_path).count("/") + 1
+    inside = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    entry = F.split(inside, "/").getItem(depth)
+    if cfg.source_layout == "hive":
+        entry = F.when(entry.startswith(f"{cfg.source.date}="), F.substring_index(entry, "=", -1))
+    text = F.substring(entry, 1, 10)
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull(), text)
+
+
 def start_report_stream(spark: SparkSession, cfg: JobConfig, checkpoint: str | None = None, *,
                         available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops.
 
-    The stream itself carries only the day column of new files; the days of
-    one micro-batch are collected (at most one entry per calendar day) and the
-    report is a batch query over exactly those days. Pass the same
+    The stream itself carries only the paths of new files; the days they are
+    keyed by, checked to be calendar days, are collected (files under other
+    names are passed over) and the report is a batch query over those days. Pass the same
     ``checkpoint`` (a shared folder) on every start to resume where the last
     run stopped; without one, a fresh folder is used and the whole tree is new.
     """
@@ -107,10 +140,8 @@ def start_report_stream(spark: SparkSession, cfg: JobConfig, checkpoint: str | N
         reader = reader.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    day = F.col(f"`{cfg.source.date}`")
-    if hive:
-        day = F.date_format(day, "yyyy-MM-dd")
-    days = reader.format(cfg.source_format).load(cfg.source_path).select(day.alias("day"))
+    days = reader.format(cfg.source_format).load(cfg.source_path).select(
+        _day_of_path(spark, cfg, F.col("_metadata.file_path")).alias("day"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         touched = [r["day"] for r in batch.where(F.col("day").isNotNull()).distinct().collect()]
@@ -124,14 +155,17 @@ def start_report_stream(spark: SparkSession, cfg: JobConfig, checkpoint: str | N
 
 
 def published_reports(spark: SparkSession, cfg: JobConfig) -> DataFrame | None:
-    """All reports the stream published so far, read back as one frame."""
+    """What the stream published so far: of each instrument's day the row of the newest batch."""
     parent, _, leaf = cfg.target_prefix.rpartition("/")
     pattern = f"{parent}/{leaf}batch_*.{cfg.target_format}"
     try:
-        if cfg.target_format == "csv":
-            return read_csv(spark, pattern, na_tokens=False)
-        return spark.read.parquet(pattern)
-    except Exception as e:  # noqa: BLE001
+        rows = read_csv(spark, pattern, na_tokens=False) if cfg.target_format == "csv" else spark.read.parquet(pattern)
+    except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
+    if rows is None:
+        return None
+    newest = Window.partitionBy(F.col(f"`{cfg.source.isin}`"), F.col(f"`{cfg.source.date}`")).orderBy(F.col("__batch").desc())
+    return (rows.withColumn("__batch", F.regexp_extract(F.col("_metadata.file_path"), r"batch_(\d+)\.[a-z]+/[^/]*$", 1))
+            .withColumn("__nth", F.row_number().over(newest)).where("__nth = 1").drop("__batch", "__nth"))

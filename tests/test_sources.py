@@ -43,6 +43,30 @@ def test_listing_prefix_hit_and_miss(spark, f1_tree):
     assert list_objects(spark, f1_tree).count() == len(F1)
 
 
+def test_listing_keeps_empty_and_hidden_files(spark, tmp_dir, monkeypatch):
+    names = ["a.csv", "_b.csv", ".c.csv", "zero.csv", "_meta/x.csv", "d/e/f.csv"]
+    for name in names:
+        p = os.path.join(tmp_dir, name)
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        open(p, "w").write("" if name == "zero.csv" else "x\n")
+    sizes = {n: 0 if n == "zero.csv" else 2 for n in names}
+    assert {r["key"]: r["size"] for r in list_objects(spark, tmp_dir).collect()} == sizes
+    assert [r["key"] for r in list_objects(spark, tmp_dir, "_").orderBy("key").collect()] == ["_b.csv", "_meta/x.csv"]
+    monkeypatch.setattr("daybar.sources.listing.BLOCK", 2)  # several blocks
+    assert {r["key"]: r["size"] for r in list_objects(spark, tmp_dir).collect()} == sizes
+
+
+def test_hive_scan_lists_only_the_planned_folders(spark, tmp_dir):
+    from daybar.sources import write_day_tree
+    from tests.fixtures import TICK_DDL
+    base = os.path.join(tmp_dir, "tree")
+    write_day_tree(spark.createDataFrame(F1, TICK_DDL), base, layout="hive")
+    df = read_days(spark, base, ["2021-04-16", "2021-04-18", "2030-01-01"], layout="hive")
+    assert {f.rsplit("/", 2)[1] for f in df.inputFiles()} == {"Date=2021-04-16", "Date=2021-04-18"}
+    assert _sorted(df) == sorted(r for r in F1 if r[2] in ("2021-04-16", "2021-04-18"))
+    assert read_days(spark, base, ["2030-01-01"], layout="hive").count() == 0
+
+
 def test_csv_read_binds_header(spark, tmp_dir):
     p = os.path.join(tmp_dir, "a.csv")
     open(p, "w").write("col1,col2\nval1,val2\n")
