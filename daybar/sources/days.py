@@ -64,7 +64,7 @@ def read_days(spark: SparkSession, base: str, days: list[str], src: SourceColumn
         if raw is None:
             return empty_ticks(spark, src)
         raw = raw.withColumn(src.date, F.date_format(F.col(f"`{src.date}`"), "yyyy-MM-dd"))
-        return cast_ticks(raw, src, drop_missing=drop_missing)
+        return cast_ticks(raw.where(F.col(f"`{src.date}`").isin(days)), src, drop_missing=drop_missing)
     if layout != "prefix":
         raise ValueError(f"unknown layout {layout!r}")
     if per_day:
