@@ -59,11 +59,18 @@ class Units:
     classes: Callable[[np.ndarray, np.ndarray], np.ndarray]        # units, window starts -> class of each
 
 
+def _is_hash(kind: np.dtype) -> bool:
+    """Unsigned 64-bit values are hashes: they only compress where a whole value comes again."""
+    return kind.kind == "u" and kind.itemsize == 8
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays, compressed with the equal bytes of their integers side by side; read by ``_unpack`` with the same kinds."""
+    """Arrays, compressed with the equal bytes of their integers side by side, hashes as they are; read by ``_unpack``
+    with the same kinds."""
     raw = [np.array([len(a) for a in arrays], "<i8").tobytes()]
     for a in arrays:
-        raw.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
+        own = np.ascontiguousarray(a)
+        raw.append(own.tobytes() if _is_hash(a.dtype) else own.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
     return zstandard.ZstdCompressor(level=3).compress(b"".join(raw))
 
 
@@ -72,9 +79,12 @@ def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     sizes, at, out = np.frombuffer(raw, "<i8", len(kinds)), 8 * len(kinds), []
     for kind, n in zip(kinds, sizes):
         wide = np.dtype(kind).itemsize
-        planes = np.frombuffer(raw, np.uint8, int(n) * wide, at).reshape(wide, int(n))
-        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
-        at += planes.nbytes
+        if _is_hash(np.dtype(kind)):
+            out.append(np.frombuffer(raw, kind, int(n), at))
+        else:
+            planes = np.frombuffer(raw, np.uint8, int(n) * wide, at).reshape(wide, int(n))
+            out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += int(n) * wide
     return out
 
 
