@@ -86,10 +86,10 @@ def encode(texts: list[str], path: str) -> list[bytes]:
     inner, first = _models[path].pieces()
     of, newline, out = inner.__getitem__, first["\n"], []
     for text in texts:
-        n_lines = text.count("\n")
         # Where every white space is a single space or newline inside the text, lines are cut too (a newline
-        # between other characters is a piece); else only spaces that stand alone.
-        if len(text.split()) == 1 + text.count(" ") + n_lines:
+        # between other characters is a piece); else only spaces that stand alone. The words must be the same:
+        # their number alone also fits a text in which tabs make up for blank lines.
+        if text.split() == text.replace("\n", " ").split(" "):
             lines = [line.split(" ") for line in text.split("\n")]
             out.append(newline.join([first[words[0]] + b"".join(map(of, words[1:])) for words in lines]))
         else:

@@ -207,6 +207,21 @@ def test_pieces_of_words_encode_like_whole_texts():
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [slow_ids(t.encode(), 0)[:-1].tolist() for t in texts]
 
 
+def library_ids(texts):
+    """Whole texts by the library alone, with its tokenizer as loaded."""
+    from tokenizers import Tokenizer
+    model = Tokenizer.from_file(tokens.default_vocabulary())
+    return [model.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_mixed_white_space_encodes_like_whole_texts():
+    r = np.random.default_rng(6)
+    parts = ["a", "word", "it's", "x.", "12", "漢", " ", " ", "\n", "\n", "\n\n", "\t", "\r", "\r\n", "\xa0", "\x1f", "\u2003", "  "]
+    texts = ["a\tb\tc\n\n", "a\xa0b\xa0c\n\n\nd", "a\tb\n", "\ta \nb", *("".join(r.choice(parts, n)) for n in r.integers(1, 25, 5000))]
+    got = tokens.encode(texts, tokens.default_vocabulary())
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == library_ids(texts)
+
+
 def test_coded_blocks(docs, empty):
     out = rans.coded_documents(docs, tokens.default_vocabulary(), 0).orderBy("start").collect()
     rows = sorted(rows_of(docs), key=lambda r: (r[0] is not None, r[0] or 0))
