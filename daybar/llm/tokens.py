@@ -48,7 +48,7 @@ class _Model:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bpe = self.tokenizer.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_level = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(ord(_PLAIN))}
@@ -79,13 +79,18 @@ def encode(texts: list[str], path: str) -> list[bytes]:
 
     Texts fall into pieces that the pre-tokenizer treats alone; a piece is
     encoded once while the worker remembers it, so frequent words cost a
-    lookup. The pieces' ids in order are those of the whole text.
+    lookup. The pieces' ids in order are those of the whole text. A text that
+    holds an added token's string is encoded whole, and that string is the token.
     """
     if path not in _models:
         _models[path] = _Model(path)
-    inner, first = _models[path].pieces()
+    model = _models[path]
+    inner, first = model.pieces()
     of, newline, out = inner.__getitem__, first["\n"], []
     for text in texts:
+        if any(token in text for token in model.added):
+            out.append(model.whole(text))
+            continue
         # Where every white space is a single space or newline inside the text, lines are cut too (a newline
         # between other characters is a piece); else only spaces that stand alone. The words must be the same:
         # their number alone also fits a text in which tabs make up for blank lines.
@@ -94,5 +99,5 @@ def encode(texts: list[str], path: str) -> list[bytes]:
             out.append(newline.join([first[words[0]] + b"".join(map(of, words[1:])) for words in lines]))
         else:
             words = _GAP.split(text)
-            out.append(_models[path].whole(words[0]) + b"".join(map(of, words[1:])))
+            out.append(model.whole(words[0]) + b"".join(map(of, words[1:])))
     return out

@@ -222,6 +222,12 @@ def test_mixed_white_space_encodes_like_whole_texts():
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == library_ids(texts)
 
 
+def test_added_tokens_keep_their_ids():
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b.", "one\ntwo <|endoftext|>\n\n<|endoftext|><|endoftext|> !", "<|endoftext|"]
+    got = [np.frombuffer(g, "<u4").tolist() for g in tokens.encode(texts, tokens.default_vocabulary())]
+    assert got[0] == [87, 220, 50256, 331] and got == library_ids(texts)
+
+
 def test_coded_blocks(docs, empty):
     out = rans.coded_documents(docs, tokens.default_vocabulary(), 0).orderBy("start").collect()
     rows = sorted(rows_of(docs), key=lambda r: (r[0] is not None, r[0] or 0))
