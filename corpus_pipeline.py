@@ -2,8 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor
 kept, and returns the columns of ``documents`` (the last one the packed
-pieces). Defined cases are those of the operators; besides, documents without
-an id cannot be named in a near-duplicate group and pass that stage.
+pieces). Defined cases are those of the operators.
 """
 
 from __future__ import annotations
@@ -46,12 +45,15 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of linked fingerprints."""
+    """One row of each group of linked fingerprints: that with the smallest id, null ids last, then the first written."""
     prepare(spark)
-    groups = simhash_components(docs.where(F.col("doc_id").isNotNull()))
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = _first_of(docs.join(stay, "doc_id"), ["doc_id"]).select(*docs.columns)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    # Ids may be null or repeated: each row is named by its place in a written table.
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
+                     F.monotonically_increasing_id().alias("row"))
+    rows = written(docs.withColumn("__place", place), "placed")
+    groups = simhash_components(rows, id_col="__place")
+    stay = groups.where("__place.row = component_id.row").select(F.col("__place.row").alias("__row"))
+    return rows.join(stay, F.col("__place.row") == F.col("__row"), "left_semi").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,3 +44,30 @@ def test_clashes_and_gaps(spark, docs, empty, sf):
         assert stage(spark, empty, sf).count() == 0
         assert stage(spark, docs, sf).columns == docs.columns
     assert P.exact_duplicates(spark, docs, sf).where("doc_id = 2").count() == 0
+
+
+def test_near_duplicates_without_ids_or_with_repeated_ones(spark, docs, sf):
+    base = " ".join(f"word{i}" for i in range(300))
+    bits = fingerprint(base.encode())
+    near = [t for i in range(300) if 0 < (fingerprint((t := base.replace(f"word{i} ", "x ")).encode()) ^ bits).bit_count() <= 4]
+    other = " ".join(f"thing{i}" for i in range(300))
+    texts = [(5, base), (None, near[0]), (None, near[1]), (3, near[2]), (3, other), (3, near[3]), (8, other + " end"),
+             (None, "quite another text without any id"), (None, "quite another text without any id"), (None, None), (9, "")]
+    table = spark.createDataFrame([(i, t, f"row{k}") for k, (i, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    fps = [fingerprint((t or "").encode()) for _, t in texts]
+    root = list(range(len(texts)))
+    for _ in texts:
+        for a, x in enumerate(fps):
+            for b, y in enumerate(fps):
+                if (x ^ y).bit_count() <= 4:
+                    root[a] = root[b] = min(root[a], root[b])
+    groups = {}
+    for k, r in enumerate(root):
+        groups.setdefault(r, []).append(k)
+    got = sorted(int(r.lang[3:]) for r in P.near_duplicates(spark, table.repartition(3), sf).collect())
+    assert len(got) == len(groups) < 7
+    for own in groups.values():
+        stays = [k for k in own if k in got]
+        assert len(stays) == 1
+        order = [(texts[k][0] is None, texts[k][0] or 0) for k in own]
+        assert (texts[stays[0]][0] is None, texts[stays[0]][0] or 0) == min(order)
