@@ -13,7 +13,8 @@ all rows). Scores use the text alone.
 
 Defined cases: a null or empty text has no direction and gets the share of
 positive labels in the sample; labels that are null or without a document are
-left out; without any label all scores are 0.5; repeated rows score alike;
+left out; without any label all scores are 0.5; repeated rows score alike, and
+are learnt from once for each label (of unlike texts with one id the least);
 very long texts are counted whole; further columns are ignored.
 """
 
@@ -125,9 +126,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Fit on the first ``limit`` labelled rows by hash of the id, outside the held-out fold."""
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (fold(F.col(id_col)) != 0)).select(
         F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
-    chosen = usable.join(docs.select(F.col(id_col).alias("__id")), "__id", "left_semi").orderBy(
+    chosen = usable.distinct().join(docs.select(F.col(id_col).alias("__id")), "__id", "left_semi").orderBy(
         F.xxhash64("__id"), "__id", "__label").limit(limit)
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")
+    # An id that repeats counts once for each label, with the least of its texts: the sample stays within the limit.
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(
+        F.broadcast(chosen), "__id").groupBy("__id", "__label").agg(F.min("__text").alias("__text"))
 
     def count(batches):
         for batch in batches:
@@ -141,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows: pd.DataFrame = texts.select("__id", "__text", "__label").mapInArrow(
-        count, f"__id {kind}, __label int, has binary, n binary").toPandas().sort_values("__id")
+        count, f"__id {kind}, __label int, has binary, n binary").toPandas().sort_values(["__id", "__label"])
     counts = np.zeros((len(rows), TERMS + 1), np.float32)
     for i, (has, n) in enumerate(zip(rows["has"], rows["n"])):
         counts[i, np.unpackbits(np.frombuffer(has, np.uint8), count=TERMS + 1).astype(bool)] = np.frombuffer(n, np.float32)

@@ -195,6 +195,15 @@ def test_classifier(spark, docs, empty, sf):
     assert good.where("predicted = 1").count() >= 0.95 * good.count()
 
 
+def test_sample_holds_an_id_once(spark, docs):
+    rows = [(i % 7, f"text {i} of id {i % 7} with some words") for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 7, i % 2) for i in range(14)], "doc_id long, quality int")
+    assert 0 < len(fit(table, labels, limit=4).known) <= 4
+    once = table.groupBy("doc_id").agg(F.min("text").alias("text"))
+    assert np.allclose(fit(table, labels).known, fit(once, labels.distinct()).known)
+
+
 def slow_ids(text, end):
     model = tokens._Model(tokens.default_vocabulary()).tokenizer
     return np.array(model.encode(text.decode(), add_special_tokens=False).ids + [end], "<u4")
