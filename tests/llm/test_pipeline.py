@@ -71,3 +71,12 @@ def test_near_duplicates_without_ids_or_with_repeated_ones(spark, docs, sf):
         assert len(stays) == 1
         order = [(texts[k][0] is None, texts[k][0] or 0) for k in own]
         assert (texts[stays[0]][0] is None, texts[stays[0]][0] or 0) == min(order)
+
+
+def test_exact_dedup_has_a_history(spark, docs, empty, sf, monkeypatch):
+    seen, real = [], P.exact_groups
+    monkeypatch.setattr(P, "exact_groups", lambda d, is_history=None: seen.append(is_history) or real(d, is_history=is_history))
+    kept = [r.doc_id for r in P.exact_duplicates(spark, docs, sf).select("doc_id").collect()]
+    assert sorted(kept) == [1, 3, 4, 6, 7, 8, 9, 10, 11]
+    assert 0 < docs.where(seen[0]).count() < docs.count()
+    assert P.exact_duplicates(spark, empty, sf).count() == 0
