@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybar.llm.conversation_trie import branched_sequences, prefix_trie
 from daybar.llm.license_scan import TEMPLATES, THRESHOLD, license_scan, template_bigrams
 from daybar.llm.mixing import MixPlan, mix_sources
 from daybar.llm.mph_dedup import exact_dedup
 from daybar.llm.packing import pack
+from daybar.llm.phrases import collocations
 from daybar.llm.quality_knn import fit, quality_votes
 from daybar.llm.quality_rules import RepetitionRules, repetition_rules
 from daybar.llm.rans import coded_documents
@@ -17,6 +19,7 @@ from daybar.llm.subtree_dedup import LENGTH as WINDOW_WORDS, dedup_words
 from daybar.llm.suffix_dedup import LENGTH as STRING_BYTES, dedup_substrings
 from daybar.llm.tables import documents, table
 from daybar.llm.tokens import default_vocabulary
+from daybar.llm.warc import archived_pages
 
 # Parameters of the mixing query: src0 is the web crawl, the one-digit sources reference works, the others forums.
 DOMAIN_SQL = "case when source = 'src0' then 'web' when length(source) = 4 then 'reference' when source is not null then 'forum' end"
@@ -67,9 +70,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir), MIX, F.expr(DOMAIN_SQL))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*branched_sequences(table(spark, sf_dir, "conversations"))).drop("name", "parent")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(spark, table(spark, sf_dir, "pages"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_suffix_dedup, op3_quality_rules, op4_quality_classifier, op5_substring_dedup, op6_rans,
-    op7_packing, op8_simhash, op9_exact_dedup, op10_mixing)}
+    op7_packing, op8_simhash, op9_exact_dedup, op10_mixing, op11_conversation_trie,
+    op12_warc, op13_phrases)}
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -209,6 +225,67 @@ e as (select *, full_epochs + (rest > 0 and running <= rest)::int as epochs from
 select doc_id, domain, lang, source, n_tokens, unnest(range(1, (epochs + 1)::bigint)) as epoch, budget from e"""
 
 
+# CRC-32 bit by bit: a value of the list is a byte to take in, or -1 for one shift.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::bigint], flatten(list_transform(
+  range(1, strlen({0}) + 1), lambda i: list_concat([ascii(substr({0}, i, 1))::bigint], list_transform(range(8), lambda k: -1::bigint))))),
+  lambda a, x: case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end))"""
+
+_TRIE_SQL = f"""with t as (select conv_id as c, turn, sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as s,
+       length(coalesce(text, '')) as chars from conversations where conv_id is not null),
+p as (select c, s, chars, row_number() over (partition by c order by turn nulls first, s) as pos from t),
+z as (select c, count(*) as n, {_CRC.format('c::varchar')} % 6 as h, c - c % 100 as b from p group by c),
+k as (select z.*, least(z.h, coalesce(o.n, 0)) as k from z left join z o on o.c = z.b),
+q as (select k.c, pos - h + k as d, s, chars from p join k using (c) where pos > h
+      union all select k.c, pos as d, s, chars from k join p on p.c = k.b where pos <= k.k),
+w as (select c, d, chars, string_agg(s, ',') over (partition by c order by d) as key from q
+      union all select c, 0, 0, '' from k),
+l as (select c, max(d) as d from w group by c),
+nodes as (select key, min(d) as depth, min(c) as conv_id, count(*) as n_convs, max(chars) as chars from w group by key),
+kin as (select n.*, u.key as parent from nodes n left join w u on u.c = n.conv_id and u.d = n.depth - 1),
+kids as (select parent, count(*) as n_children from kin where parent is not null group by parent),
+own as (select kin.*, coalesce(n_children, 0) as n_children from kin left join kids on kids.parent = kin.key),
+sums as (select a.key, count(*) filter (o.n_children = 0) as n_leaves, sum((o.n_convs - 1) * o.chars)::bigint as saved_tokens
+         from own o join w a on a.c = o.conv_id and a.d <= o.depth group by a.key),
+ends as (select key, sha256(string_agg(c::varchar, ',' order by c)) as ends_sha256 from w join l using (c, d) group by key)
+select o.conv_id, o.depth, u.conv_id as parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens,
+       coalesce(ends_sha256, sha256('')) as ends_sha256
+from own o join sums using (key) left join ends using (key) left join nodes u on u.key = o.parent"""
+
+
+# Base 32 of the hex digits of a SHA-1: five digits are four characters.
+_WARC_SQL = """with d as (select page_id, encode(coalesce(html, '')) as p from pages),
+h as (select page_id, octet_length(p) as payload_bytes, sha1(p) as x, p,
+             row_number() over (partition by p order by page_id desc nulls last) as k,
+             max(page_id) over (partition by p) as kept from d)
+select page_id, payload_bytes::bigint as payload_bytes, array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(x, 5 * (i // 4) + 1, 5))::bigint >> (15 - 5 * (i % 4))) & 31) + 1)::bigint, 1)), '')
+         as payload_digest,
+       case when k = 1 then 'response' else 'revisit' end as record_type, case when k > 1 then kept end as refers_to from h"""
+
+_PHRASE_SQL = r"""with p as (select lang, doc_id, unnest(pieces) as piece, generate_subscripts(pieces, 1) as j
+           from (select coalesce(lang, 'und') as lang, row_number() over () as doc_id,
+                 string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[.,;:!?\x0A-\x0D]') as pieces from documents)),
+w as (select lang, doc_id, j, unnest(l) as w, generate_subscripts(l, 1) as i
+      from (select lang, doc_id, j, regexp_extract_all(piece, '[^\x20\x09]+') as l from p)),
+g as (select lang, w as w1, lead(w) over o as w2, lead(w, 2) over o as w3 from w
+      window o as (partition by lang, doc_id, j order by i)),
+f as (select lang, w1 as phrase, 1 as size, null as h1, null as r1, null as h2, null as r2, count(*) as f from g group by all
+      union all select lang, w1 || ' ' || w2, 2, w1, w2, null, null, count(*) from g where w2 is not null group by all
+      union all select lang, w1 || ' ' || w2 || ' ' || w3, 3, w1, w2 || ' ' || w3, w1 || ' ' || w2, w3, count(*)
+                from g where w3 is not null group by all),
+n as (select lang, count(*) as n from w group by lang),
+c as (select lang, phrase, f as a, 1 as k, h1 as h, r1 as r from f where size > 1 and f >= 10
+      union all select lang, phrase, f, 2, h2, r2 from f where size = 3 and f >= 10),
+s as (select c.lang, c.phrase, a, k, x.f as l, y.f as r, ((1000000::hugeint * a * a) // (x.f::hugeint * y.f))::bigint as score
+      from c join f x on x.lang = c.lang and x.phrase = c.h join f y on y.lang = c.lang and y.phrase = c.r),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+u as (select lang, part, max(f) as longer from (select lang, f, unnest([h2, r1]) as part from f where size = 3 and f >= 10) group by all),
+d as (select b.* from b left join u on u.lang = b.lang and u.part = b.phrase where longer is null or 100 * longer < 50 * a),
+k as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from d)
+select lang, rank, phrase, a, l, r, n, score from k join n using (lang) where rank <= 2000"""
+
+
 SQL = {
     "op1_license_scan": _license_sql(),
     "op2_suffix_dedup": _BYTES_SQL,
@@ -216,4 +293,7 @@ SQL = {
     "op5_substring_dedup": _WORDS_SQL,
     "op9_exact_dedup": _DEDUP_SQL,
     "op10_mixing": _mix_sql(),
+    "op11_conversation_trie": _TRIE_SQL,
+    "op12_warc": _WARC_SQL,
+    "op13_phrases": _PHRASE_SQL,
 }
