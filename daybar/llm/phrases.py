@@ -24,30 +24,28 @@ has no phrases; further columns are ignored.
 
 from __future__ import annotations
 
-import struct
 import zlib
-from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybar.llm.repeats import _pack, _unpack
 from daybar.llm.tables import shards_for, written
 from daybar.llm.text import as_bytes, mix
 
-BURST = 1 << 14       # phrases in a container
-HELD = 600_000        # phrases that a task counts before it spills
+BURST = 1 << 15       # phrases in a container
+HELD = 2_000_000      # phrases that a task counts before it spills
 SLICE = 1 << 20       # bytes of text taken apart at once
 WORD_BYTES = 64 << 20  # bytes of words that a task numbers before it begins anew
-PART_BYTES = 8 << 20  # bytes of text for each prefix partition
-MERGED = 8_000_000    # phrases of runs merged in one group
+PART_BYTES = 16 << 20  # bytes of text for each prefix partition
+MERGED = 4_000_000    # phrases of runs merged in one group
 
 _BREAK = b"\xff"      # no byte of UTF-8: the end of a piece
 _FLAT = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _BREAK * 10)
-_HEAD = struct.Struct("<III")  # bytes of words, phrases, words in the longest phrase
 
 
 class Words(dict):
@@ -70,29 +68,75 @@ class Words(dict):
         return self._codes
 
 
+class Container:
+    """A hash table of phrases (positive integers) and their counts, with open addressing; never more than half full."""
+
+    def __init__(self, room: int):
+        self.keys, self.counts, self.n = np.zeros(2 << (room - 1).bit_length(), np.int64), None, 0
+        self.counts = np.zeros(len(self.keys), np.int64)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Add distinct keys, all at once: those that meet another key go on to the next place."""
+        last = len(self.keys) - 1
+        at = (mix(keys.view(np.uint64)) & np.uint64(last)).astype(np.int64)
+        while len(keys):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[free]  # of several keys for a free place one stays
+            own = self.keys[at] == keys
+            self.counts[at[own]] += counts[own]
+            self.n += int((own & free).sum())
+            keys, counts, at = keys[~own], counts[~own], (at[~own] + 1) & last
+
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(self.keys)
+        return self.keys[at], self.counts[at]
+
+
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with their counts added."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    new = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[new], np.add.reduceat(counts[order], new) if len(new) else counts
+
+
 class Trie:
     """Counts of phrases. Word numbers have ``bits`` bits; a phrase of fewer words ends in zeros."""
 
-    def __init__(self, width: int, burst: int = BURST):
-        self.width, self.bits, self.burst = width, 63 // width, burst
-        self.starts, self.containers = [0], [Counter()]  # the first key of each container's range
+    def __init__(self, width: int, burst: int | None = None):
+        self.width, self.bits, self.burst, self.held = width, 63 // width, burst or BURST, 0
+        self.starts, self.containers = [0], [Container(self.burst)]  # the first key of each container's range
 
     def __len__(self) -> int:
-        return sum(map(len, self.containers))
+        return self.held
 
     def add(self, keys: np.ndarray) -> None:
         keys = np.sort(keys)
+        new = np.flatnonzero(np.diff(keys, prepend=-1))
+        counts, keys = np.diff(np.append(new, len(keys))), keys[new]
         cuts = np.append(np.searchsorted(keys, np.array(self.starts)), len(keys)).tolist()
         for i in range(len(self.starts) - 1, -1, -1):  # a burst moves only what lies behind
             if cuts[i] < cuts[i + 1]:
-                self.containers[i].update(keys[cuts[i]:cuts[i + 1]].tolist())
-                self._burst(i)
+                self._put(i, keys[cuts[i]:cuts[i + 1]], counts[cuts[i]:cuts[i + 1]])
 
-    def _burst(self, i: int) -> None:
+    def _put(self, i: int, keys: np.ndarray, counts: np.ndarray) -> None:
         own = self.containers[i]
-        if len(own) <= self.burst:
-            return
-        keys = np.sort(np.fromiter(own, np.int64, len(own)))
+        self.held -= own.n
+        if own.n + len(keys) > self.burst:  # perhaps too many: taken out, and put back once they are in ranges that fit
+            old, n = own.items()
+            keys, counts = _added(np.concatenate([old, keys]), np.concatenate([n, counts]))
+            self.containers[i:i + 1], self.starts[i:i + 1] = self._burst(self.starts[i], keys, counts)
+        else:
+            own.add(keys, counts)
+            self.held += own.n
+
+    def _burst(self, start: int, keys: np.ndarray, counts: np.ndarray) -> tuple[list[Container], list[int]]:
+        """Containers for distinct keys in order: cut at the first word in which they differ, until each part fits."""
+        if len(keys) <= self.burst:
+            one = Container(self.burst)
+            one.add(keys, counts)
+            self.held += one.n
+            return [one], [start]
         for level in range(self.width):
             shift = self.bits * (self.width - 1 - level)
             word = keys >> shift
@@ -100,23 +144,21 @@ class Trie:
                 break
         middle = word[len(word) // 2]
         cut = int(np.searchsorted(word, middle)) if middle != word[0] else int(np.searchsorted(word, middle, "right"))
-        moved = Counter({k: own.pop(k) for k in keys[cut:].tolist()})
-        self.starts.insert(i + 1, int(word[cut] << shift))
-        self.containers.insert(i + 1, moved)
-        self._burst(i + 1)
-        self._burst(i)
+        left = self._burst(start, keys[:cut], counts[:cut])
+        right = self._burst(int(word[cut] << shift), keys[cut:], counts[cut:])
+        return left[0] + right[0], left[1] + right[1]
 
     def spill(self, keep: int) -> tuple[np.ndarray, np.ndarray]:
         """Keys and counts of whole containers, the largest first, until at most ``keep`` phrases stay."""
-        held, keys, counts = len(self), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in sorted(range(len(self.starts)), key=lambda i: -len(self.containers[i])):
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in sorted(range(len(self.starts)), key=lambda i: -self.containers[i].n):
             own = self.containers[i]
-            if held <= keep or not own:
+            if self.held <= keep or not own.n:
                 break
-            held -= len(own)
-            keys.append(np.fromiter(own.keys(), np.int64, len(own)))
-            counts.append(np.fromiter(own.values(), np.int64, len(own)))
-            self.containers[i] = Counter()
+            self.held -= own.n
+            for x, y in zip((keys, counts), own.items()):
+                x.append(y)
+            self.containers[i] = Container(self.burst)
         return np.concatenate(keys), np.concatenate(counts)
 
 
@@ -151,22 +193,19 @@ def _columns(keys: np.ndarray, width: int) -> list[np.ndarray]:
 
 
 def _run(words: list[bytes], columns: list[np.ndarray], counts: np.ndarray) -> bytes:
-    """A run: its distinct words (given as ascending numbers of ``words``), the phrases and their counts."""
+    """A run: its distinct words (given as ascending numbers of ``words``), the phrases in their order, and the counts."""
     used = np.unique(np.concatenate(columns))
     used = used[used > 0]
-    blob = b"\n".join(map(words.__getitem__, used.tolist()))
-    places = np.concatenate([np.where(c > 0, np.searchsorted(used, c) + 1, 0).astype("<u4") for c in columns])
-    raw = [_HEAD.pack(len(blob), len(counts), len(columns)), blob, places.tobytes(), counts.astype("<u8").tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(raw))
+    blob = np.frombuffer(b"\n".join(map(words.__getitem__, used.tolist())), np.uint8)
+    places = [np.where(c > 0, np.searchsorted(used, c) + 1, 0).astype("<u4") for c in columns]
+    places[0] = np.diff(places[0], prepend=np.uint32(0))  # first words ascend
+    return _pack(blob, *places, counts.astype("<i8"))
 
 
-def _read_run(data: bytes) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
+def _read_run(data: bytes, width: int) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
     """Words, columns (places in the words, from 1) and counts of a run."""
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    size, n, width = _HEAD.unpack_from(raw)
-    at = _HEAD.size + size
-    places = np.frombuffer(raw, "<u4", n * width, at).astype(np.int64).reshape(width, n)
-    return raw[_HEAD.size:at].split(b"\n"), list(places), np.frombuffer(raw, "<u8", n, at + 4 * n * width).astype(np.int64)
+    blob, first, *rest, counts = _unpack(data, "u1", *["<u4"] * width, "<i8")
+    return blob.tobytes().split(b"\n"), [np.cumsum(first, dtype=np.int64), *(c.astype(np.int64) for c in rest)], counts
 
 
 def _deal(codes: list[np.ndarray], salt: int, parts: int) -> np.ndarray:
@@ -213,7 +252,8 @@ class _Counting:
             columns = _columns(keys, self.width)
             part = _deal([codes[c] for c in columns[:2]], zlib.crc32(lang.encode()), self.parts)
             columns = [rank[c] for c in columns]
-            by = np.lexsort([*columns[::-1], part])
+            by = np.argsort(reduce(lambda x, c: x << (63 // self.width) | c, columns))
+            by = by[np.argsort(part[by], kind="stable")]
             cuts = np.flatnonzero(np.diff(part[by], prepend=-1, append=-1))
             for a, b in zip(cuts[:-1], cuts[1:]):
                 at = by[a:b]
@@ -245,7 +285,7 @@ def _runs(docs: DataFrame, lang: Column, text_col: str, width: int, parts: int)
         count, "part int, lang string, n long, run binary")
 
 
-def _split(batches):
+def _split(batches, width: int):
     """(part, lang, run, pieces): a run of a large partition in pieces dealt by the whole phrase."""
     for batch in batches:
         out = []
@@ -253,7 +293,7 @@ def _split(batches):
             if pieces == 1:
                 out.append((part, lang, 0, run))
                 continue
-            words, columns, counts = _read_run(run)
+            words, columns, counts = _read_run(run, width)
             words = [_BREAK, *words]
             codes = np.array([zlib.crc32(w) for w in words], np.uint64)
             piece = _deal([codes[c] for c in columns], 1, pieces)
@@ -265,10 +305,10 @@ def _split(batches):
                                              names=["part", "lang", "piece", "run"])
 
 
-def _merge(min_count: int):
+def _merge(min_count: int, width: int):
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         """Phrases of a partition with ``min_count``; and, under no words, the occurrences of all its single words."""
-        runs = [_read_run(x) for x in rows["run"]]
+        runs = [_read_run(x, width) for x in rows["run"]]
         lang = rows["lang"].iloc[0]
         words = sorted(set().union(*(w for w, _, _ in runs)))
         number = dict(zip(words, range(1, len(words) + 1)))
@@ -306,11 +346,12 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     parts = shards_for(size, PART_BYTES)
     runs = written(_runs(docs, lang, text_col, max_words, parts), "runs", "uncompressed")
-    sizes = runs.groupBy("part", "lang").agg(F.ceil(F.sum("n") / MERGED).cast("int").alias("pieces"))
-    pieces = runs.join(sizes, ["part", "lang"]).select("part", "lang", "run", "pieces").mapInArrow(
-        _split, "part int, lang string, piece int, run binary")
+    # Few partitions are large; the written table says how few, and Spark sends it to all tasks only while it is small.
+    large = written(runs.groupBy("part", "lang").agg(F.ceil(F.sum("n") / MERGED).cast("int").alias("pieces")).where("pieces > 1"), "large")
+    pieces = runs.join(large, ["part", "lang"], "left").select("part", "lang", "run", F.coalesce("pieces", F.lit(1))).mapInArrow(
+        lambda batches: _split(batches, max_words), "part int, lang string, piece int, run binary")
     groups = pieces.repartition(max(parts, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "part", "lang", "piece")
-    return groups.groupBy("part", "lang", "piece").applyInPandas(_merge(min_count), "lang string, words array<string>, f long")
+    return groups.groupBy("part", "lang", "piece").applyInPandas(_merge(min_count, max_words), "lang string, words array<string>, f long")
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_words: int = 3, min_count: int = 10,

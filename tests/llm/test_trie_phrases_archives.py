@@ -150,8 +150,8 @@ def test_a_trie_bursts_at_words_and_spills_whole_subtrees():
         keys = phrases.phrase_keys(np.minimum(r.geometric(0.2, 400), 40) - 1, 0, 3)
         trie.add(keys)
         want.update(keys.tolist())
-    assert len(trie.containers) > 10 and max(map(len, trie.containers)) <= 20 and trie.starts == sorted(trie.starts)
-    assert {k: v for c in trie.containers for k, v in c.items()} == want
+    assert len(trie.containers) > 10 and max(c.n for c in trie.containers) <= 20 and trie.starts == sorted(trie.starts)
+    assert {k: v for c in trie.containers for k, v in zip(*(x.tolist() for x in c.items()))} == want
     keys, counts = trie.spill(100)
     assert len(trie) <= 100 and len(keys) + len(trie) == len(want)
     assert all(want[k] == n for k, n in zip(keys.tolist(), counts.tolist()))
