@@ -12,7 +12,8 @@ Parquet files that Spark writes and reads: (part, first, n_tokens, data).
 Defined cases: a null text counts as empty, an empty one is just the end id;
 rows without an id come first; repeated rows are coded each; a document of any
 length is coded whole; an empty table gives no blocks; further columns are
-ignored. A damaged block raises ValueError.
+ignored. A damaged block, or one of another
+table, raises ValueError. A table can hold 2**29 different ids.
 """
 
 from __future__ import annotations
@@ -34,35 +35,33 @@ from daybar.session import scratch_path
 
 MAGIC = b"DBR1"
 BLOCK_TOKENS = 1 << 19
-LANES = 2048
-CHECKPOINT = 128
-SCALE = 18  # frequencies add up to 2**SCALE
+LANES = 4096
+CHECKPOINT = 64
+SCALE = 18  # frequencies add up to 2**SCALE, or more where there are too many different ids for that
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sBBHIIIII")  # magic, scale, flags, lanes, tokens, documents, words, crc of ids, crc of words
 
 
 class Table:
-    """Frequencies that add up to 2**SCALE, at least 1 for every id that occurs."""
+    """Frequencies that add up to 2**scale, at least 1 for every id that occurs."""
 
     def __init__(self, freq: np.ndarray):
         self.freq = freq.astype(np.uint64)
+        self.scale = int(self.freq.sum()).bit_length() - 1
         self.start = np.concatenate([[0], np.cumsum(self.freq)[:-1]]).astype(np.uint64)
         self._symbol: np.ndarray | None = None
 
     @classmethod
     def of_counts(cls, ids: np.ndarray, counts: np.ndarray) -> Table:
-        if len(ids) > 1 << (SCALE - 1):
-            raise ValueError("too many different ids for the table")
+        scale = max(SCALE, len(ids).bit_length() + 1)
         freq = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.int64)
         if not len(ids):
-            freq[0] = 1 << SCALE
+            freq[0] = 1 << scale
             return cls(freq)
         order = np.lexsort([ids, -counts])  # most frequent first
         ids, counts = ids[order], counts[order]
-        share = np.maximum(1, (counts.astype(np.float64) / counts.sum() * ((1 << SCALE) - len(ids))).astype(np.int64))
-        share[0] += (1 << SCALE) - share.sum()
-        if share[0] < 1:
-            raise ValueError("frequencies do not fit the table")
+        share = np.maximum(1, (counts.astype(np.float64) / counts.sum() * ((1 << scale) - len(ids))).astype(np.int64))
+        share[0] += (1 << scale) - share.sum()  # never negative: shares are rounded down
         freq[ids] = share
         return cls(freq)
 
@@ -73,7 +72,7 @@ class Table:
         return self._symbol
 
     def __getstate__(self):
-        return {"freq": self.freq, "start": self.start, "_symbol": None}
+        return {"freq": self.freq, "start": self.start, "scale": self.scale, "_symbol": None}
 
 
 def encode_words(ids: np.ndarray, table: Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -85,11 +84,11 @@ def encode_words(ids: np.ndarray, table: Table) -> tuple[np.ndarray, np.ndarray,
         s = ids[t * LANES:(t + 1) * LANES]
         x = state[:len(s)]
         f, c = table.freq[s], table.start[s]
-        full = x >= f << np.uint64(63 - SCALE)
+        full = x >= f << np.uint64(63 - table.scale)
         words.append(x[full].astype(np.uint32))
         x = np.where(full, x >> np.uint64(32), x)
         q = x // f
-        state[:len(s)] = (q << np.uint64(SCALE)) + (x - q * f) + c
+        state[:len(s)] = (q << np.uint64(table.scale)) + (x - q * f) + c
         if t and t % CHECKPOINT == 0:
             marks.append(state.copy())
             sizes.append(sum(map(len, words)))
@@ -103,13 +102,13 @@ def decode_words(words: np.ndarray, state: np.ndarray, at: int, first: int, n: i
     """Ids ``first`` (a multiple of LANES) up to n, from the states and the place in the words that hold there."""
     out = np.empty(n - first, np.uint32)
     state = state.copy()
-    mask = np.uint64((1 << SCALE) - 1)
+    mask = np.uint64((1 << table.scale) - 1)
     for i in range(first, n, LANES):
         m = min(LANES, n - i)
         x = state[:m]
         slot = x & mask
         s = table.symbol[slot]
-        x = table.freq[s] * (x >> np.uint64(SCALE)) + slot - table.start[s]
+        x = table.freq[s] * (x >> np.uint64(table.scale)) + slot - table.start[s]
         low = x < _LOW
         k = int(low.sum())
         x[low] = x[low] << np.uint64(32) | words[at:at + k]
@@ -122,7 +121,7 @@ def decode_words(words: np.ndarray, state: np.ndarray, at: int, first: int, n: i
 def encode_block(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, table: Table) -> bytes:
     words, state, marks, places = encode_words(ids, table)
     raw = words.tobytes()
-    head = _HEAD.pack(MAGIC, SCALE, 0, LANES, len(ids), len(doc_ids), len(words),
+    head = _HEAD.pack(MAGIC, table.scale, 0, LANES, len(ids), len(doc_ids), len(words),
                       zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(raw))
     none = np.packbits([d is None for d in doc_ids])
     return b"".join([head, np.array([d or 0 for d in doc_ids], "<i8").tobytes(), none.tobytes(),
@@ -134,8 +133,8 @@ class Block:
     """A parsed block; ``ids(k)`` decodes from checkpoint k on (0: from its beginning)."""
 
     def __init__(self, data: bytes):
-        magic, scale, _, lanes, self.n, docs, n_words, self.crc, crc_words = _HEAD.unpack_from(data)
-        if magic != MAGIC or scale != SCALE or lanes != LANES:
+        magic, self.scale, _, lanes, self.n, docs, n_words, self.crc, crc_words = _HEAD.unpack_from(data)
+        if magic != MAGIC or lanes != LANES:
             raise ValueError("not a block of this format")
         at = _HEAD.size
 
@@ -158,6 +157,8 @@ class Block:
             raise ValueError("a block's words do not have their checksum")
 
     def ids(self, table: Table, checkpoint: int = 0) -> np.ndarray:
+        if table.scale != self.scale:
+            raise ValueError("not the table of this block")
         if checkpoint:
             k = checkpoint - 1
             return decode_words(self.words, self.marks[k], int(self.places[k]), checkpoint * CHECKPOINT * LANES, self.n, table)
@@ -167,25 +168,38 @@ class Block:
         return out
 
 
+_TOKENS = "part int, row long, doc long, ids binary, counts binary"
+
+
 def token_rows(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
-    """Documents in ascending id order: part (ascending), row (in the part), doc, ids (with the end id)."""
+    """Documents in ascending id order: part (ascending), row (in the part), doc, ids (with the end id).
+
+    A last row of each part has only ``counts``: how often the part has each id, from 0 up.
+    """
     tail = np.array([end_id], np.uint32).tobytes()
 
     def run(batches):
-        part, row = TaskContext.get().partitionId(), 0
+        part, row, total = TaskContext.get().partitionId(), 0, np.zeros(0, np.int64)
         for batch in batches:
             texts = as_bytes(batch.column(1))
             for a, b in chunked(texts):
-                ids = tokens.encode([t.decode() for t in texts[a:b]], path)
+                ids = [x + tail for x in tokens.encode([t.decode() for t in texts[a:b]], path)]
+                own = np.bincount(np.frombuffer(b"".join(ids), np.uint32))
+                total = np.pad(total, (0, max(0, len(own) - len(total))))
+                total[:len(own)] += own
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * (b - a), pa.int32()), pa.array(range(row, row + b - a), pa.int64()),
-                     batch.column(0).slice(a, b - a), pa.array([_narrow(x + tail) for x in ids], pa.binary())],
-                    names=["part", "row", "doc", "ids"])
+                     batch.column(0).slice(a, b - a), pa.array([_narrow(x) for x in ids], pa.binary()), pa.nulls(b - a, pa.binary())],
+                    names=["part", "row", "doc", "ids", "counts"])
                 row += b - a
+        if row:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([row], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                 pa.array([total.astype("<i8").tobytes()])], names=["part", "row", "doc", "ids", "counts"])
 
     ordered = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col)).repartitionByRange("doc") \
         .sortWithinPartitions("doc")
-    return ordered.mapInArrow(run, "part int, row long, doc long, ids binary")
+    return ordered.mapInArrow(run, _TOKENS)
 
 
 def _narrow(ids: bytes) -> bytes:
@@ -201,16 +215,13 @@ def _wide(data: bytes) -> np.ndarray:
 def corpus_table(rows: DataFrame) -> Table:
     """The shared table from the counts of all ids; one row per different id reaches the driver."""
     def count(batches):
-        total = np.zeros(1, np.int64)
         for batch in batches:
-            own = np.bincount(np.concatenate([_wide(data) for data in batch.column(0).to_pylist()]))
-            if len(own) > len(total):
-                total = np.concatenate([total, np.zeros(len(own) - len(total), np.int64)])
-            total[:len(own)] += own
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
-
-    counts = rows.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+            for data in batch.column(0).to_pylist():
+                own = np.frombuffer(data, "<i8")
+                at = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own[at])], names=["id", "n"])
+
+    counts = rows.where("counts is not null").select("counts").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     return Table.of_counts(counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
 
 
@@ -251,7 +262,7 @@ def write_blocks(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, i
             yield block()
 
     # Coded payloads do not shrink again.
-    rows.select("part", "row", "doc", "ids").mapInArrow(run, "part int, first long, n_tokens long, data binary") \
+    rows.where("counts is null").select("part", "row", "doc", "ids").mapInArrow(run, "part int, first long, n_tokens long, data binary") \
         .write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 

@@ -11,6 +11,8 @@ _models: dict[str, _Model] = {}
 # A single space between two other characters always begins a piece of a byte-level BPE's pre-tokenizer
 # (" ?letters", " ?digits", " ?others"), so what lies between such spaces is encoded alike anywhere.
 _GAP = re.compile(r"(?<=\S) (?=\S)")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_DOUBLE = ("  ", "\n\n", " \n", "\n ")
 # Marks at the end of a word form a piece of their own behind a letter.
 _MARKS = ".,!?;:*$%&#|"
 # Letters below this are letters to every Unicode version: a run of them is one piece.
@@ -92,9 +94,8 @@ def encode(texts: list[str], path: str) -> list[bytes]:
             out.append(model.whole(text))
             continue
         # Where every white space is a single space or newline inside the text, lines are cut too (a newline
-        # between other characters is a piece); else only spaces that stand alone. The words must be the same:
-        # their number alone also fits a text in which tabs make up for blank lines.
-        if text.split() == text.replace("\n", " ").split(" "):
+        # between other characters is a piece); else only spaces that stand alone.
+        if text[:1].strip() and text[-1:].strip() and not any(x in text for x in _DOUBLE) and not _OTHER_SPACE.search(text):
             lines = [line.split(" ") for line in text.split("\n")]
             out.append(newline.join([first[words[0]] + b"".join(map(of, words[1:])) for words in lines]))
         else:
