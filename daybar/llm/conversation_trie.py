@@ -121,13 +121,13 @@ def _paths(seqs: DataFrame, lengths: DataFrame, rounds: int) -> DataFrame:
     return reduce(DataFrame.unionByName, cuts)
 
 
-def _joined_ids(batches):
-    """Ids that are sorted by name: rows of at most ``ENDS_IN_ROW`` of them as text."""
+def _joined_ids(batches, most: int):
+    """Ids that are sorted by name: rows of at most ``most`` of them as text."""
     for batch in batches:
         names, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         out, a = [], 0
         for b in range(1, len(names) + 1):
-            if b == len(names) or names[b] != names[a] or b - a == ENDS_IN_ROW:
+            if b == len(names) or names[b] != names[a] or b - a == most:
                 out.append((names[a], ids[a], ",".join(map(str, ids[a:b]))))
                 a = b
         if out:
@@ -157,7 +157,8 @@ def _ends(paths: DataFrame, lengths: DataFrame) -> DataFrame:
     """(name, ends_sha256) of the nodes at which conversations end."""
     ends = paths.join(lengths.select("conv_id", F.col("length").alias("d")), ["conv_id", "d"]).select("name", "conv_id")
     ranged = ends.repartitionByRange("name", "conv_id").sortWithinPartitions("name", "conv_id")
-    rows = ranged.mapInArrow(_joined_ids, "name binary, first long, ids string")
+    most = ENDS_IN_ROW
+    rows = ranged.mapInArrow(lambda batches: _joined_ids(batches, most), "name binary, first long, ids string")
     return rows.repartition("name").sortWithinPartitions("name", "first").mapInArrow(
         _hashed_ids, "name binary, ends_sha256 string")
 

@@ -3,13 +3,13 @@
 1. A task numbers the words that it meets and counts phrases of one to
    ``max_words`` words in a trie for each language: hash containers (a phrase as
    one integer of word numbers -> its count) that cover neighbouring subtrees.
-   A container of more than ``BURST`` phrases bursts at the first word in which
+   A container of more than ``burst`` phrases bursts at the first word in which
    its phrases differ, so frequent beginnings get containers of their own.
-2. Beyond ``HELD`` phrases the largest containers are spilled whole: as runs,
+2. Beyond ``held`` phrases the largest containers are spilled whole: as runs,
    sorted by their words, one for each prefix partition (the first two words say
    which). A run carries its own words, so numbers never leave the task.
 3. The runs of a partition are merged and their counts added. A partition of
-   more than ``MERGED`` phrases is split by all words of the phrase first.
+   more than ``merged`` phrases is split by all words of the phrase first.
 4. Phrases seen ``min_count`` times are scored against their parts by joins.
 
 A part of a phrase is at least as frequent as the phrase, so what is rarer than
@@ -25,6 +25,7 @@ has no phrases; further columns are ignored.
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -37,12 +38,16 @@ from daybar.llm.repeats import _pack, _unpack
 from daybar.llm.tables import shards_for, written
 from daybar.llm.text import as_bytes, mix
 
-BURST = 1 << 15       # phrases in a container
-HELD = 2_000_000      # phrases that a task counts before it spills
-SLICE = 1 << 20       # bytes of text taken apart at once
-WORD_BYTES = 64 << 20  # bytes of words that a task numbers before it begins anew
-PART_BYTES = 16 << 20  # bytes of text for each prefix partition
-MERGED = 4_000_000    # phrases of runs merged in one group
+@dataclass(frozen=True)
+class Limits:
+    """How much is held at once. No result depends on these."""
+    burst: int = 1 << 15        # phrases in a container
+    held: int = 2_000_000       # phrases that a task counts before it spills
+    slice: int = 1 << 20        # bytes of text taken apart at once
+    word_bytes: int = 64 << 20  # bytes of words that a task numbers before it begins anew
+    part_bytes: int = 16 << 20  # bytes of text for each prefix partition
+    merged: int = 4_000_000     # phrases of runs merged in one group
+
 
 _BREAK = b"\xff"      # no byte of UTF-8: the end of a piece
 _FLAT = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _BREAK * 10)
@@ -103,8 +108,8 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Trie:
     """Counts of phrases. Word numbers have ``bits`` bits; a phrase of fewer words ends in zeros."""
 
-    def __init__(self, width: int, burst: int | None = None):
-        self.width, self.bits, self.burst, self.held = width, 63 // width, burst or BURST, 0
+    def __init__(self, width: int, burst: int = Limits.burst):
+        self.width, self.bits, self.burst, self.held = width, 63 // width, burst, 0
         self.starts, self.containers = [0], [Container(self.burst)]  # the first key of each container's range
 
     def __len__(self) -> int:
@@ -162,10 +167,10 @@ class Trie:
         return np.concatenate(keys), np.concatenate(counts)
 
 
-def _slices(data: bytes):
+def _slices(data: bytes, size: int):
     at = 0
     while at < len(data):
-        end = data.find(b" ", at + SLICE)
+        end = data.find(b" ", at + size)
         end = len(data) if end < 0 else end
         yield data[at:end]
         at = end
@@ -218,25 +223,26 @@ def _deal(codes: list[np.ndarray], salt: int, parts: int) -> np.ndarray:
 class _Counting:
     """The tries of one task, by language, over one numbering of words."""
 
-    def __init__(self, width: int, parts: int):
+    def __init__(self, width: int, parts: int, limits: Limits = Limits()):
+        self.limits = limits
         self.width, self.parts, self.words, self.tries = width, parts, Words(), {}
 
     def take(self, lang: str, texts: list[bytes]):
         """Count the texts; yield the runs that are spilled meanwhile."""
         data = (b" " + _BREAK + b" ").join(t.translate(_FLAT).replace(_BREAK, b" " + _BREAK + b" ") for t in texts)
         before = np.zeros(0, np.int64)
-        for piece in _slices(data):
-            if len(self.words.list) + SLICE >= 1 << (63 // self.width) or self.words.bytes > WORD_BYTES:
+        for piece in _slices(data, self.limits.slice):
+            if len(self.words.list) + len(piece) >= 1 << (63 // self.width) or self.words.bytes > self.limits.word_bytes:
                 tail = [self.words.list[i] for i in before.tolist()]
                 yield from self.spill(0)
                 self.words = Words()
                 before = np.array([self.words[w] for w in tail], np.int64)
             tokens = piece.split()
             numbers = np.concatenate([before, np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))])
-            self.tries.setdefault(lang, Trie(self.width)).add(phrase_keys(numbers, len(before), self.width))
+            self.tries.setdefault(lang, Trie(self.width, self.limits.burst)).add(phrase_keys(numbers, len(before), self.width))
             before = numbers[len(numbers) - min(len(numbers), self.width - 1):]
-            if sum(map(len, self.tries.values())) > HELD:
-                yield from self.spill(HELD // 2)
+            if sum(map(len, self.tries.values())) > self.limits.held:
+                yield from self.spill(self.limits.held // 2)
 
     def spill(self, keep: int):
         held = sum(map(len, self.tries.values()))
@@ -260,13 +266,13 @@ class _Counting:
                 yield int(part[at[0]]), lang, len(at), _run(ranked, [c[at] for c in columns], counts[at])
 
 
-def _runs(docs: DataFrame, lang: Column, text_col: str, width: int, parts: int) -> DataFrame:
+def _runs(docs: DataFrame, lang: Column, text_col: str, width: int, parts: int, limits: Limits) -> DataFrame:
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.string(), pa.int64(), pa.binary()))],
                                           names=["part", "lang", "n", "run"])
 
     def count(batches):
-        counting, out = _Counting(width, parts), []
+        counting, out = _Counting(width, parts, limits), []
         for batch in batches:
             by_lang: dict[str, list[bytes]] = {}
             for own, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
@@ -335,7 +341,7 @@ def _merge(min_count: int, width: int):
 
 
 def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_words: int = 3,
-                  min_count: int = 10) -> DataFrame:
+                  min_count: int = 10, limits: Limits = Limits()) -> DataFrame:
     """(lang, words, f): phrases of 1 to ``max_words`` (2 or 3) words that occur ``min_count`` times or more.
 
     Rows without words add up to all word occurrences of their language.
@@ -344,10 +350,10 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
         raise ValueError("max_words must be 2 or 3")
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    parts = shards_for(size, PART_BYTES)
-    runs = written(_runs(docs, lang, text_col, max_words, parts), "runs", "uncompressed")
+    parts = shards_for(size, limits.part_bytes)
+    runs = written(_runs(docs, lang, text_col, max_words, parts, limits), "runs", "uncompressed")
     # Few partitions are large; the written table says how few, and Spark sends it to all tasks only while it is small.
-    large = written(runs.groupBy("part", "lang").agg(F.ceil(F.sum("n") / MERGED).cast("int").alias("pieces")).where("pieces > 1"), "large")
+    large = written(runs.groupBy("part", "lang").agg(F.ceil(F.sum("n") / limits.merged).cast("int").alias("pieces")).where("pieces > 1"), "large")
     pieces = runs.join(large, ["part", "lang"], "left").select("part", "lang", "run", F.coalesce("pieces", F.lit(1))).mapInArrow(
         lambda batches: _split(batches, max_words), "part int, lang string, piece int, run binary")
     groups = pieces.repartition(max(parts, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "part", "lang", "piece")
@@ -355,9 +361,9 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_words: int = 3, min_count: int = 10,
-                 cover_percent: int = 50, top: int = 2000) -> DataFrame:
+                 cover_percent: int = 50, top: int = 2000, limits: Limits = Limits()) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    counts = written(phrase_counts(docs, lang_col, text_col, max_words, min_count), "phrases")
+    counts = written(phrase_counts(docs, lang_col, text_col, max_words, min_count, limits), "phrases")
     text = lambda words: F.array_join(words, " ")
     n = counts.where("size(words) = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     known = counts.where("size(words) > 0").select("lang", "words", text(F.col("words")).alias("phrase"), F.col("f").alias("a"))

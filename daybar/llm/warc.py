@@ -8,9 +8,9 @@ committed name it, so what a lost task left behind is never read.
 
 Index: a capture's key is its URL with the host's labels reversed, then the
 date. Lines ``key date {json}`` are sorted by ranges and written as blocks of
-``BLOCK_LINES`` lines, compressed each; a sparse directory holds the first key
+``block_lines`` lines, compressed each; a sparse directory holds the first key
 and the place of each block. Both lie in as many parts as there are ranges (at
-most ``MAX_PARTS``); the first and last keys of the parts, cut to ``KEY_CHARS``
+most ``max_parts``); the first and last keys of the parts, cut to ``key_chars``
 characters, are all that is sent to every task.
 
 Reading: keys go to the parts that may hold them, in order; a task
@@ -39,6 +39,7 @@ import re
 import uuid
 import zlib
 from bisect import bisect_left, bisect_right
+from dataclasses import dataclass
 from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
@@ -49,12 +50,17 @@ from pyspark.sql import functions as F
 from daybar.llm.tables import shards_for, written
 from daybar.session import scratch_path
 
-ARCHIVE_BYTES = 128 << 20   # an archive is closed beyond
-BLOCK_LINES = 1024          # captures in one block of the index
-PART_CAPTURES = 1 << 14     # captures in one part of the index
-MAX_PARTS = 8192            # parts; beyond, they hold more captures each
-KEY_CHARS = 256             # characters of a part's first and last key that every task gets
-READ_BYTES, READ_GAP = 8 << 20, 64 << 10  # ranges of an archive that are read together
+@dataclass(frozen=True)
+class Limits:
+    """How much a file, a block or a read holds. No result depends on these."""
+    archive_bytes: int = 128 << 20  # an archive is closed beyond
+    block_lines: int = 1024         # captures in one block of the index
+    part_captures: int = 1 << 14    # captures in one part of the index
+    max_parts: int = 8192           # parts; beyond, they hold more captures each
+    key_chars: int = 256            # characters of a part's first and last key that every task gets
+    read_bytes: int = 8 << 20       # ranges of an archive that are read together,
+    read_gap: int = 64 << 10        # and the bytes between two of them
+
 
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CAPTURE = "key string, row long, file string, offset long, length long"
@@ -118,7 +124,8 @@ def _http_head(size: int) -> bytes:
 class _Archives:
     """The archives that one task writes."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, limit: int):
+        self.limit = limit
         self.system, self.folder = _open(folder)
         self.system.create_dir(self.folder, recursive=True)
         self.name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}"
@@ -126,7 +133,7 @@ class _Archives:
 
     def put(self, member: bytes) -> tuple[str, int, int]:
         """(file, offset, length) of the record in the archives."""
-        if self.out is not None and self.at > ARCHIVE_BYTES:
+        if self.out is not None and self.at > self.limit:
             self.close()
         if self.out is None:
             self.file, self.at, self.n = f"{self.name}-{self.n:04d}.warc.gz", 0, self.n + 1
@@ -149,7 +156,7 @@ class _Archives:
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                   date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+                   date: str = "1970-01-01T00:00:00Z", limits: Limits = Limits()) -> DataFrame:
     """Write ``folder``/archives; the captures: key, row, file, offset, length."""
     payload = F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "UTF-8")
     rows = written(pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("page_id"),
@@ -161,7 +168,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     stamp, archive = re.sub(r"\D", "", date)[:14], f"{folder}/archives"
 
     def write(batches):
-        archives = _Archives(archive)
+        archives = _Archives(archive, limits.archive_bytes)
         for batch in batches:
             out = []
             for row, page, url, data, of_row, of_url in zip(*(c.to_pylist() for c in batch.columns)):
@@ -187,9 +194,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     return written(whole.mapInArrow(write, _CAPTURE), "captures")
 
 
-def build_index(captures: DataFrame, folder: str) -> DataFrame:
+def build_index(captures: DataFrame, folder: str, limits: Limits = Limits()) -> DataFrame:
     """Write ``folder``/index; its parts: low, high (first and last key), file, directory, lines."""
-    parts = min(MAX_PARTS, shards_for(captures.count(), PART_CAPTURES))
+    parts = min(limits.max_parts, shards_for(captures.count(), limits.part_captures))
     at = f"{folder}/index"
 
     def write(batches):
@@ -212,7 +219,7 @@ def build_index(captures: DataFrame, folder: str) -> DataFrame:
                     low, high, n = low or key, key, n + 1
                     what = json.dumps({"row": row, "filename": file, "offset": offset, "length": length}, separators=(",", ":"))
                     held.append(f"{key} {what}\n")
-                    if len(held) == BLOCK_LINES:
+                    if len(held) == limits.block_lines:
                         block()
             if held:
                 block()
@@ -255,10 +262,10 @@ class IndexPart:
             k += 1
 
 
-def find_captures(parts: DataFrame, folder: str, urls: DataFrame, url_col: str = "url") -> DataFrame:
+def find_captures(parts: DataFrame, folder: str, urls: DataFrame, url_col: str = "url", limits: Limits = Limits()) -> DataFrame:
     """Every capture of the URLs in ``urls``: key, row, file, offset, length, each once."""
     spark = parts.sparkSession
-    known = sorted(parts.select(F.substring("low", 1, KEY_CHARS).alias("low"), F.substring("high", 1, KEY_CHARS).alias("high"),
+    known = sorted(parts.select(F.substring("low", 1, limits.key_chars).alias("low"), F.substring("high", 1, limits.key_chars).alias("high"),
                                 "file", "directory").toPandas().itertuples(index=False, name=None))
     cut = lambda key: key.split(" ")[0]  # noqa: E731  without the date
     sent = spark.sparkContext.broadcast(([cut(p[0]) for p in known], [cut(p[1]) for p in known], [p[2:] for p in known]))
@@ -272,7 +279,7 @@ def find_captures(parts: DataFrame, folder: str, urls: DataFrame, url_col: str =
         for batch in batches:
             out = []
             for key in batch.column(0).to_pylist():
-                short = key[:KEY_CHARS]
+                short = key[:limits.key_chars]
                 out.extend((k, key) for k in range(bisect_left(high, short), bisect_right(low, short)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.string()))], names=["part", "key"])
@@ -301,12 +308,12 @@ def _captures(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["key", "row", "file", "offset", "length"])
 
 
-def _runs(places: list[tuple[str, int, int]]):
+def _runs(places: list[tuple[str, int, int]], limits: Limits):
     """Neighbouring ranges of one file that are read together: (file, offset, length, the ranges)."""
     run: list[tuple[str, int, int]] = []
     for place in places:
-        if run and (place[0] != run[0][0] or place[1] - (run[-1][1] + run[-1][2]) > READ_GAP
-                    or place[1] + place[2] - run[0][1] > READ_BYTES):
+        if run and (place[0] != run[0][0] or place[1] - (run[-1][1] + run[-1][2]) > limits.read_gap
+                    or place[1] + place[2] - run[0][1] > limits.read_bytes):
             yield run
             run = []
         run.append(place)
@@ -314,7 +321,7 @@ def _runs(places: list[tuple[str, int, int]]):
         yield run
 
 
-def read_captures(captures: DataFrame, folder: str) -> DataFrame:
+def read_captures(captures: DataFrame, folder: str, limits: Limits = Limits()) -> DataFrame:
     """The records: record_id, page_id, record_type, payload_bytes (null for a revisit), payload_digest, refers_to, payload."""
     schema = ("record_id string, page_id long, record_type string, payload_bytes long, payload_digest string, "
               "refers_to string, payload binary")
@@ -323,7 +330,7 @@ def read_captures(captures: DataFrame, folder: str) -> DataFrame:
         system, path = _open(f"{folder}/archives")
         name, file = None, None
         for batch in batches:
-            for run in _runs(list(zip(*(c.to_pylist() for c in batch.columns)))):
+            for run in _runs(list(zip(*(c.to_pylist() for c in batch.columns))), limits):
                 if run[0][0] != name:
                     name = run[0][0]
                     file = system.open_input_file(f"{path}/{name}")
@@ -331,7 +338,7 @@ def read_captures(captures: DataFrame, folder: str) -> DataFrame:
                 data = file.read_at(run[-1][1] + run[-1][2] - first, first)
                 yield _records([read_record(data[offset - first:offset - first + length]) for _, offset, length in run])
 
-    span = F.expr(f"offset div {READ_BYTES}")
+    span = F.expr(f"offset div {limits.read_bytes}")
     near = captures.select("file", "offset", "length").repartition("file", span).sortWithinPartitions("file", "offset")
     return near.mapInArrow(read, schema)
 
@@ -351,14 +358,14 @@ def _records(records: list[tuple[dict[str, str], bytes]]) -> pa.RecordBatch:
                                       names=["record_id", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"])
 
 
-def archived_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
+def archived_pages(spark: SparkSession, pages: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Archive all pages, index the captures, look every URL up and read what is found.
 
     One row per page: page_id, payload_bytes, payload_digest, record_type, refers_to.
     """
     folder = scratch_path(spark, "warc")
-    index = build_index(write_archives(pages, folder), folder)
-    found = read_captures(find_captures(index, folder, pages), folder)
+    index = build_index(write_archives(pages, folder, limits=limits), folder, limits)
+    found = read_captures(find_captures(index, folder, pages, limits=limits), folder, limits)
     records = written(found.drop("payload"), "records")
     targets = records.where("record_type = 'response'").select(
         F.col("record_id").alias("refers_to"), F.col("page_id").alias("of"), F.col("payload_bytes").alias("there"))

@@ -129,15 +129,16 @@ PHRASE_ROWS = [
 ]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_phrases(spark, docs, monkeypatch, small):
-    if small:  # bursts, spills in the middle of texts, new numberings, several partitions that are split again
-        for name, value in {"BURST": 6, "HELD": 40, "SLICE": 64, "WORD_BYTES": 200, "PART_BYTES": 20_000, "MERGED": 15}.items():
-            monkeypatch.setattr(phrases, name, value)
+# Bursts, spills in the middle of texts, new numberings, several partitions that are split again.
+SMALL = phrases.Limits(burst=6, held=40, slice=64, word_bytes=200, part_bytes=20_000, merged=15)
+
+
+@pytest.mark.parametrize("limits", [phrases.Limits(), SMALL])
+def test_phrases(spark, docs, limits):
     table = spark.createDataFrame([(i, t, x, "x", 0) for i, (x, t) in enumerate(PHRASE_ROWS)],
                                   "part long, text string, lang string, words string, n long").repartition(3)
     for top, width in ((2000, 3), (2, 2)):
-        got = phrases.collocations(table, top=top, max_words=width)
+        got = phrases.collocations(table, top=top, max_words=width, limits=limits)
         assert sorted(map(tuple, got.collect())) == slow_phrases(PHRASE_ROWS, top, width)
     assert phrases.collocations(table.where("false")).count() == 0
     assert phrases.collocations(table.where("text is null")).count() == 0
@@ -166,13 +167,13 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_archives(spark, docs, monkeypatch, small):
-    if small:
-        for name, value in {"ARCHIVE_BYTES": 2000, "BLOCK_LINES": 3, "PART_CAPTURES": 7, "READ_BYTES": 900, "READ_GAP": 10, "KEY_CHARS": 9}.items():
-            monkeypatch.setattr(warc, name, value)
+FEW = warc.Limits(archive_bytes=2000, block_lines=3, part_captures=7, key_chars=9, read_bytes=900, read_gap=10)
+
+
+@pytest.mark.parametrize("limits", [warc.Limits(), FEW])
+def test_archives(spark, docs, limits):
     table = spark.createDataFrame([(*p, "x", 0, "x") for p in PAGES], "page_id long, url string, html string, row string, key long, file string").repartition(3)
-    got = warc.archived_pages(spark, table).collect()
+    got = warc.archived_pages(spark, table, limits).collect()
     groups = defaultdict(list)
     for i, _, html in PAGES:
         groups[html or ""].append(i)
