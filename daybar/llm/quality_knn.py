@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybar.llm.text import as_bytes, chunked, joined, span_hashes, words_of
+from daybar.llm.text import as_bytes, chunked, feature_hashes, joined, words_of
 
 MAX_LABELLED = 4096
 TERMS = 2048
@@ -64,7 +64,7 @@ def _features(texts: list[bytes]) -> np.ndarray:
     """Trigram counts, and the share of words equal to the word before (the last column)."""
     data, begins = joined(texts)
     starts, ends, first = words_of(data, begins)
-    hashes = span_hashes(data, starts, ends)
+    hashes = feature_hashes(data, starts, ends)
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
     same = np.zeros(len(doc), bool)
     same[1:] = (hashes[1:] == hashes[:-1]) & (doc[1:] == doc[:-1])

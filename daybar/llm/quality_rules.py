@@ -3,12 +3,14 @@
 Rolling hashes of several n-gram lengths over the words of a text find the
 n-grams that occur before in the same text; what counts is the share of a
 text's word characters inside such duplicated n-grams, and inside lines equal
-to an earlier line. Everything is computed per text in numpy, over Arrow
-batches, so the job is one scan without a shuffle.
+to an earlier line. Words and lines are numbered by their bytes, and n-grams of
+equal hash are compared word by word. Everything is computed per text in numpy,
+over Arrow batches, so the job is one scan without a shuffle.
 
 Defined cases: a null or empty text has no words and fails the base rules; a
 repeated row gets the same result as the first; a text of any length is taken
-whole; further input columns are ignored.
+whole; rows without an id are measured like others; an empty table gives no
+rows; further input columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from daybar.llm.text import as_bytes, chunked, covered, joined, mix, repeats, span_hashes, words_of
+from daybar.llm.text import as_bytes, chunked, covered, joined, mix, numbered, repeats, words_of
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -53,13 +55,15 @@ def _measure(texts: list[bytes], rules: RepetitionRules) -> dict[str, np.ndarray
     line_words = np.searchsorted(starts, np.concatenate([line_starts, [len(data)]]))
     full = np.flatnonzero(np.diff(line_words))
     line_doc = np.searchsorted(begins, line_starts[full], side="right") - 1
-    _, again = repeats(mix(span_hashes(data, line_starts[full], line_ends[full]) ^ salt[line_doc]))
+    lines = numbered(data.tobytes().split(b"\n"))[full]
+    _, again = repeats(lines * np.uint64(n_docs) + line_doc.astype(np.uint64))  # numbers, not hashes: equal only where lines are
     out["n_dup_lines"] = per_doc(line_doc[again])
     before = np.concatenate([[0], np.cumsum(chars)])
     line_chars = before[line_words[full + 1]] - before[line_words[full]]
     out["dup_line_chars"] = per_doc(line_doc[again], line_chars[again])
 
-    hashes = span_hashes(data, starts, ends)
+    numbers = numbered(data.tobytes().split())
+    hashes = mix(numbers + np.uint64(1))
     limits = dict(rules.ngram_limits)
     rolling = np.zeros(n_words, np.uint64)
     last = first[1:][doc] if n_words else np.zeros(0, np.int64)  # end of each word's text
@@ -70,7 +74,14 @@ def _measure(texts: list[bytes], rules: RepetitionRules) -> dict[str, np.ndarray
         if n != rules.base_window and n not in limits:
             continue
         whole = np.flatnonzero(np.arange(n_words) + n <= last)
-        both, again = repeats(mix(rolling[whole] ^ salt[doc[whole]]))
+
+        def equal(a, b, whole=whole, n=n):
+            same = doc[whole[a]] == doc[whole[b]]
+            for k in range(n):
+                same &= numbers[whole[a] + k] == numbers[whole[b] + k]
+            return same
+
+        both, again = repeats(mix(rolling[whole] ^ salt[doc[whole]]), equal)
         if n == rules.base_window:
             marked = np.zeros(n_words, bool)
             marked[whole[both]] = True

@@ -19,7 +19,7 @@ text falls into runs of windows with one anchor.
 
 What moves are packed arrays of a chunk and a shard, not a row for each
 window. The number of shards follows the input, so a shard stays of one size.
-Hashes of strings and anchors have 64 bits.
+Hashes of strings and anchors have 64 bits; strings of equal hash are compared.
 """
 
 from __future__ import annotations
@@ -38,17 +38,23 @@ from pyspark.sql import functions as F
 from daybar.llm.tables import release, shards_for, written
 from daybar.llm.text import as_bytes, mix, span_hashes
 
-CHUNK = 6 << 20          # bytes of documents in a chunk
-SPAN = 1 << 18           # windows looked at together
-LONGEST_RUN = 1 << 12    # windows in one string
-SHARD_BYTES = 24 << 20   # bytes of input for each shard
-HOT_CHUNKS = 64          # an anchor in more chunks is dealt by single windows
-BATCH_UNITS = 1 << 19    # units of strings that a shard compares together (an anchor's strings stay together)
+COMPARED_UNITS = 1 << 22  # units of strings compared at once
 NO_ID = (1 << 63) - 1    # stands for a null id: after all others
 
 _CHUNK_ROW = "chunk long, docs binary, lengths binary, nulls binary, data binary"
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """How much is handled at once. No result depends on these."""
+    chunk: int = 6 << 20          # bytes of documents in a chunk
+    span: int = 1 << 18           # windows looked at together
+    longest_run: int = 1 << 12    # windows in one string
+    shard_bytes: int = 24 << 20   # bytes of input for each shard
+    hot_chunks: int = 64          # an anchor in more chunks is dealt by single windows
+    batch_units: int = 1 << 19    # units of strings that a shard compares together (an anchor's strings stay together)
+
+
 @dataclass(frozen=True)
 class Units:
     """What an operator compares: how texts become units, and how equal windows are found among strings of them."""
@@ -57,6 +63,7 @@ class Units:
     split: Callable[[bytes, np.ndarray], tuple]                    # text, lengths -> units, begins, the operator's own
     grams: Callable[[np.ndarray], np.ndarray]                      # hashes of the grams at each place
     classes: Callable[[np.ndarray, np.ndarray], np.ndarray]        # units, window starts -> class of each
+    sizes: Sizes = Sizes()
 
 
 def _is_hash(kind: np.dtype) -> bool:
@@ -88,7 +95,7 @@ def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def chunk_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def chunk_rows(docs: DataFrame, id_col: str, text_col: str, limit: int = Sizes.chunk) -> DataFrame:
     def run(batches):
         part, n, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
 
@@ -100,7 +107,7 @@ def chunk_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
-                if texts and size + len(t) > CHUNK:
+                if texts and size + len(t) > limit:
                     yield chunk()
                     n, ids, texts, size = n + 1, [], [], 0
                 ids.append(i)
@@ -127,8 +134,8 @@ class Chunk:
         length, last = self.kind.length, len(self.units) - self.kind.length + 1
         wide = length - self.kind.gram + 1
         values, firsts, counts, owners = [], [], [], []
-        for a in range(0, last, SPAN):
-            b = min(a + SPAN, last)
+        for a in range(0, last, self.kind.sizes.span):
+            b = min(a + self.kind.sizes.span, last)
             least, reach = self.kind.grams(self.units[a:b + length - 1]), 1
             while 2 * reach <= wide:
                 least = np.minimum(least[:-reach], least[reach:])
@@ -142,7 +149,7 @@ class Chunk:
             inside = at + length <= self.begins[doc + 1]
             new = np.ones(b - a, bool)
             new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | ~inside[:-1]
-            new |= at % LONGEST_RUN == 0
+            new |= at % self.kind.sizes.longest_run == 0
             begin = np.flatnonzero(new)
             size = np.diff(np.append(begin, b - a))
             # Windows past the end of their text come after all others of it: a run of them is left out, one never mixes.
@@ -181,7 +188,7 @@ class Chunk:
         step = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
         first, doc, key, single = first[at] + step, doc[at], key[at], single[at]
         count = np.where(single, 1, count[at])
-        hashes = span_hashes(self.units, first, first + count + self.kind.length - 1)
+        hashes = _distinct_hashes(self.units, first, count + self.kind.length - 1)
         key = np.where(single, mix(hashes), key)
         _, sample, of = np.unique(hashes, return_index=True, return_inverse=True)
         order = np.argsort(sample)  # distinct strings in the order of the text
@@ -193,6 +200,27 @@ class Chunk:
         return first, doc, of, first[sample], count[sample], key[sample], low, high, shard
 
 
+def _distinct_hashes(units: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each string, equal only where the strings are: those of one hash are compared unit by unit."""
+    hashes = span_hashes(units, starts, starts + lengths)
+    todo = np.arange(len(hashes))
+    while len(todo):
+        order = todo[np.argsort(hashes[todo], kind="stable")]
+        head = np.ones(len(order), bool)
+        head[1:] = hashes[order][1:] != hashes[order][:-1]
+        first = order[np.flatnonzero(head)[np.cumsum(head) - 1]]  # the first string of each hash
+        other = lengths[order] != lengths[first]
+        alike = np.flatnonzero(~head & ~other)
+        for at in np.array_split(alike, max(1, int(lengths[order[alike]].sum()) // COMPARED_UNITS + 1)):
+            a, b, n = order[at], first[at], lengths[order[at]]
+            unlike = units[_ranges(starts[a], n)] != units[_ranges(starts[b], n)]
+            if unlike.any():
+                other[at] = np.add.reduceat(unlike, np.cumsum(n) - n) > 0
+        todo = np.sort(order[other])
+        hashes[todo] = mix(hashes[todo] + np.uint64(1))
+    return hashes
+
+
 def _least_most(group: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     low, high = np.full(n, NO_ID, np.int64), np.full(n, -(1 << 63), np.int64)
     np.minimum.at(low, group, value)
@@ -219,7 +247,7 @@ def _anchor_rows(chunks: DataFrame, kind: Units, shards: int) -> DataFrame:
     return chunks.mapInPandas(run, "shard int, chunk long, anchors binary, many binary")
 
 
-def _met(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _met(key: tuple, rows: pd.DataFrame, hot_chunks: int) -> pd.DataFrame:
     """For each chunk of a shard, which of its anchors another document has, and which of them very many chunks have."""
     parts = []
     for raw in rows["anchors"]:
@@ -231,7 +259,7 @@ def _met(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     many = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n) for m, n in zip(rows["many"], sizes)])
     _, of, count = np.unique(values, return_inverse=True, return_counts=True)
     met = (np.bincount(of, many) > 0) | (count > 1)
-    hot = count > HOT_CHUNKS
+    hot = count > hot_chunks
     out, at = [], 0
     for chunk, n in zip(rows["chunk"], sizes):
         own = of[at:at + n]
@@ -293,7 +321,7 @@ def _settle(kind: Units, unit_kind: str):
         count = count.astype(np.int64)
         length = count + kind.length - 1
         start = np.cumsum(length) - length
-        hashes = span_hashes(units, start, start + length)
+        hashes = _distinct_hashes(units, start, length)
         order = np.lexsort([hashes, anchor])
         new = np.ones(len(order), bool)
         new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])
@@ -309,7 +337,7 @@ def _settle(kind: Units, unit_kind: str):
         room = np.concatenate([[0], np.cumsum(np.where(many, length[sample], 0))])
         k = 0
         while k < len(cuts) - 1:
-            j = max(k + 1, int(np.searchsorted(room[cuts], room[cuts[k]] + BATCH_UNITS, side="right")) - 1)
+            j = max(k + 1, int(np.searchsorted(room[cuts], room[cuts[k]] + kind.sizes.batch_units, side="right")) - 1)
             some = np.flatnonzero(many[cuts[k]:cuts[j]]) + cuts[k]
             if len(some):
                 at = sample[some]
@@ -361,10 +389,10 @@ def repeated_windows(docs: DataFrame, kind: Units, unit_kind: str, measure: Call
                      schema: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``measure`` of every chunk, given which of its units lie in a window that a document with a smaller id has."""
     spark = docs.sparkSession
-    chunks = written(chunk_rows(docs, id_col, text_col), "chunks", "uncompressed")
-    shards = shards_for(chunks.count() * CHUNK, SHARD_BYTES)
+    chunks = written(chunk_rows(docs, id_col, text_col, kind.sizes.chunk), "chunks", "uncompressed")
+    shards = shards_for(chunks.count() * kind.sizes.chunk, kind.sizes.shard_bytes)
     flags = written(_anchor_rows(chunks, kind, shards).groupBy("shard").applyInPandas(
-        _met, "chunk long, shard int, met binary, hot binary"), "anchors", "uncompressed")
+        lambda key, rows: _met(key, rows, kind.sizes.hot_chunks), "chunk long, shard int, met binary, hot binary"), "anchors", "uncompressed")
     dealt = chunks.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInPandas(
         _deal(kind, shards), "shard int, chunk long, strings binary")
     runs = written(dealt.groupBy("shard").applyInPandas(

@@ -8,7 +8,7 @@ window. Each group grows its subtree from the prefix down, a word a level: the
 suffixes of a node that share the next word are a child, and a suffix alone in
 its node is a leaf and goes no deeper. A node at least ``LENGTH`` words deep
 has the places of one repeat below it; the deepest common ones are the maximal
-repeats. Words are compared by 64-bit hashes.
+repeats. Words are compared by 64-bit hashes (XXH3).
 
 Defined cases: a null or empty text has no words; texts of fewer words than a
 window keep them all; rows without an id come after all others, and rows with
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from daybar.llm.repeats import Chunk, Units, repeated_windows
-from daybar.llm.text import joined, mix, span_hashes, words_of
+from daybar.llm.text import joined, mix, word_hashes, words_of
 
 LENGTH = 13
 SUBTREE = 1 << 16  # suffixes whose subtree is grown at once
@@ -109,7 +109,7 @@ def split_words(text: bytes, lengths: np.ndarray) -> tuple:
     ends = np.cumsum(lengths)
     data, begins = joined([text[e - n:e] for e, n in zip(ends.tolist(), lengths.tolist())])
     starts, stops, first = words_of(data, begins)
-    return span_hashes(data, starts, stops), first, (data, starts, stops)
+    return word_hashes(data), first, (data, starts, stops)
 
 
 KIND = Units(LENGTH, _GRAM, split_words, word_grams, word_classes)
@@ -126,7 +126,7 @@ def _measure(c: Chunk, covered: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": c.named(), "n_words": np.diff(c.begins), "n_removed": removed, "kept_sha256": kept})
 
 
-def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: Units = KIND) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256."""
-    return repeated_windows(docs, KIND, "<u8", _measure, "doc_id long, n_words long, n_removed long, kept_sha256 string",
+    return repeated_windows(docs, kind, "<u8", _measure, "doc_id long, n_words long, n_removed long, kept_sha256 string",
                             id_col, text_col)

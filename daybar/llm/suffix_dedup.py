@@ -141,7 +141,7 @@ def _measure(c: Chunk, covered: np.ndarray) -> pd.DataFrame:
                          "n_spans": spans[begins[1:]] - spans[begins[:-1]], "kept_sha256": kept})
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: Units = KIND) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    return repeated_windows(docs, KIND, "u1", _measure, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
+    return repeated_windows(docs, kind, "u1", _measure, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
                             id_col, text_col)

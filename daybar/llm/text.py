@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 
-CHUNK_BYTES = 2 << 20  # texts handled at once in a task; one longer text is a chunk of its own
 BLOCK_BYTES = 1 << 20  # span of bytes hashed at once
+CHUNK_BYTES = 2 << 20  # texts handled at once in a task; one longer text is a chunk of its own
 
 # White space of every word-based operator here: [\x20\x09-\x0D].
 SPACE = np.zeros(256, bool)
@@ -72,8 +75,9 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hashes of the spans [start, end) of bytes or 64-bit values; both ends must ascend.
+def feature_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit polynomial hashes of the spans [start, end) of bytes; both ends must ascend. For features only: there
+    are unequal spans of equal hash.
 
     Prefix sums of byte * base^i give every span's hash by one subtraction;
     the inverse power takes its position out again.
@@ -85,26 +89,78 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         a, b = int(starts[i]), int(ends[j - 1])
         up, down = _power_tables(b - a + 1)
         sums = np.zeros(b - a + 1, np.uint64)
-        np.cumsum((_BYTE[data[a:b]] if data.dtype == np.uint8 else data[a:b]) * up[: b - a], out=sums[1:])
+        np.cumsum(_BYTE[data[a:b]] * up[: b - a], out=sums[1:])
         s, e = starts[i:j] - a, ends[i:j] - a
         out[i:j] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)
         i = j
     return mix(out)
 
 
-def repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two masks: keys found twice or more; and those of them with an equal key before."""
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = out = xxhash.xxh3_64_intdigest(word)
+        return out
+
+
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = out = len(self)
+        return out
+
+
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """A 64-bit hash (XXH3) of each word of the texts; each distinct word is hashed once."""
+    words = data.tobytes().split()
+    return np.fromiter(map(_Hashes().__getitem__, words), np.uint64, len(words))
+
+
+def numbered(parts: list[bytes]) -> np.ndarray:
+    """Numbers that are equal where the parts are."""
+    return np.fromiter(map(_Numbers().__getitem__, parts), np.uint64, len(parts))
+
+
+def span_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash (XXH3) of each span [start, end) of units."""
+    view, wide = memoryview(np.ascontiguousarray(units)).cast("B"), units.itemsize
+    hash_of = xxhash.xxh3_64_intdigest
+    return np.fromiter((hash_of(view[a:b]) for a, b in zip((starts * wide).tolist(), (ends * wide).tolist())), np.uint64, len(starts))
+
+
+def repeats(keys: np.ndarray, equal: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Two masks: keys found twice or more; and those of them with an equal key before.
+
+    Where keys are hashes, ``equal`` compares what lies at two arrays of places;
+    if hashes met by chance anywhere, all places are compared by it.
+    """
     again = np.zeros(len(keys), bool)
     both = np.zeros(len(keys), bool)
     if len(keys) < 2:
         return both, again
     order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
+    if equal is not None:
+        pairs = np.flatnonzero(same)
+        if not equal(order[pairs], order[pairs + 1]).all():
+            return _compared(keys, equal)
     again[order[1:][same]] = True
     both[order[:-1][same]] = True
     return both | again, again
 
 
+def _compared(keys: np.ndarray, equal: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``repeats``, for keys that are equal by chance: each place against the first of every class of its key."""
+    both, again = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+    firsts: dict[int, list[int]] = {}
+    for i, k in enumerate(keys.tolist()):
+        own = firsts.setdefault(k, [])
+        match = [j for j in own if equal(np.array([j]), np.array([i]))[0]]
+        if match:
+            both[match[0]] = both[i] = again[i] = True
+        else:
+            own.append(i)
+    return both, again
+
+
 def covered(marked: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of n places lie in a window of ``length`` places that starts at a marked one."""
     edge = np.zeros(n + 1, np.int32)

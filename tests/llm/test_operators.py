@@ -3,12 +3,13 @@
 import hashlib
 import re
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daybar.llm import packing, rans, simhash_bk, suffix_dedup, subtree_dedup, tokens
+from daybar.llm import packing, rans, repeats, simhash_bk, suffix_dedup, subtree_dedup, text, tokens
 from daybar.llm.license_scan import license_scan
 from daybar.llm.mixing import MixPlan, mix_sources
 from daybar.llm.mph_dedup import build_index, exact_dedup, find_slots
@@ -66,6 +67,60 @@ def test_word_dedup(docs, empty):
     assert subtree_dedup.dedup_words(empty).count() == 0
 
 
+# Many chunks and shards, anchors that are dealt by single windows, runs that are cut, several batches a shard.
+TINY = repeats.Sizes(chunk=20_000, span=1024, longest_run=32, shard_bytes=60_000, hot_chunks=3, batch_units=2048)
+
+
+@pytest.mark.parametrize("operator", ["bytes", "words"])
+def test_dealing_in_many_small_parts(spark, sf, operator, monkeypatch):
+    table = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    passage = " ".join(f"passage{i}" for i in range(80))
+    more = [(100_000 + i, f"before {i} {passage} after {i}") for i in range(40)] + [(200_000, "again and " * 3000)]
+    table = table.unionByName(spark.createDataFrame(more, "doc_id long, text string")).repartition(6, "doc_id")
+    rows = rows_of(table)
+    assert sum(len(t) for _, t in rows) > 8 * TINY.chunk
+    if operator == "bytes":
+        got = suffix_dedup.dedup_substrings(table, kind=replace(suffix_dedup.KIND, sizes=TINY))
+        plain = suffix_dedup.dedup_substrings(table)
+    else:
+        got = subtree_dedup.dedup_words(table, kind=replace(subtree_dedup.KIND, sizes=TINY))
+        plain = subtree_dedup.dedup_words(table)
+        want = [(i, len(u), sum(gone), hashlib.sha256(b" ".join(w for w, g in zip(u, gone) if not g)).hexdigest())
+                for i, u, gone in covered_by_smaller(WORD.findall, rows, 13)]
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def thue_morse(n):
+    """Two unequal strings whose polynomial hashes modulo 2**64 are equal for every odd base."""
+    one = b"a"
+    for _ in range(n):
+        one += one.translate(bytes.maketrans(b"ab", b"ba"))
+    return one, one.translate(bytes.maketrans(b"ab", b"ba"))
+
+
+def test_strings_of_equal_polynomial_hashes_stay_apart(spark, docs):
+    one, two = (x.decode() for x in thue_morse(10))
+    tail = " ".join(f"common{i}" for i in range(12))
+    words = spark.createDataFrame([(1, f"{one} {tail}"), (2, f"{two} {tail}")], "doc_id long, text string")
+    assert [r.n_removed for r in subtree_dedup.dedup_words(words).collect()] == [0, 0]
+    lines = spark.createDataFrame([(1, f"{one}\n{two}\n{one}")], "doc_id long, text string")
+    assert repetition_rules(lines).first()["n_dup_lines"] == 1
+    got = sorted(map(tuple, suffix_dedup.dedup_substrings(words).collect()))
+    want = [(i, len(u), sum(gone)) for i, u, gone in covered_by_smaller(lambda t: t, rows_of(words), 50)]
+    assert [g[:3] for g in got] == sorted(want)
+
+
+def test_strings_of_equal_hash_are_compared(monkeypatch):
+    monkeypatch.setattr(repeats, "span_hashes", lambda units, starts, ends: np.zeros(len(starts), np.uint64))
+    units = np.frombuffer(b"abcabcabdabab", np.uint8)
+    got = repeats._distinct_hashes(units, np.array([0, 3, 6, 9, 11]), np.array([3, 3, 3, 2, 2]))
+    assert got[0] == got[1] and got[3] == got[4] and len(set(got.tolist())) == 3
+    keys = np.zeros(6, np.uint64)
+    both, again = text.repeats(keys, lambda a, b: np.array([1, 2, 1, 3, 3, 1])[a] == np.array([1, 2, 1, 3, 3, 1])[b])
+    assert both.tolist() == [True, False, True, True, True, True] and again.tolist() == [False, False, True, False, True, True]
+
+
 def test_suffix_array_is_the_sorted_suffixes():
     r = np.random.default_rng(1)
     for n in (0, 1, 2, 3, 4, 5, 7, 30, 200):
@@ -204,6 +259,15 @@ def test_sample_holds_an_id_once(spark, docs):
     assert np.allclose(fit(table, labels).known, fit(once, labels.distinct()).known)
 
 
+def test_a_table_for_very_many_ids():
+    ids = np.arange(300_000, dtype=np.uint32)
+    table = rans.Table.of_counts(ids.astype(np.int64), np.ones(len(ids), np.int64))
+    block = rans.Block(rans.encode_block([1], [len(ids)], ids, table))
+    assert table.scale > rans.SCALE and (block.ids(table) == ids).all()
+    with pytest.raises(ValueError):
+        block.ids(rans.Table.of_counts(ids[:5].astype(np.int64), np.ones(5, np.int64)))
+
+
 def slow_ids(text, end):
     model = tokens._Model(tokens.default_vocabulary()).tokenizer
     return np.array(model.encode(text.decode(), add_special_tokens=False).ids + [end], "<u4")
