@@ -150,16 +150,17 @@ b as (select *, n_words < {rules.min_words} or 100 * n_repeat_words > {rules.bas
 select *, not base_failed and not ({verdict}) as kept from b"""
 
 
-# Bytes as pairs of hex digits, so that substrings never cut a character's bytes wrongly.
+# Bytes as pairs of hex digits, so that substrings never cut a character's bytes wrongly. Strings are compared by
+# their MD5, and cut out of blocks of 500 bytes and the string that begins at the last one, not out of whole texts.
 _BYTES_SQL = f"""with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
-p as (select doc_id, h, unnest(range(0, (strlen(h) // 2)::bigint)) as i from d),
-s as (select doc_id, i, substr(h, (2 * i + 1)::bigint, {2 * STRING_BYTES}) as s from p where i <= strlen(h) // 2 - {STRING_BYTES}),
-m as (select s, min(doc_id) as m from s group by s having count(*) > 1),
-r as (select s.doc_id, s.i from s join m using (s) where m.m < s.doc_id),
-c as (select p.doc_id, p.i, substr(p.h, (2 * p.i + 1)::bigint, 2) as b,
-             coalesce(max(r.i) over (partition by p.doc_id order by p.i rows between unbounded preceding and current row)
-                      > p.i - {STRING_BYTES}, false) as gone
-      from p left join r on p.doc_id = r.doc_id and p.i = r.i),
+k as (select doc_id, o, substr(h, (2 * o + 1)::bigint, {2 * (500 + STRING_BYTES - 1)}) as k
+      from (select doc_id, h, unnest(range(0, (strlen(h) // 2)::bigint, 500)) as o from d)),
+p as (select doc_id, o + j as i, substr(k, (2 * j + 1)::bigint, 2) as b,
+             case when strlen(k) >= 2 * (j + {STRING_BYTES}) then md5_number(substr(k, (2 * j + 1)::bigint, {2 * STRING_BYTES})) end as s
+      from (select doc_id, o, k, unnest(range(0, least(500, strlen(k) // 2)::bigint)) as j from k)),
+m as (select s, min(doc_id) as m from p where s is not null group by s having count(*) > 1),
+r as (select p.doc_id, p.i, p.b, m.m < p.doc_id as r from p left join m on p.s = m.s),
+c as (select doc_id, i, b, coalesce(max(case when r then i end) over (partition by doc_id order by i) > i - {STRING_BYTES}, false) as gone from r),
 g as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) as new from c),
 a as (select doc_id, count(*) filter (gone) as n_removed, count(*) filter (new) as n_spans,
              sha256(unhex(coalesce(string_agg(b, '' order by i) filter (not gone), ''))) as kept_sha256 from g group by doc_id)
