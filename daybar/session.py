@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -52,6 +54,15 @@ def apply_required_conf(spark: SparkSession) -> None:
         spark.conf.set(LISTING_PARALLELISM, str(max(8, spark.sparkContext.defaultParallelism)))
 
 
+def send_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session."""
+    context, name = spark.sparkContext, "daybar_package.zip"
+    if name not in context._python_includes:
+        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        packed = os.path.join(tempfile.mkdtemp(prefix="daybar-send-"), name[:-4])
+        context.addPyFile(shutil.make_archive(packed, "zip", top, "daybar"))
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,8 @@ from itertools import islice
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from daybar.session import scratch_path
+from daybar.session import scratch_path, send_package
+from daybar.sources.store import open_store, split_uri
 
 LISTING_SCHEMA = T.StructType([
     T.StructField("key", T.StringType(), False),
@@ -39,38 +40,83 @@ def qualified_path(spark: SparkSession, path: str) -> str:
     return str(fs.makeQualified(p).toUri().getPath()).rstrip("/")
 
 
-BLOCK = 50_000  # keys that the driver holds at a time
+def _top_entries(spark: SparkSession, base_uri: str, prefix: str) -> list[tuple[str, bool, int, int]]:
+    """(path, is a folder, size, modification time in ms) of what matches ``base/prefix*``: one level, not the tree."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base_uri)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{escape_glob(base_uri)}/{escape_glob(prefix)}*"))
+    return [(str(s.getPath().toString()), s.isDirectory(), s.getLen(), s.getModificationTime()) for s in found or ()]
+
+
+def _stamp(ms: int) -> _dt.datetime:
+    return _dt.datetime.fromtimestamp(ms / 1000, _dt.timezone.utc)
 
 
-def _files(spark: SparkSession, base_uri: str, prefix: str):
-    """(key, size, modification time in ms) of each file, one by one from the file system's own listing."""
+def _through_driver(spark: SparkSession, base_uri: str, tops: list) -> DataFrame:
+    """The listing for a store that only Hadoop's clients open: key by key, in blocks that go to a scratch table."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(base_uri)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    tops = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{escape_glob(base_uri)}/{escape_glob(prefix)}*"))
-    for top in tops or ():
-        found = fs.listFiles(top.getPath(), True)
-        while found.hasNext():
-            status = found.next()
-            key = str(status.getPath().toString())[len(base_uri) + 1:]
-            yield key, status.getLen(), _dt.datetime.fromtimestamp(status.getModificationTime() / 1000, _dt.timezone.utc)
 
+    def files():
+        for path, *_ in tops:
+            found = fs.listFiles(jvm.org.apache.hadoop.fs.Path(path), True)
+            while found.hasNext():
+                s = found.next()
+                yield str(s.getPath().toString())[len(base_uri) + 1:], s.getLen(), _stamp(s.getModificationTime())
 
-def list_objects(spark: SparkSession, base: str, prefix: str = "") -> DataFrame:
-    """Every file whose key (path under ``base``) starts with ``prefix``.
-
-    A prefix, not a directory: nested and suffixed keys match. Zero-byte files
-    and names that Spark's own scans hide (``_x``, ``.x``) are listed too, so
-    the file system lists, below the entries that match ``base/prefix*`` only.
-    The driver passes the listing on in blocks of ``BLOCK`` keys, which go to
-    a scratch table; it never holds more. An unknown prefix gives an empty frame.
-    """
-    files = _files(spark, qualified(spark, base), prefix)
-    block = list(islice(files, BLOCK))
+    rows = files()
+    block = list(islice(rows, BLOCK))
     if len(block) < BLOCK:
         return spark.createDataFrame(block, LISTING_SCHEMA)
     out = scratch_path(spark, "listing")
     while block:
         spark.createDataFrame(block, LISTING_SCHEMA).coalesce(1).write.mode("append").parquet(out)
-        block = list(islice(files, BLOCK))
+        block = list(islice(rows, BLOCK))
     return spark.read.parquet(out)
+
+
+BLOCK = 50_000  # keys that the driver holds at a time where it lists
+
+
+def list_objects(spark: SparkSession, base: str, prefix: str = "") -> DataFrame:
+    """Every file whose key (path under ``base``) starts with ``prefix``: key, size, modified.
+
+    A prefix, not a directory: nested and suffixed keys match. Zero-byte files
+    and names that Spark's own scans hide (``_x``, ``.x``) are listed too; only
+    the checksum files that Hadoop keeps beside local files are not keys. The
+    driver looks at the entries that match ``base/prefix*`` only, and tasks list
+    what lies below them, a folder each. Where pyarrow has no client for the
+    store the driver passes the keys on. An unknown prefix gives an empty frame.
+    """
+    base_uri = qualified(spark, base)
+    tops = _top_entries(spark, base_uri, prefix)
+    folders = [t[0] for t in tops if t[1]]
+    if folders and open_store(base_uri) is None:
+        return _through_driver(spark, base_uri, tops)
+    files = spark.createDataFrame([(p[len(base_uri) + 1:], size, _stamp(ms)) for p, folder, size, ms in tops if not folder], LISTING_SCHEMA)
+    if not folders:
+        return files
+    send_package(spark)
+    local = split_uri(base_uri)[0] == "file"
+
+    def below(batches):
+        from pyarrow import fs
+        import pyarrow as pa
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                system, path = open_store(folder)
+                start = folder[len(base_uri) + 1:]
+                found = [f for f in system.get_file_info(fs.FileSelector(path, recursive=True)) if f.type == fs.FileType.File]
+                found = [f for f in found if not (local and f.base_name.startswith(".") and f.base_name.endswith(".crc"))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"{start}/{f.path[len(path) + 1:]}" for f in found], pa.string()), pa.array([f.size for f in found], pa.int64()),
+                     pa.array([f.mtime for f in found], pa.timestamp("us", "UTC"))], names=["key", "size", "modified"])
+
+    tasks = min(len(folders), MAX_LISTING_TASKS)
+    listed = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(tasks).mapInArrow(below, LISTING_SCHEMA)
+    return files.unionAll(listed)
+
+
+MAX_LISTING_TASKS = 1024

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 
-from daybar.sources import list_objects, read_csv, read_days, read_since, union_by_name
+from daybar.sources import header_census, list_objects, read_csv, read_days, read_since, union_by_name
 from tests.fixtures import F1, TICK_COLUMNS, write_tick_csvs
 
 
@@ -52,7 +52,8 @@ def test_listing_keeps_empty_and_hidden_files(spark, tmp_dir, monkeypatch):
     sizes = {n: 0 if n == "zero.csv" else 2 for n in names}
     assert {r["key"]: r["size"] for r in list_objects(spark, tmp_dir).collect()} == sizes
     assert [r["key"] for r in list_objects(spark, tmp_dir, "_").orderBy("key").collect()] == ["_b.csv", "_meta/x.csv"]
-    monkeypatch.setattr("daybar.sources.listing.BLOCK", 2)  # several blocks
+    monkeypatch.setattr("daybar.sources.listing.BLOCK", 2)  # several blocks, where only the driver can list
+    monkeypatch.setattr("daybar.sources.listing.open_store", lambda uri: None)
     assert {r["key"]: r["size"] for r in list_objects(spark, tmp_dir).collect()} == sizes
 
 
@@ -80,22 +81,46 @@ def test_na_tokens_become_null(spark, tmp_dir):
     assert _sorted(read_csv(spark, p).fillna("-")) == sorted([("-", "x"), ("-", "-"), ("-", "-"), ("ok", "-")])
 
 
-def test_swapped_header_fails_loudly(spark, tmp_dir):
-    write_tick_csvs(tmp_dir, [F1[1]])
+def test_columns_are_found_by_name_in_each_file(spark, tmp_dir):
+    # Reordered within one day too, with a further column, quotes, a byte order mark and a carriage return.
     swapped = TICK_COLUMNS[1:2] + TICK_COLUMNS[:1] + TICK_COLUMNS[2:]
-    row = (F1[2][1], F1[2][0]) + F1[2][2:]
-    write_tick_csvs(tmp_dir, [row], names=["2021-04-17/x.csv"], columns=swapped)
-    with pytest.raises(Exception, match="(?i)header|schema|CSV"):
-        read_days(spark, tmp_dir, ["2021-04-16", "2021-04-17"]).collect()
-
-
-def test_per_day_union_by_name_tolerates_reordered_columns(spark, tmp_dir):
     write_tick_csvs(tmp_dir, [F1[1]])
-    swapped = TICK_COLUMNS[1:2] + TICK_COLUMNS[:1] + TICK_COLUMNS[2:]
-    row = (F1[2][1], F1[2][0]) + F1[2][2:]
-    write_tick_csvs(tmp_dir, [row], names=["2021-04-17/x.csv"], columns=swapped)
-    df = read_days(spark, tmp_dir, ["2021-04-16", "2021-04-17"], per_day=True)
-    assert _sorted(df) == sorted([F1[1], F1[2]])
+    write_tick_csvs(tmp_dir, [(F1[2][1], F1[2][0]) + F1[2][2:]], names=["2021-04-17/x.csv"], columns=swapped)
+    write_tick_csvs(tmp_dir, [F1[3] + ("more",)], names=["2021-04-17/y.csv"], columns=[*TICK_COLUMNS, "Extra"])
+    write_tick_csvs(tmp_dir, [F1[4]], names=["2021-04-18/z.csv"])
+    with open(os.path.join(tmp_dir, "2021-04-18", "q.csv"), "w", newline="") as f:
+        f.write("\ufeff" + ",".join(f'"{c}"' for c in TICK_COLUMNS[::-1]) + "\r\n" + ",".join(map(str, F1[5][::-1])) + "\r\n")
+    days = ["2021-04-16", "2021-04-17", "2021-04-18"]
+    got = read_days(spark, tmp_dir, days)
+    assert got.columns == TICK_COLUMNS and _sorted(got) == sorted(F1[1:6])
+    assert _sorted(read_since(spark, tmp_dir, "2021-04-17")) == sorted(F1[2:6])
+    census = header_census(spark, f"{tmp_dir}/*", recursive=True)
+    assert [len(files) for _, files in census] and sum(len(files) for _, files in census) == 5 and len(census) == 4
+
+
+def test_a_file_without_a_needed_column_is_named(spark, tmp_dir):
+    write_tick_csvs(tmp_dir, [F1[1]])
+    write_tick_csvs(tmp_dir, [F1[2][1:]], names=["2021-04-17/x.csv"], columns=TICK_COLUMNS[1:])
+    with pytest.raises(KeyError, match="x.csv.*ISIN"):
+        read_days(spark, tmp_dir, ["2021-04-16", "2021-04-17"])
+
+
+def test_header_census_without_a_client_for_the_store(spark, tmp_dir, monkeypatch):
+    write_tick_csvs(tmp_dir, F1[1:3])
+    write_tick_csvs(tmp_dir, [F1[3] + ("more",)], names=["2021-04-17/y.csv"], columns=[*TICK_COLUMNS, "Extra"])
+    want = header_census(spark, f"{tmp_dir}/*", recursive=True)
+    monkeypatch.setattr("daybar.sources.csv.open_store", lambda uri: None)
+    assert [(h, len(f)) for h, f in header_census(spark, f"{tmp_dir}/*", recursive=True)] == [(h, len(f)) for h, f in want]
+    assert _sorted(read_days(spark, tmp_dir, ["2021-04-16", "2021-04-17"])) == sorted(F1[1:4])
+
+
+def test_hive_layout_by_name(spark, tmp_dir):
+    columns = [c for c in TICK_COLUMNS if c != "Date"]
+    for day, order, rows in (("2021-04-16", columns, [F1[1]]), ("2021-04-17", columns[::-1], F1[2:4])):
+        own = [dict(zip(TICK_COLUMNS, r)) for r in rows]
+        write_tick_csvs(tmp_dir, [tuple(r[c] for c in order) for r in own][:1], names=[f"Date={day}/a.csv"], columns=order)
+    assert _sorted(read_days(spark, tmp_dir, ["2021-04-16", "2021-04-17"], layout="hive")) == sorted(F1[1:3])
+    assert _sorted(read_since(spark, tmp_dir, "2021-04-17", layout="hive")) == sorted(F1[2:3])
 
 
 def test_header_only_and_zero_byte_files_are_empty(spark, tmp_dir):
