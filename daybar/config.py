@@ -33,11 +33,10 @@ class SourceColumns:
     long_columns: tuple[str, ...] = ("TradedVolume",)
     # How ticks of one day are ordered for the opening/closing price:
     # "text"   any text, compared as text (struct key, sort aggregation);
-    # "clock"  zero-padded HH[:MM[:SS[.ffffff]]] text, as a numeric key
-    #          (hash aggregation over a DECIMAL(38,0) key; measured slower);
+    # "clock"  zero-padded HH[:MM[:SS[.ffffff]]] text, compared as microseconds;
     # unique_clock  clock text that the source declares unique per (ISIN, Date): hash
     #          aggregation over a long; of equal times either price may be taken;
-    # other    a SQL expression giving a long in [0, 2^62) in the text's order.
+    # other    a SQL expression giving a long in the text's order.
     time_order: str = "text"
     # Full header of the source files, in file order, when known: the scan then
     # needs no header-inference pass, and every file is still checked against it.
@@ -97,7 +96,8 @@ def job_config_from_mapping(cfg: dict, *, source_root: str | None = None,
     Sections ``source`` (``src_*``), ``target`` (``trg_*``), ``meta``
     (``meta_key``) and ``s3`` (buckets). Optional source keys: ``src_file_columns``
     (the files' full header), ``src_layout`` (prefix | hive), ``src_format``
-    (csv | parquet), ``src_sep``, ``src_encoding``. Paths are the buckets as ``s3a://``
+    (csv | parquet), ``src_sep``, ``src_encoding``, ``src_time_order`` (see
+    ``SourceColumns.time_order``). Paths are the buckets as ``s3a://``
     roots unless ``source_root`` / ``target_root`` are given; credentials and
     endpoints belong in the Hadoop configuration, not here. The declared but
     unused ``trg_col_isin`` / ``trg_col_date`` are accepted and ignored: the
@@ -116,6 +116,7 @@ def job_config_from_mapping(cfg: dict, *, source_root: str | None = None,
                                       src["src_col_max_price"])),
         long_columns=(src["src_col_traded_vol"],),
         file_columns=tuple(src["src_file_columns"]) if src.get("src_file_columns") else None,
+        time_order=src.get("src_time_order", "text"),
     )
     report = ReportColumns(
         opening_price=trg["trg_col_op_price"], closing_price=trg["trg_col_clos_price"],

@@ -1,43 +1,10 @@
-"""Numeric ordering keys, so first/last-by-time runs as a hash aggregation.
-
-Spark plans ``min``/``min_by`` over a string or struct as a SortAggregate
-(its buffer is not fixed-width); over numbers it uses HashAggregate. The key
-below packs (time, price) into one DECIMAL(38,0) whose order is the
-lexicographic order of the pair, and which is equal only when both are equal,
-so ``min_by(price, key)`` is deterministic on ties (lowest price first).
-"""
+"""Clock text as a number, so that first/last by time compares longs and not text."""
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_TWO_64 = Decimal(2 ** 64)
-_TWO_63 = Decimal(2 ** 63)
-_MIN_NORMAL = 2.2250738585072014e-308
-
-
-def double_order_key(p: Column) -> Column:
-    """The IEEE-754 bit pattern of ``|p|`` as a long, negated for negative ``p``.
-
-    Order-preserving and one-to-one on finite doubles (0.0 and -0.0 map to 0).
-    Computed exactly: scaling by powers of two and taking the integral part of
-    the mantissa lose no bits; the exponent from ``log2`` is corrected by one
-    comparison on either side.
-    """
-    a = F.abs(p)
-    e0 = F.floor(F.log2(a)).cast("int")
-    e = (F.when(a < F.pow(F.lit(2.0), e0), e0 - 1)
-         .when(a >= F.pow(F.lit(2.0), e0 + 1), e0 + 1).otherwise(e0))
-    mantissa = ((a / F.pow(F.lit(2.0), e)) - F.lit(1.0)) * F.lit(float(2 ** 52))
-    normal = (e.cast("long") + F.lit(1023)) * F.lit(2 ** 52) + mantissa.cast("long")
-    subnormal = (a * F.lit(2.0 ** 1022) * F.lit(float(2 ** 52))).cast("long")
-    mag = (F.when(a == 0, F.lit(0).cast("long"))
-           .when(a < F.lit(_MIN_NORMAL), subnormal).otherwise(normal))
-    return F.when(p < 0, -mag).otherwise(mag)
-
 
 def clock_micros(t: Column) -> Column:
     """Microseconds since midnight of ``HH``, ``HH:MM``, ``HH:MM:SS`` or ``HH:MM:SS.f…`` (1-6 digits).
@@ -58,9 +25,3 @@ def clock_micros(t: Column) -> Column:
     micros = ((h * 60 + m) * 60 + s) * 1_000_000 + f
     return F.when(shape_ok, micros).otherwise(
         F.raise_error(F.concat(F.lit("Time is not clock text HH[:MM[:SS[.ffffff]]]: "), t)).cast("long"))
-
-
-def tick_order_key(time_key: Column, price: Column) -> Column:
-    """DECIMAL(38,0) = time_key * 2^64 + (price bits + 2^63); time_key must be in [0, 2^62)."""
-    return (time_key.cast("decimal(38,0)") * F.lit(_TWO_64)
-            + double_order_key(price).cast("decimal(38,0)") + F.lit(_TWO_63))

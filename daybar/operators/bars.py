@@ -6,30 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybar.config import ReportColumns, SourceColumns
-from daybar.functions.ordering import clock_micros, tick_order_key
+from daybar.functions.ordering import clock_micros
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _tick(src: SourceColumns) -> Column:
-    # Ordering for first/last: time first, price breaks ties, so the result
-    # never depends on the order rows happen to arrive in.
-    return F.struct(_q(src.time).alias("t"), _q(src.start_price).alias("p"))
+def _time(src: SourceColumns) -> Column:
+    """What orders the ticks of a day: the text itself, or a number in its order."""
+    if src.time_order == "text":
+        return _q(src.time)
+    if src.time_order in ("clock", "unique_clock"):
+        return clock_micros(_q(src.time))
+    return F.expr(src.time_order).cast("long")
 
 
-def _tick_key(src: SourceColumns) -> Column | None:
-    """Numeric form of the same ordering (None for plain text order)."""
-    if src.time_order == "text":
-        return None
+def _tick(src: SourceColumns) -> Column:
+    # Time first, price breaks ties, so the result never depends on the order rows happen to arrive in.
+    # Times that the source declares unique need no price, and a long stays in hash aggregation.
     if src.time_order == "unique_clock":
-        return clock_micros(_q(src.time))  # a long: both aggregates stay in hash aggregation
-    if src.time_order == "clock":
-        t = clock_micros(_q(src.time))
-    else:
-        t = F.expr(src.time_order).cast("long")
-    return tick_order_key(t, _q(src.start_price))
+        return _time(src)
+    return F.struct(_time(src).alias("t"), _q(src.start_price).alias("p"))
 
 
 ORDER_COL = "__tick_order"
@@ -41,22 +39,21 @@ def with_tick_order(ticks: DataFrame, src: SourceColumns = SourceColumns()) -> D
     Both first and last read it, so it is built once per row in generated
     code instead of once per aggregate function.
     """
-    key = _tick_key(src)
-    return ticks.withColumn(ORDER_COL, key if key is not None else _tick(src))
+    return ticks.withColumn(ORDER_COL, _tick(src))
 
 
 def first_price(src: SourceColumns) -> Column:
     """StartPrice of the day's earliest tick (aggregate over ``with_tick_order``)."""
-    if src.time_order == "text":
-        return F.min(F.col(ORDER_COL)).getField("p")
-    return F.min_by(_q(src.start_price), F.col(ORDER_COL))
+    if src.time_order == "unique_clock":
+        return F.min_by(_q(src.start_price), F.col(ORDER_COL))
+    return F.min(F.col(ORDER_COL)).getField("p")
 
 
 def last_price(src: SourceColumns) -> Column:
     """StartPrice of the day's latest tick, the reference's "closing price" (over ``with_tick_order``)."""
-    if src.time_order == "text":
-        return F.max(F.col(ORDER_COL)).getField("p")
-    return F.max_by(_q(src.start_price), F.col(ORDER_COL))
+    if src.time_order == "unique_clock":
+        return F.max_by(_q(src.start_price), F.col(ORDER_COL))
+    return F.max(F.col(ORDER_COL)).getField("p")
 
 
 def daily_bars(ticks: DataFrame, src: SourceColumns = SourceColumns(),

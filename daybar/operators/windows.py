@@ -21,45 +21,24 @@ def frame_lag(df: DataFrame, order: str, values: list[str], suffix: str = "_prev
               buckets: int | None = None) -> DataFrame:
     """Shift ``values`` down by one row over the whole frame ordered by ``order``.
 
-    ``order`` must be unique (a day-indexed frame). No task sees the whole
-    frame: rows are split into ranges at sampled quantiles of ``order``, the
-    lag runs inside each range, and the first row of a range takes the last
-    row of the previous non-empty range from a table with one row per range
-    (its size is ``buckets``, never the data size).
+    ``order`` must be unique (a day-indexed frame; at most one null, which comes
+    first). No task sees the whole frame, and building the plan runs no job:
+    one range exchange deals the rows to ``buckets`` ranges, the lag runs inside
+    each, and the first row of a range takes the last row of the range before
+    from a carry table of one row a range (``buckets`` rows at most, never the
+    data size). Both branches read the rows whole, as one struct, so that Spark
+    reuses the exchange and scans the input once.
     """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kind = dict(df.dtypes)[order]
-    if kind == "date":
-        key = F.unix_date(_q(order))
-    elif kind == "string":  # ISO day text, as in the report's Date column
-        key = F.unix_date(F.to_date(_q(order)))
-    elif kind.startswith("timestamp"):
-        key = F.unix_micros(_q(order).cast("timestamp"))
-    else:
-        key = _q(order)
-    keyed = df.withColumn("__k", key.cast("double"))
-    probs = [i / n for i in range(1, n)]
-    # Split points only balance the ranges; correctness never depends on them,
-    # so a 1% rank error keeps the quantile sketch small at any data size.
-    bounds = sorted(set(b for b in keyed.approxQuantile("__k", probs, 0.01) if b is not None))
-    bucket = F.lit(0)
-    for b in bounds:
-        bucket = bucket + F.when(F.col("__k") > F.lit(b), 1).otherwise(0)
-    keyed = keyed.withColumn("__b", bucket)
-
-    w = Window.partitionBy("__b").orderBy(_q(order))
-    inner = keyed.select("*", *[F.lag(_q(v)).over(w).alias(v + suffix) for v in values],
-                         (F.row_number().over(w) == 1).alias("__first"),
-                         F.lead(_q(order)).over(w).isNull().alias("__last"))
-
-    # The last row of each range comes from the same windowed branch, so the
-    # one exchange by range is computed once and reused.
-    wb = Window.orderBy("__b")  # one row per range: bounded by ``n``
-    carry = inner.where(F.col("__last")).select(
-        F.col("__b"), *[F.lag(_q(v)).over(wb).alias("__c_" + v) for v in values])
-    out = inner.join(F.broadcast(carry), on="__b", how="left")
-    return out.select(
-        *[_q(c) for c in df.columns],
-        *[F.when(F.col("__first"), F.col("__c_" + v)).otherwise(_q(v + suffix)).alias(v + suffix)
-          for v in values])
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A given number of ranges is never coalesced, so the partition's number is the range's in both branches.
+    ranged = df.select(F.struct(*[_q(c) for c in df.columns]).alias("__row")).repartitionByRange(n, F.col("__row").getField(order))
+    ranged = ranged.withColumn("__b", F.spark_partition_id())
+    key = F.col("__row").getField(order)
+    w = Window.partitionBy("__b").orderBy(key)
+    inner = ranged.select("__row", "__b", F.lag("__row").over(w).alias("__before"), (F.row_number().over(w) == 1).alias("__first"))
+    last = ranged.groupBy("__b").agg(F.max_by("__row", F.struct(key.isNotNull(), key)).alias("__last"))
+    carry = last.select("__b", F.lag("__last").over(Window.orderBy("__b")).alias("__carry"))  # one row a range
+    out = inner.join(F.broadcast(carry), "__b", "left")
+    before = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__before"))
+    return out.select(*[F.col("__row").getField(c).alias(c) for c in df.columns],
+                      *[before.getField(v).alias(v + suffix) for v in values])

@@ -1,4 +1,4 @@
-"""Hand-written inputs and expected outputs (FIXTURES.md F1, F2)."""
+"""Ticks and expected reports (FIXTURES.md F1, F2): fixed values of the reference job's tests."""
 
 TICK_COLUMNS = ["ISIN", "Mnemonic", "Date", "Time", "StartPrice", "EndPrice", "MinPrice", "MaxPrice",
                 "TradedVolume"]

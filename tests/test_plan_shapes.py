@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from daybar.operators import daily_report, open_per_tick
+from daybar.config import SourceColumns
+from daybar.operators import daily_bars, daily_report, frame_lag, open_per_tick
 from daybar.plans import plan_days_keyed
 from daybar.sources import load_ticks, read_days, write_day_tree
 
@@ -53,6 +54,24 @@ def test_open_per_tick_has_no_window_over_instrument_day(spark, capsys):
     assert "Window" not in plan and "Join" in plan
 
 
+def test_unique_times_are_a_hash_aggregation(spark, capsys):
+    ticks = load_ticks(spark, "/root/testdata/sf0.001", "events")
+    plan = _plan(daily_bars(ticks, SourceColumns(time_order="unique_clock")), capsys)
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort " not in plan
+
+
+def test_frame_lag_is_built_without_a_job_and_scans_once(spark, capsys):
+    days = load_ticks(spark, "/root/testdata/sf0.001", "events").groupBy("Date").count()
+    spark.sparkContext.setJobGroup("frame-lag", "plan only")
+    df = frame_lag(days, "Date", ["count"])
+    df.schema
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("frame-lag")) == []
+    df.collect()
+    spark.sparkContext.setJobGroup("", "")
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("FileScan parquet") == 1
+
+
 def test_keyed_planner_has_no_cross_join(spark, capsys):
     t = load_ticks(spark, "/root/testdata/sf0.001", "events")
     led = t.selectExpr("ISIN", "Date as source_file_date", "'x' as datetime_of_processing")
