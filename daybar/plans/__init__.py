@@ -1,10 +1,10 @@
 """Incremental planning, the ledger and the job."""
 
-from daybar.plans.backfill import DayPlan, calendar, plan_days, plan_days_keyed, plan_frame
+from daybar.plans.backfill import DayPlan, calendar, day_ranges, plan_days, plan_days_keyed, plan_frame
 from daybar.plans.job import RunResult, build_report, run
 from daybar.plans.ledger import LEDGER_COLUMNS, append_ledger, import_ledger, ledger_days, read_ledger
 
 __all__ = [
-    "LEDGER_COLUMNS", "DayPlan", "RunResult", "append_ledger", "build_report", "calendar", "import_ledger",
+    "LEDGER_COLUMNS", "DayPlan", "RunResult", "append_ledger", "build_report", "calendar", "day_ranges", "import_ledger",
     "ledger_days", "plan_days", "plan_days_keyed", "plan_frame", "read_ledger", "run",
 ]

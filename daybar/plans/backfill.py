@@ -73,33 +73,37 @@ def plan_frame(spark: SparkSession, plan: DayPlan) -> DataFrame:
     return spark.createDataFrame([(d, plan.cutoff) for d in plan.days], schema)
 
 
+def day_ranges(ledger: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys..., first, last): the ledger's days folded to ranges without gaps."""
+    cols = [F.col(k) for k in keys]
+    days = ledger_days(ledger, keys).where("day is not null")
+    nth = F.row_number().over(Window.partitionBy(*cols).orderBy("day"))
+    return days.withColumn("island", F.date_sub("day", nth)).groupBy(*cols, "island").agg(
+        F.min("day").alias("first"), F.max("day").alias("last")).drop("island")
+
+
 def plan_days_keyed(keys_df: DataFrame, ledger: DataFrame | None, first_date: str, as_of=None,
                     keys: tuple[str, ...] = ("ISIN",), lookback_days: int = 1) -> DataFrame:
     """The same planner per key, as a distributed query.
 
     Returns (keys..., day, cutoff) for every key that has a gap: its days to
-    read from its own cutoff - lookback to as_of. Each key's calendar is
-    generated beside it (``explode(sequence)``, no cross join); a left join
-    with the ledger on (keys, day) marks processed days, and a window per key
-    takes the first unprocessed day. A key holds at most one calendar of rows,
-    so even a key with a third of all ticks cannot overload a task.
+    read from its own cutoff - lookback to as_of. The ledger's days are folded
+    to ranges without gaps (islands) per key; the first unprocessed day from
+    first_date on is the day after the range that holds first_date, or
+    first_date itself. So there are at most as many rows between as the ledger
+    has ranges, and days are only spanned for the answer.
     """
     today = _d(as_of_string(as_of))
     first = _d(first_date)
-    start = first - _dt.timedelta(days=lookback_days)
     cols = [F.col(k) for k in keys]
     per_key = keys_df.select(*cols).distinct()
-    if start > today:
-        per_key = per_key.where(F.lit(False))
-    kc = per_key.select(*cols, F.explode(F.sequence(F.lit(start), F.lit(today))).alias("day"))
-    if ledger is not None:
-        done = ledger_days(ledger, keys).withColumn("__done", F.lit(True))
-        kc = kc.join(done, [*keys, "day"], "left")
+    if ledger is None:
+        gaps = per_key.withColumn("m", F.lit(first))
     else:
-        kc = kc.withColumn("__done", F.lit(None).cast("boolean"))
-    gap = F.when((F.col("day") >= F.lit(first)) & F.col("__done").isNull(), F.col("day"))
-    w = Window.partitionBy(*cols)
-    out = kc.withColumn("m", F.min(gap).over(w))
-    out = out.where(F.col("m").isNotNull() & (F.col("day") >= F.date_sub(F.col("m"), lookback_days)))
+        held = day_ranges(ledger, keys).where((F.col("first") <= F.lit(first)) & (F.col("last") >= F.lit(first)))
+        held = held.select(*cols, F.date_add("last", 1).alias("after"))
+        gaps = per_key.join(held, list(keys), "left").withColumn("m", F.coalesce("after", F.lit(first)))
+    gaps = gaps.where(F.col("m") <= F.lit(today))
+    out = gaps.select(*cols, "m", F.explode(F.sequence(F.date_sub("m", lookback_days), F.lit(today))).alias("day"))
     return out.select(*cols, F.date_format("day", "yyyy-MM-dd").alias("day"),
                       F.date_format("m", "yyyy-MM-dd").alias("cutoff"))

@@ -4,7 +4,7 @@ import os
 import pytest
 
 from daybar.errors import LedgerSchemaError
-from daybar.plans import append_ledger, plan_days, plan_days_keyed, read_ledger
+from daybar.plans import append_ledger, day_ranges, plan_days, plan_days_keyed, read_ledger
 
 TODAY = dt.date(2021, 4, 20)
 
@@ -102,6 +102,24 @@ def test_keyed_plan(spark):
                           ("B", n(1), n(0)), ("B", n(0), n(0))])
 
 
+def test_keyed_plan_folds_the_ledger_to_ranges(spark, capsys):
+    days = [8, 7, 6, 4, 3, 1]
+    led = spark.createDataFrame([("A", n(k), "x") for k in days + [6, 7]] + [("B", n(k), "x") for k in range(10)] + [("C", None, "x")],
+                                "ISIN string, source_file_date string, datetime_of_processing string")
+    ranges = sorted((r["ISIN"], str(r["first"]), str(r["last"])) for r in day_ranges(led, ("ISIN",)).collect())
+    assert ranges == [("A", n(8), n(6)), ("A", n(4), n(3)), ("A", n(1), n(1)), ("B", n(9), n(0))]
+    keys = spark.createDataFrame([("A",), ("B",), ("C",)], "ISIN string")
+    for first in range(10):
+        cut = {}
+        for key, done in (("A", set(days)), ("B", set(range(10))), ("C", set())):
+            gap = [k for k in range(first, -1, -1) if k not in done]
+            cut.update({key: gap[0]} if gap else {})
+        out = plan_days_keyed(keys, led, n(first), TODAY)
+        want = [(key, n(k), n(m)) for key, m in cut.items() for k in range(m + 1, -1, -1)]
+        assert sorted(map(tuple, out.collect())) == sorted(want)
+    assert plan_days_keyed(keys, None, n(1), TODAY).count() == 9
+
+
 def test_single_file_ledger_is_imported_not_appended(spark, tmp_dir):
     from daybar.errors import LedgerLayoutError
     from daybar.plans import import_ledger
