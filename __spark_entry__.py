@@ -9,12 +9,13 @@ supplier; events_hourly: one per event type, with ties on time).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybar.config import JobConfig, SourceColumns
+from daybar.config import JobConfig, SourceColumns, job_config_from_mapping
 from daybar.functions import dates as D
 from daybar.functions.numeric import round_double_columns, round_dp
 from daybar.operators import (
@@ -50,6 +51,7 @@ LOOKUP_ISIN = "U7"
 ORDERS_FIRST, ORDERS_AS_OF, ORDERS_STAMP = "1995-01-01", "2001-08-31", "2001-08-01"
 KEYED_FIRST, KEYED_AS_OF = "2024-01-02", "2024-01-30"
 JOB_FIRST, JOB_AS_OF, JOB_LOOKBACK = "2024-01-10", "2024-01-31", "2024-01-09"
+LEDGER_FIRST_RUN = "2024-01-20"
 STREAM_FIRST = "2024-01-02"
 
 
@@ -212,6 +214,36 @@ def q_list_objects(spark, sf_dir):
     return keys.select(D.first_path_segment("key").alias("day")).distinct()
 
 
+def q_list_keys_sizes(spark, sf_dir):
+    # Every key of a tree with one text file for each day and type, and its size; part names are Spark's own.
+    ev = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type",
+                                               F.concat_ws(",", "event_id", "user_id").alias("value"))
+    base = scratch_path(spark, "keys")
+    ev.repartition("day", "event_type").write.partitionBy("day", "event_type").text(base)
+    keys = list_objects(spark, base)
+    return keys.select(F.regexp_replace("key", "part-[^/]*", "part").alias("key"), "size")
+
+
+def q_scan_mixed_headers(spark, sf_dir):
+    # Two layouts side by side in every day: columns the other way round and one more, folders <day> and <day>_b.
+    ticks = _ticks(spark, sf_dir)
+    click = F.col("Mnemonic") == "click"
+    base = scratch_path(spark, "src-mixed")
+    write_day_tree(ticks.where(click), base)
+    other = ticks.where(~click).select(*reversed(ticks.columns), F.concat("Date", F.lit("_b")).alias("Folder"))
+    write_day_tree(other, base, SourceColumns(date="Folder"), append=True)
+    return read_since(spark, base, STREAM_FIRST[:4])
+
+
+def q_scan_absent_days(spark, sf_dir):
+    # A day without files adds nothing; a scan of none but such days, and the report over it, are empty and typed.
+    base = _tree(spark, sf_dir)
+    absent = read_days(spark, base, ["1999-01-01", "1999-01-02"])
+    if daily_report(absent).limit(1).count() or read_days(spark, base, []).limit(1).count():
+        raise AssertionError("days without files must give an empty report")
+    return absent.unionAll(read_days(spark, base, ["1999-01-01", SCAN_DAYS[0]]))
+
+
 def q_union_by_name(spark, sf_dir):
     ev = _ticks(spark, sf_dir)
     li = _ticks(spark, sf_dir, "lineitem").select("ISIN", "Date", "StartPrice", "TradedVolume")
@@ -276,7 +308,6 @@ def q_job_twice(spark, sf_dir):
     out = scratch_path(spark, "job")
     cfg = JobConfig(source_path=base, target_prefix=f"{out}/report1/daily_report1_",
                     ledger_path=f"{out}/meta/ledger", first_date=JOB_FIRST)
-    import datetime as dt
     first = run(spark, cfg, JOB_AS_OF, now=dt.datetime(2024, 2, 1, 6, 0, 0))
     second = run(spark, cfg, JOB_AS_OF, now=dt.datetime(2024, 2, 1, 6, 0, 1))
     if second.target is not None or second.recorded:
@@ -284,6 +315,46 @@ def q_job_twice(spark, sf_dir):
     return spark.read.parquet(first.target)
 
 
+def q_job_ledger(spark, sf_dir):
+    # The ledger after two runs for two dates: days are recorded once, those without files and the last ones too.
+    out = scratch_path(spark, "job-ledger")
+    cfg = JobConfig(source_path=_tree(spark, sf_dir), target_prefix=f"{out}/report1/daily_report1_",
+                    ledger_path=f"{out}/meta/ledger", first_date=JOB_FIRST)
+    run(spark, cfg, LEDGER_FIRST_RUN, now=dt.datetime(2024, 2, 1, 6, 0, 0))
+    run(spark, cfg, JOB_AS_OF, now=dt.datetime(2024, 2, 1, 6, 0, 1))
+    run(spark, cfg, JOB_AS_OF, now=dt.datetime(2024, 2, 1, 6, 0, 2))
+    return read_ledger(spark, cfg.ledger_path)
+
+
+# A job as its YAML file says it.
+MAPPED_JOB = {
+    "source": {"src_first_extract_date": "2023-12-05", "src_columns": list(SourceColumns().columns), "src_col_date": "Date",
+               "src_col_isin": "ISIN", "src_col_time": "Time", "src_col_start_price": "StartPrice", "src_col_min_price": "MinPrice",
+               "src_col_max_price": "MaxPrice", "src_col_traded_vol": "TradedVolume", "src_time_order": "unique_clock"},
+    "target": {"trg_col_op_price": "opening_price_eur", "trg_col_clos_price": "closing_price_eur",
+               "trg_col_min_price": "minimum_price_eur", "trg_col_max_price": "maximum_price_eur",
+               "trg_col_dail_trade_vol": "daily_traded_volume", "trg_col_ch_prev_clos": "change_prev_closing_%",
+               "trg_key": "report1/mapped_", "trg_key_date_format": "%Y%m%d_%H%M%S", "trg_format": "parquet"},
+    "meta": {"meta_key": "meta/ledger"},
+}
+MAPPED_FIRST_RUN = "2023-12-10"
+
+
+def q_job_mapped(spark, sf_dir):
+    # A run before there are files publishes nothing and records its days; an append of nothing adds nothing;
+    # the next run publishes under its time's name.
+    out = scratch_path(spark, "job-mapped")
+    cfg = job_config_from_mapping(MAPPED_JOB, source_root=_tree(spark, sf_dir), target_root=out)
+    nothing = run(spark, cfg, MAPPED_FIRST_RUN, now=dt.datetime(2024, 2, 1, 6, 0, 0))
+    before = read_ledger(spark, cfg.ledger_path).count()
+    append_ledger(spark, cfg.ledger_path, [], MAPPED_FIRST_RUN)
+    if nothing.target is not None or before != 6 or read_ledger(spark, cfg.ledger_path).count() != before:
+        raise AssertionError("a run without files publishes nothing and records its days once")
+    run(spark, cfg, JOB_AS_OF, now=dt.datetime(2024, 2, 1, 6, 0, 1))
+    report = spark.read.option("recursiveFileLookup", True).parquet(f"{out}/report1")
+    return report.withColumn("target", F.regexp_extract("_metadata.file_path", "/(report1/[^/]*)/", 1))
+
+
 def q_stream_report(spark, sf_dir):
     # The job on a Structured Streaming trigger (availableNow) over the CSV
     # tree: every day is new, so one batch reports all days from first_date.
@@ -358,6 +429,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "scan_days_semicolon_latin1": q_scan_days_semicolon_latin1,
         "list_objects": q_list_objects,
         "list_all_objects": q_list_all_objects,
+        "list_keys_sizes": q_list_keys_sizes,
+        "scan_mixed_headers": q_scan_mixed_headers,
+        "scan_absent_days": q_scan_absent_days,
         "union_by_name": q_union_by_name,
         "sink_parquet": q_sink_parquet,
         "sink_csv": q_sink_csv,
@@ -366,6 +440,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "ledger_append": q_ledger_append,
         "date_fns": q_date_fns,
         "job_twice": q_job_twice,
+        "job_ledger": q_job_ledger,
+        "job_mapped": q_job_mapped,
         "stream_report": q_stream_report,
         "stream_report_late": q_stream_report_late,
     }
@@ -467,6 +543,11 @@ def oracle_sql() -> dict[str, str]:
                            where strftime(ts, '%Y-%m-%d') like '2024-01%'""",
         "scan_days_semicolon_latin1": f"""select * from ({_EV}) t where "Date" in ({days})""",
         "list_all_objects": """select distinct strftime(ts, '%Y-%m-%d') as day, 'csv' as ext from events""",
+        "list_keys_sizes": """select 'day=' || day || '/event_type=' || event_type || '/part' as key, sum(bytes)::bigint as size
+                              from (select strftime(ts, '%Y-%m-%d') as day, event_type, strlen(event_id || ',' || user_id) + 1 as bytes from events)
+                              group by day, event_type union all select '_SUCCESS', 0""",
+        "scan_mixed_headers": _EV,
+        "scan_absent_days": f"""select * from ({_EV}) t where "Date" = '{SCAN_DAYS[0]}'""",
         "union_by_name": f"""select * from ({_EV}) a union all by name
                              select "ISIN", "Date", "StartPrice", "TradedVolume" from ({_LI}) b""",
         "sink_parquet": _report(_LI, "1996-01-01"),
@@ -502,6 +583,11 @@ from kc join m on kc.isin = m.isin where kc.d >= m.m - 1""",
         # The job reads one lookback day before first_date, no more.
         "job_twice": _report(f"""select * from ({_EV}) e where "Date" between '{JOB_LOOKBACK}' and '{JOB_AS_OF}'""",
                              JOB_FIRST),
+        "job_ledger": f"""select strftime(d, '%Y-%m-%d') as source_file_date,
+                                 case when d <= date '{LEDGER_FIRST_RUN}' then '{LEDGER_FIRST_RUN}' else '{JOB_AS_OF}' end as datetime_of_processing
+                          from (select unnest(generate_series(date '{JOB_FIRST}', date '{JOB_AS_OF}', interval 1 day))::date as d)""",
+        "job_mapped": f"""select *, 'report1/mapped_20240201_060001.parquet' as target
+                          from ({_report(f"select * from ({_EV}) e where \"Date\" <= '{JOB_AS_OF}'", MAPPED_FIRST_RUN)}) r""",
         "stream_report": _report(_EV, STREAM_FIRST),
         "stream_report_late": _report(_EV, STREAM_FIRST),
         **_LLM_SQL,
