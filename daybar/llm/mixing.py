@@ -108,11 +108,11 @@ def select_units(units: DataFrame, plan: MixPlan, id_col: str = "doc_id", levels
         "running", "prior", "bucket", "rest", "tokens")
 
 
-def _named(docs: DataFrame, text_col: str, domain: Column) -> DataFrame:
+def _named(docs: DataFrame, text_col: str, domain: Column) -> list[Column]:
     named = {c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in LEVELS[1:]}
-    return docs.select(F.col("doc_id"), F.coalesce(domain, F.lit("unknown")).alias("domain"),
-                       *(c.alias(k) for k, c in named.items()), word_count(F.col(text_col)).alias("n_tokens"),
-                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"))
+    return [F.col("doc_id"), F.coalesce(domain, F.lit("unknown")).alias("domain"),
+            *(c.alias(k) for k, c in named.items()), word_count(F.col(text_col)).alias("n_tokens"),
+            F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key")]
 
 
 def mix_sources(docs: DataFrame, plan: MixPlan, domain: Column, text_col: str = "text") -> DataFrame:
@@ -121,7 +121,7 @@ def mix_sources(docs: DataFrame, plan: MixPlan, domain: Column, text_col: str =
 
 
 def _taken(docs: DataFrame, plan: MixPlan, domain: Column, text_col: str) -> DataFrame:
-    units = _named(docs, text_col, domain).groupBy("doc_id", *LEVELS, "text_key").agg(F.sum("n_tokens").alias("n_tokens"))
+    units = docs.select(*_named(docs, text_col, domain)).groupBy("doc_id", *LEVELS, "text_key").agg(F.sum("n_tokens").alias("n_tokens"))
     chosen = select_units(written(units, "units"), plan)
     epochs = F.col("full_epochs") + F.when(F.col("in_prefix"), 1).otherwise(0)
     return chosen.withColumn("epochs", epochs).where("epochs > 0").select(
@@ -130,7 +130,15 @@ def _taken(docs: DataFrame, plan: MixPlan, domain: Column, text_col: str) -> Dat
 
 
 def mixed_documents(docs: DataFrame, plan: MixPlan, domain: Column, text_col: str = "text") -> DataFrame:
-    """The chosen rows of ``docs`` with all their columns, once for each epoch."""
-    taken = _taken(docs, plan, domain, text_col).select(F.col("doc_id").alias("__id"), "text_key")
-    own = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["__id"]) & (own == taken["text_key"])).select(*docs.columns)
+    """The chosen rows of ``docs`` with all their columns, once for each epoch.
+
+    Rows are found by all that makes them one unit (id, levels, text); repeated rows are each returned.
+    """
+    of_unit = ("doc_id", *LEVELS, "text_key")
+    keys = lambda c: [c("doc_id").isNull(), F.coalesce(c("doc_id"), F.lit(0)), *map(c, of_unit[1:])]
+    own = docs.select(F.struct("*").alias("__doc"), F.struct(*_named(docs, text_col, domain)).alias("__unit"))
+    own = own.select("__doc", *(k.alias(f"__k{i}") for i, k in enumerate(keys(lambda c: F.col(f"__unit.{c}")))))
+    taken = _taken(docs, plan, domain, text_col)
+    taken = taken.select(*(k.alias(f"__t{i}") for i, k in enumerate(keys(F.col))))
+    same = [F.col(f"__k{i}") == F.col(f"__t{i}") for i in range(len(of_unit) + 1)]
+    return own.join(taken, same).select(*(F.col("__doc").getField(c).alias(c) for c in docs.columns))

@@ -125,15 +125,15 @@ def _combined(rows: DataFrame, shard: Column) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 is_history: Column | None = None) -> DataFrame:
+                 is_history: Column | None = None, row_col: str | None = None) -> DataFrame:
     """Every row's locator, digest and group: row, id, digest, keep_id, keep_row, group_size.
 
-    ``is_history`` marks the rows seen earlier, whose digests the index holds;
+    ``row_col`` is a column of unique longs that already names the rows. ``is_history`` marks the rows seen earlier, whose digests the index holds;
     without it the whole table arrives at once into an empty history.
     """
     past = F.coalesce(is_history, F.lit(False)) if is_history is not None else F.lit(False)
     # A null id sorts after all others as the largest long.
-    rows = written(docs.select(F.monotonically_increasing_id().alias("row"),
+    rows = written(docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
                                F.coalesce(F.col(id_col), F.lit((1 << 63) - 1)).cast("long").alias("id"),
                                F.col(id_col).isNull().alias("no_id"), past.alias("past"),
                                text_digest(F.col(text_col)).alias("digest")), "digests")

@@ -2,7 +2,11 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
+from daybar.llm.mixing import mixed_documents
+from daybar.llm.quality_knn import fit, quality_votes
 from daybar.llm.simhash_bk import fingerprint
 from daybar.llm.tables import documents, written
 
@@ -75,8 +79,37 @@ def test_near_duplicates_without_ids_or_with_repeated_ones(spark, docs, sf):
 
 def test_exact_dedup_has_a_history(spark, docs, empty, sf, monkeypatch):
     seen, real = [], P.exact_groups
-    monkeypatch.setattr(P, "exact_groups", lambda d, is_history=None: seen.append(is_history) or real(d, is_history=is_history))
+    monkeypatch.setattr(P, "exact_groups", lambda d, is_history=None, **more: seen.append(is_history) or real(d, is_history=is_history, **more))
     kept = [r.doc_id for r in P.exact_duplicates(spark, docs, sf).select("doc_id").collect()]
     assert sorted(kept) == [1, 3, 4, 6, 7, 8, 9, 10, 11]
     assert 0 < docs.where(seen[0]).count() < docs.count()
     assert P.exact_duplicates(spark, empty, sf).count() == 0
+
+
+def test_rows_of_one_id_stay_apart(spark, docs, sf):
+    """One id with texts that differ only in white space or in language, wholly repeated rows, clashing names."""
+    rows = [(1, "a b", "en", "src0", "k1"), (1, "a  b", "en", "src0", "k2"), (1, "a b", "de", "src0", "k3"), (2, "c d", "en", "src0", "k4"),
+            (2, "c d", "en", "src0", "k4"), (None, "e", "en", "src0", "k5"), (None, "f", "en", "src0", "k6")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, text_key string").repartition(3)
+    kept = P.exact_duplicates(spark, table, sf)
+    assert kept.columns == table.columns
+    assert sorted(r.text.replace("  ", " ") for r in kept.collect()) == ["a b", "c d", "e", "f"]
+    everything = P.MixPlan({}, 100, 1, "all")
+    assert sorted(map(str, mixed_documents(table, everything, F.lit("d")).collect())) == sorted(map(str, table.collect()))
+    twice = P.MixPlan({}, 200, 2, "all")
+    assert mixed_documents(table, twice, F.lit("d")).count() == 2 * len(rows)
+    nothing = mixed_documents(table.where("false"), everything, F.lit("d"))
+    assert nothing.columns == table.columns and nothing.count() == 0
+
+
+def test_quality_and_packing_meet_the_edge_cases(spark, docs, empty, sf):
+    kept = P.quality(spark, docs, sf)
+    scores = {str(r.doc_id): r.predicted for r in quality_votes(docs, fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))).collect()}
+    assert kept.columns == docs.columns and P.quality(spark, empty, sf).count() == 0
+    assert {str(r.doc_id) for r in kept.collect()} == {i for i, p in scores.items() if p == 1}
+    pieces = P.packing(spark, docs, sf).collect()
+    assert sum(r.start == 0 for r in pieces) == docs.count() and P.packing(spark, empty, sf).count() == 0
+    used = {}
+    for r in pieces:
+        used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
+    assert max(used.values()) <= 2048 and len(used) == -(-sum(r.length for r in pieces) // 2048)
