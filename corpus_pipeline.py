@@ -7,11 +7,11 @@ pieces). Defined cases are those of the operators.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybar.llm.mixing import MixPlan, mixed_documents
-from daybar.llm.mph_dedup import exact_groups, text_digest
+from daybar.llm.mph_dedup import exact_groups
 from daybar.llm.packing import pack
 from daybar.llm.quality_knn import fit, quality_votes
 from daybar.llm.queries import DOMAIN_SQL
@@ -29,21 +29,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_votes(docs, fit(docs, table(spark, sf_dir, "labels")), keep=docs.columns)
 
 
-def _first_of(docs: DataFrame, keys: list[str]) -> DataFrame:
-    """One row of each key; joined rows already lie together by it."""
-    order = Window.partitionBy(*keys).orderBy(F.lit(1))
-    return docs.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").drop("__nth")
-
-
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest id; of wholly repeated rows one."""
+    """Of equal texts the row with the smallest id, null ids last, then the first written."""
     prepare(spark)
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "placed")
     # As in op9, the lower half of the ids is the history that the index holds; its ids are the smaller ones anyway.
     middle = docs.agg(((F.min("doc_id") + F.max("doc_id")) / 2).cast("long")).first()[0]
-    winners = exact_groups(docs, is_history=F.col("doc_id") <= F.lit(middle)).where("row = keep_row").select(F.col("id").alias("__id"), F.col("digest").alias("__digest"))
-    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).cast("long")) \
-        .withColumn("__digest", text_digest(F.col("text")))
-    return _first_of(keyed.join(winners, ["__id", "__digest"]), ["__id", "__digest"]).select(*docs.columns)
+    groups = exact_groups(rows, is_history=F.col("doc_id") <= F.lit(middle), row_col="__row")
+    stay = groups.where("row = keep_row").select(F.col("row").alias("__row"))
+    return rows.join(stay, "__row", "left_semi").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
