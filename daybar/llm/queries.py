@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybar.llm.conversation_trie import branched_sequences, prefix_trie
-from daybar.llm.license_scan import TEMPLATES, THRESHOLD, license_scan, template_bigrams
+from daybar.llm.license_scan import TEMPLATES, THRESHOLD, fitting_sizes, license_scan, template_bigrams
 from daybar.llm.mixing import MixPlan, mix_sources
 from daybar.llm.mph_dedup import exact_dedup
 from daybar.llm.packing import pack
@@ -93,25 +93,43 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _license_sql() -> str:
-    rows = ", ".join(f"('{name}', [{', '.join(repr(b) for b in own)}])" for name, own in template_bigrams(TEMPLATES))
-    return rf"""with t(name, own) as (values {rows}),
-d as (select doc_id, row_number() over () as rid,
-             list_transform(string_split(regexp_replace(translate(coalesce(text, ''),
-               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9\n]+', ' ', 'g'), chr(10)),
-               lambda x: trim(x)) as lines from documents),
-u as (select rid, unnest(lines) as u, generate_subscripts(lines, 1) as line from d
+    known = [(name, bag, sum(bag.values())) for name, bag in template_bigrams(TEMPLATES)]
+    rows = ", ".join(f"('{name}', '{pair}', {m})" for name, bag, _ in known for pair, m in bag.items())
+    sizes = [(name, n, fitting_sizes(n, THRESHOLD)) for name, _, n in known]
+    bounds = ", ".join(f"('{name}', {n}, {fit[0]}, {fit[-1]})" for name, n, fit in sizes)
+    return rf"""with recursive t(name, pair, m) as (values {rows}),
+z(name, size, least, most) as (values {bounds}),
+d as (select doc_id, row_number() over () as rid, translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low from documents),
+l as (select rid, unnest(string_split(low, chr(10))) as u, generate_subscripts(string_split(low, chr(10)), 1) as line from d),
+c as (select rid, line, string_split(regexp_replace(u, '([.;:!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)) as cut from l),
+g as (select rid, line, unnest(cut) as u, generate_subscripts(cut, 1) as part from c),
+w as (select rid, line, part, list_filter(string_split(regexp_replace(u, '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') as ws
+      from g),
+s as (select rid, line, ws, row_number() over (partition by rid order by line, part) as seg,
+             sum(len(ws)) over (partition by rid order by line, part) as upto from w where len(ws) > 0),
+k as (select rid, unnest(ws) as w, upto - len(ws) + generate_subscripts(ws, 1) as pos from s),
+p as (select a.rid, a.pos, a.w || ' ' || b.w as pair from k a join k b on a.rid = b.rid and b.pos = a.pos + 1),
+h as (select p.rid, t.name, p.pos, t.pair, t.m from p join t using (pair)),
+r as (select a.rid, a.seg as i, b.seg as j, a.upto - len(a.ws) + 1 as lo, b.upto as hi, z.name, z.size, a.line, b.line as last_line
+      from (select distinct rid, name from h) x join z using (name) join s a on a.rid = x.rid
+      join s b on b.rid = a.rid and b.seg between a.seg and a.seg + z.most
+        and b.upto - (a.upto - len(a.ws)) - 1 between z.least and z.most),
+o as (select r.rid, r.i, r.j, r.lo, r.hi, r.name, r.size, r.line, r.last_line, h.pair, least(count(*), any_value(h.m)) as shared
+      from r join h on h.rid = r.rid and h.name = r.name and h.pos >= r.lo and h.pos < r.hi group by all),
+q as (select rid, i, j, name, line, last_line, 2.0::double * sum(shared) / (hi - lo + size) as dice
+      from o group by rid, i, j, lo, hi, name, size, line, last_line),
+f as (select *, row_number() over (partition by rid order by i, dice desc, j, name) as nth,
+             row_number() over (partition by rid order by dice desc, i, j, name) as best
+      from q where dice >= {THRESHOLD}::double),
+n(rid, nth, upto, seen) as (select rid, nth, j, 1 from f where nth = 1
       union all
-      select rid, trim(regexp_replace(array_to_string(lines, ' '), ' +', ' ', 'g')), 0 from d where len(lines) > 1),
-w as (select rid, line, string_split(u, ' ') as w from u where u <> ''),
-p as (select rid, line, len(w) - 1 as n, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as pairs
-      from w where len(w) between 2 and 40),
-s as (select rid, line, name, 2.0::double * len(list_intersect(pairs, own)) / (n + len(own)) as dice from p, t),
-b as (select *, row_number() over (partition by rid order by dice desc, line, name) as k,
-             count(*) over (partition by rid) as n_matches
-      from (select rid, line, max(dice) as dice, arg_min(name, (-dice, name)) as name from s
-            where dice >= {THRESHOLD} group by rid, line))
-select d.doc_id, coalesce(b.n_matches, 0) as n_matches, b.name as license_id, b.dice, cast(b.line as bigint) as line
-from d left join b on d.rid = b.rid and b.k = 1"""
+      select n.rid, f.nth, f.j, n.seen + 1 from n join f on f.rid = n.rid
+      where f.nth = (select min(e.nth) from f e where e.rid = n.rid and e.i > n.upto)),
+v as (select rid, max(seen) as n_matches from n group by rid)
+select d.doc_id, coalesce(v.n_matches, 0)::bigint as n_matches, f.name as license_id, f.dice,
+       f.line::bigint as line, f.last_line::bigint as last_line
+from d left join f on f.rid = d.rid and f.best = 1 left join v on v.rid = d.rid"""
 
 
 def _rules_sql(rules: RepetitionRules = RepetitionRules()) -> str:

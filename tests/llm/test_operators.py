@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
+from collections import Counter
 from dataclasses import replace
 
 import numpy as np
@@ -10,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybar.llm import packing, rans, repeats, simhash_bk, suffix_dedup, subtree_dedup, text, tokens
-from daybar.llm.license_scan import license_scan
+from daybar.llm.license_scan import TEMPLATES, license_scan
 from daybar.llm.mixing import MixPlan, mix_sources
 from daybar.llm.mph_dedup import build_index, exact_dedup, find_slots
 from daybar.llm.quality_knn import fit, quality_votes
@@ -224,8 +226,69 @@ def test_quality_rules(docs, empty):
 
 def test_license_scan(docs, empty):
     out = {r.doc_id: r for r in license_scan(docs).collect()}
-    assert (out[7].license_id, out[7].dice, out[7].line, out[7].n_matches) == ("MIT", 1.0, 1, 1)
+    assert (out[7].license_id, out[7].dice, out[7].line, out[7].last_line, out[7].n_matches) == ("MIT", 1.0, 1, 1, 1)
     assert out[1].license_id is None and out[4].n_matches == 0 and license_scan(empty).count() == 0
+    assert license_scan(docs).count() == docs.count()
+
+
+def slow_scan(text, templates=TEMPLATES, t=0.8):
+    """Every run of segments against every template, by counters."""
+    segs = []
+    for line, u in enumerate(text.lower().split("\n"), 1):
+        for s in re.sub(r"([.;:!?])[ \t\r]+", r"\1\n", u).split("\n"):
+            segs += [(line, w)] if (w := re.findall("[a-z0-9]+", s)) else []
+    found = []
+    for i in range(len(segs)):
+        for j in range(i, len(segs)):
+            w = [x for _, ws in segs[i:j + 1] for x in ws]
+            own = Counter(zip(w, w[1:]))
+            for name, body in templates.items():
+                b = re.findall("[a-z0-9]+", body.lower())
+                b = Counter(zip(b, b[1:]))
+                dice = 2.0 * (own & b).total() / (own.total() + b.total()) if own else 0.0
+                if dice >= t:
+                    found.append((i, -dice, j, name))
+    n, upto = 0, -1
+    for i, _, j, _ in sorted(found):
+        if i > upto:
+            n, upto = n + 1, j
+    if not n:
+        return 0, None, None, None, None
+    i, dice, j, name = min(found, key=lambda f: (f[1], f[0], f[2], f[3]))
+    return n, name, -dice, segs[i][0], segs[j][0]
+
+
+def test_licenses_among_other_text(spark):
+    mit, wrapped = TEMPLATES["MIT-text"], "\n".join(textwrap.wrap(TEMPLATES["CC-BY-4.0-notice"], 30))
+    texts = [
+        "Copyright 2024 X. Licensed under CC BY 4.0. See LICENSE for details.",
+        f"some text before it\n\n{wrapped}\nand more text that follows the notice",
+        f"Copyright (c) 2020 Somebody\n\n{mit}\n\nint main() {{ return 0; }}",
+        mit.replace("furnished", "given").replace("merge, publish, ", ""),
+        " ".join(TEMPLATES["BSD-2-Clause-text"].split()),
+        TEMPLATES["BSD-2-Clause-text"][:400], f"{mit}\nbetween\n{TEMPLATES['ISC-text']}", "MIT", "x y.\n" * 300,
+        "All rights reserved. All rights reserved.\nAll rights\nreserved.", "all all all all", "",
+        "prose without end " * 3000 + ". " + TEMPLATES["GPL-3.0-header"] + " and prose. " * 50,
+    ]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100, None), (0, texts[0])]
+    out = license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == len(rows) and [tuple(r)[1:] for r in out if r.doc_id == 100] == [(0, None, None, None, None)]
+    for r in out:
+        if r.doc_id < 100:
+            assert tuple(r)[1:] == slow_scan(texts[r.doc_id]), r
+    names = {r.doc_id: r.license_id for r in out}
+    assert names[0] == "CC-BY-4.0" and names[1] == "CC-BY-4.0-notice" and names[2] == names[3] == "MIT-text"
+    assert names[4] == "BSD-2-Clause-text" and names[5] is None and names[12] == "GPL-3.0-header"
+
+
+def test_license_bags(spark):
+    """A template of repeated bigrams: a unit has to repeat them as often."""
+    one = {"echo": "a b a b a b a b"}
+    texts = ["a b", "a b a b", "a b a b a b", "a b a b a b a b", "a b " * 5, "a b " * 9, "b a b a b a b a"]
+    out = license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates=one).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in out} == {i: slow_scan(t, one) for i, t in enumerate(texts)}
+    with pytest.raises(ValueError):
+        license_scan(spark.createDataFrame([], "doc_id long, text string"), templates={"short": "one"})
 
 
 def test_mixing(docs, empty):
