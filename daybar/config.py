@@ -79,6 +79,8 @@ class JobConfig:
     # Publish rows ordered by (ISIN, Date), as the reference's report is; the
     # sort runs on day-grain rows (one range exchange), never on ticks.
     sorted_output: bool = True
+    # A table with one row per instrument-day over all reports (see sinks.current); None keeps none.
+    current_path: str | None = None
 
 
 def _spark_time_format(py_format: str) -> str:
@@ -97,7 +99,8 @@ def job_config_from_mapping(cfg: dict, *, source_root: str | None = None,
     (``meta_key``) and ``s3`` (buckets). Optional source keys: ``src_file_columns``
     (the files' full header), ``src_layout`` (prefix | hive), ``src_format``
     (csv | parquet), ``src_sep``, ``src_encoding``, ``src_time_order`` (see
-    ``SourceColumns.time_order``). Paths are the buckets as ``s3a://``
+    ``SourceColumns.time_order``); optional target key: ``trg_current_key`` (the
+    current table). Paths are the buckets as ``s3a://``
     roots unless ``source_root`` / ``target_root`` are given; credentials and
     endpoints belong in the Hadoop configuration, not here. The declared but
     unused ``trg_col_isin`` / ``trg_col_date`` are accepted and ignored: the
@@ -130,4 +133,5 @@ def job_config_from_mapping(cfg: dict, *, source_root: str | None = None,
         target_time_format=_spark_time_format(trg.get("trg_key_date_format", "%Y%m%d_%H%M%S")),
         source_layout=src.get("src_layout", "prefix"), source_format=src.get("src_format", "csv"),
         csv_sep=src.get("src_sep", ","), csv_encoding=src.get("src_encoding", "utf-8"),
+        current_path=f"{target_root}/{trg['trg_current_key']}" if trg.get("trg_current_key") else None,
     )

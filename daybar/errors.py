@@ -9,5 +9,9 @@ class LedgerSchemaError(ValueError):
     """The ledger does not have exactly the expected columns."""
 
 
+class RunIntentError(RuntimeError):
+    """Another run of the same ledger is open, or died before it recorded its days."""
+
+
 class LedgerLayoutError(ValueError):
     """The ledger path is a single file (the old layout) where a folder is expected."""

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from daybar.config import NOTHING_TO_DO_CUTOFF
 from daybar.functions.dates import as_of_string
-from daybar.plans.ledger import ledger_days
+from daybar.plans.ledger import check_ledger_days, ledger_days
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,7 @@ def plan_days(spark: SparkSession, ledger: DataFrame | None, first_date: str, as
     start = first - _dt.timedelta(days=lookback_days)
     if ledger is None:
         return DayPlan(first.isoformat(), _span(start, today))
+    check_ledger_days(ledger)
     cal = calendar(spark, start.isoformat(), today.isoformat())
     missing = cal.where(F.col("day") >= F.lit(first)).join(ledger_days(ledger), "day", "left_anti")
     m = missing.agg(F.min("day").alias("m")).first()["m"]

@@ -1,7 +1,7 @@
 """``spark-submit`` entry point: run the daily report job from a YAML config.
 
     spark-submit --py-files daybar.zip daybar/plans/cli.py config.yml [--as-of YYYY-MM-DD]
-        [--source-root PATH] [--target-root PATH] [--stream --checkpoint PATH]
+        [--source-root PATH] [--target-root PATH] [--recover] [--stream --checkpoint PATH]
 
 The session comes from ``spark-submit`` (cluster settings, ``spark.checkpoint.dir``).
 """
@@ -24,6 +24,8 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=None, help="run date (default: today)")
     ap.add_argument("--source-root", default=None)
     ap.add_argument("--target-root", default=None)
+    ap.add_argument("--recover", action="store_true",
+                    help="end a run that died (its report recorded or dropped) before this one starts")
     ap.add_argument("--stream", action="store_true",
                     help="process new files with the Structured Streaming trigger instead of the ledger")
     ap.add_argument("--checkpoint", default=None, help="stream checkpoint folder (required with --stream)")
@@ -41,7 +43,7 @@ def main(argv=None) -> None:
         from daybar.streaming import start_report_stream
         start_report_stream(spark, cfg, args.checkpoint).awaitTermination()
         return
-    res = run(spark, cfg, args.as_of)
+    res = run(spark, cfg, args.as_of, recover=args.recover)
     logging.getLogger(__name__).info("cutoff %s, published %s, recorded %d day(s)",
                                      res.plan.cutoff, res.target, len(res.recorded))
 

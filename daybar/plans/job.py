@@ -6,16 +6,19 @@ import datetime as _dt
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybar.config import JobConfig
 from daybar.functions.dates import as_of_string
 from daybar.operators.report import daily_report
 from daybar.plans.backfill import DayPlan, plan_days
+from daybar.plans.intents import close_intent, open_intent, plan_intent, recover_intent, take_intent
 from daybar.plans.ledger import append_ledger, check_ledger_layout, read_ledger
-from daybar.session import apply_required_conf
+from daybar.session import apply_required_conf, path_exists
+from daybar.sinks.current import update_current
 from daybar.sinks.publish import check_format, publish, target_name
+from daybar.sources.csv import empty_ticks
 from daybar.sources.days import read_days
 
 log = logging.getLogger(__name__)
@@ -38,31 +41,58 @@ def build_report(spark: SparkSession, cfg: JobConfig, plan: DayPlan):
     return rep
 
 
-def run(spark: SparkSession, cfg: JobConfig, as_of=None, now: _dt.datetime | None = None) -> RunResult:
+def run(spark: SparkSession, cfg: JobConfig, as_of=None, now: _dt.datetime | None = None,
+        recover: bool = False) -> RunResult:
     """One scheduled run.
 
-    The report is published before the ledger is appended, so a failure in
-    between re-processes the same days next time (at-least-once), and the
-    planned days are recorded even when they had no files (the reference's
-    behaviour).
+    The report is published before the ledger is appended, and the planned days
+    are recorded even when they had no files (the reference's behaviour). The
+    ledger's run intent is taken before the ledger is read and closed after the
+    append: a second run at the same time, or one after a run that died in
+    between, raises ``RunIntentError`` instead of publishing the days again.
+    ``recover`` first ends the dead run (``plans.intents.recover_intent``). A run
+    that fails before its report is in place gives its intent back.
     """
     check_format(cfg.target_format)
     apply_required_conf(spark)
     as_of = as_of_string(as_of)
     check_ledger_layout(spark, cfg.ledger_path)  # before anything is published
-    ledger = read_ledger(spark, cfg.ledger_path)  # column check happens here, once
-    plan = plan_days(spark, ledger, cfg.first_date, as_of, cfg.lookback_days)
-    log.info("cutoff %s, %d day(s) to read", plan.cutoff, len(plan.days))
-    if not plan.days:
-        return RunResult(plan, None, ())
-    report = build_report(spark, cfg, plan)
-    target = publish(report, target_name(cfg.target_prefix, cfg.target_format, now,
-                                         _py_format(cfg.target_time_format)), cfg.target_format)
-    recorded = plan.days_to_record
+    if recover:
+        dead = open_intent(spark, cfg.ledger_path)
+        if dead and dead.target and path_exists(spark, dead.target) and cfg.current_path:
+            update_current(_published(spark, cfg, dead.target), cfg.current_path, cfg.source.date)
+        log.info("open run: %s", recover_intent(spark, cfg.ledger_path))
+    intent = take_intent(spark, cfg.ledger_path, as_of)
+    target = None
+    try:
+        ledger = read_ledger(spark, cfg.ledger_path)  # column check happens here, once
+        plan = plan_days(spark, ledger, cfg.first_date, as_of, cfg.lookback_days)
+        log.info("cutoff %s, %d day(s) to read", plan.cutoff, len(plan.days))
+        if not plan.days:
+            close_intent(spark, cfg.ledger_path)
+            return RunResult(plan, None, ())
+        recorded = plan.days_to_record
+        name = target_name(cfg.target_prefix, cfg.target_format, now, _py_format(cfg.target_time_format))
+        plan_intent(spark, cfg.ledger_path, intent, plan.cutoff, recorded, name)
+        target = publish(build_report(spark, cfg, plan), name, cfg.target_format)
+    except Exception:
+        close_intent(spark, cfg.ledger_path)  # nothing of this run is visible: publish renames last
+        raise
+    if target and cfg.current_path:
+        update_current(_published(spark, cfg, target), cfg.current_path, cfg.source.date)
     append_ledger(spark, cfg.ledger_path, recorded, as_of, checked=ledger is not None)
+    close_intent(spark, cfg.ledger_path)
     return RunResult(plan, target, tuple(recorded))
 
 
+def _published(spark: SparkSession, cfg: JobConfig, target: str) -> DataFrame:
+    """A published report with the types of the report, so that the current table is not computed a second time."""
+    if cfg.target_format == "parquet":
+        return spark.read.parquet(target)
+    empty = daily_report(empty_ticks(spark, cfg.source), cfg.source, cfg.report, None, cfg.change_on, drop_missing=False)
+    return spark.read.schema(empty.schema).option("header", True).option("escape", '"').csv(target)
+
+
 def _py_format(spark_pattern: str) -> str:
     """Translate the few datetime pattern letters used in target names."""
     out = spark_pattern

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections import Counter
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybar.config import LEDGER_DAY_COL, LEDGER_PROCESSED_COL
@@ -57,9 +57,35 @@ def read_ledger(spark: SparkSession, path: str, keys: tuple[str, ...] = (),
     return df.select(*expected)
 
 
+# The forms of a ledger day: year first, parts by the same of - / . or eight digits, and a time of day that is cut off.
+_TIME = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?: ?(?:Z|[+-]\d{2}:?\d{2}))?)?$"
+_PARTED = r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})" + _TIME
+_DIGITS = r"^(\d{4})(\d{2})(\d{2})" + _TIME
+
+
+def ledger_day(text: Column) -> Column:
+    """The DATE that a ledger day states in one of the forms above; null for any other text."""
+    t = F.trim(text)
+    part = lambda form, *groups: F.concat_ws("-", *(F.regexp_extract(t, form, g) for g in groups))
+    iso = F.when(t.rlike(_PARTED), part(_PARTED, 1, 3, 4)).when(t.rlike(_DIGITS), part(_DIGITS, 1, 2, 3))
+    return iso.try_cast("date")
+
+
+def check_ledger_days(ledger: DataFrame) -> None:
+    """Raise :class:`LedgerSchemaError` with the number and the first of the rows whose day is in no known form."""
+    text = F.col(LEDGER_DAY_COL)
+    bad = ledger.where(text.isNotNull() & ledger_day(text).isNull())
+    shown = [r[0] for r in bad.select(LEDGER_DAY_COL).distinct().orderBy(LEDGER_DAY_COL).limit(5).collect()]
+    if shown:
+        raise LedgerSchemaError(f"{bad.count()} ledger row(s) without a readable day, such as {shown}")
+
+
 def ledger_days(ledger: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct processed days (``day`` DATE); timestamps are cut to the day."""
-    return ledger.select(*keys, F.col(LEDGER_DAY_COL).cast("date").alias("day")).distinct()
+    """Distinct processed days (``day`` DATE); timestamps are cut to the day, text in no known form raises when read."""
+    text = F.col(LEDGER_DAY_COL)
+    day = ledger_day(text)
+    unread = F.raise_error(F.concat(F.lit("ledger row without a readable day: "), text)).cast("date")
+    return ledger.select(*keys, F.when(text.isNull() | day.isNotNull(), day).otherwise(unread).alias("day")).distinct()
 
 
 def append_ledger(spark: SparkSession, path: str, days: list[str], as_of=None,

@@ -63,7 +63,7 @@ def send_package(spark: SparkSession) -> None:
         context.addPyFile(shutil.make_archive(packed, "zip", top, "daybar"))
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -96,13 +96,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
+    p, fs = hadoop_path(spark, path)
     return bool(fs.exists(p))
 
 
 def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
-    s, fs = _hadoop_path(spark, src)
-    d, _ = _hadoop_path(spark, dst)
+    s, fs = hadoop_path(spark, src)
+    d, _ = hadoop_path(spark, dst)
     parent = d.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
@@ -110,5 +110,5 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
+    p, fs = hadoop_path(spark, path)
     return bool(fs.delete(p, True))
