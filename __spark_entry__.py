@@ -603,7 +603,8 @@ from kc join m on kc.isin = m.isin where kc.d >= m.m - 1""",
                                  case when d <= date '{LEDGER_FIRST_RUN}' then '{LEDGER_FIRST_RUN}' else '{JOB_AS_OF}' end as datetime_of_processing
                           from (select unnest(generate_series(date '{JOB_FIRST}', date '{JOB_AS_OF}', interval 1 day))::date as d)""",
         "job_current": f"""select *, "Date" as report_day from (
-            select * from ({_report(f"select * from ({_EV}) e where \"Date\" <= '{LEDGER_FIRST_RUN}'", JOB_FIRST)}) a
+            select * from ({_report(f"""select * from ({_EV}) e where "Date" between
+                '{JOB_LOOKBACK}' and '{LEDGER_FIRST_RUN}'""", JOB_FIRST)}) a
             where "Date" < '{CURRENT_AGAIN}'
             union all
             select * from ({_report(f"""select * from ({_EV}) e where "Date" between

@@ -26,9 +26,9 @@ def update_current(report: DataFrame, path: str, day_col: str = "Date") -> None:
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY_FOLDER).parquet(path))
 
 
-def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """The table, or None where no report was published yet; filters on ``report_day`` prune folders."""
+def read_current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where no report was published yet; filters on ``report_day`` (text) prune folders."""
     if not path_exists(spark, path):
         return None
-    reader = spark.read.schema(StructType([*schema.fields]).add(DAY_FOLDER, "string")) if schema else spark.read
-    return reader.parquet(path)
+    fields = [f for f in spark.read.parquet(path).schema if f.name != DAY_FOLDER]
+    return spark.read.schema(StructType(fields).add(DAY_FOLDER, "string")).parquet(path)

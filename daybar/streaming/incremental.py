@@ -26,41 +26,13 @@ from daybar.operators.report import daily_report
 from daybar.operators.windows import lag_within
 from daybar.session import apply_required_conf, path_exists, scratch_path
 from daybar.sinks.publish import check_format, publish
-from daybar.sources.csv import read_csv, string_schema
-from daybar.sources.days import read_days, top_level_days
+from daybar.sources.csv import read_csv
+from daybar.sources.days import read_days
 from daybar.sources.listing import qualified_path
 
 log = logging.getLogger(__name__)
 
 
-def _newest_day_folder(spark: SparkSession, cfg: JobConfig) -> str | None:
-    """Path of the newest day entry: ``<day>…`` (prefix) or ``<date col>=<day>`` (hive)."""
-    if cfg.source_layout == "prefix":
-        days = top_level_days(spark, cfg.source_path)
-        return days[-1][1] if days else None
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(cfg.source_path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    prefix = cfg.source.date + "="
-    names = sorted(str(st.getPath().toString()) for st in fs.listStatus(root)
-                   if st.isDirectory() and st.getPath().getName().startswith(prefix))
-    return names[-1] if names else None
-
-
-def _header(spark: SparkSession, cfg: JobConfig) -> list[str]:
-    """Header of the newest day's files (one top-level listing, one day read)."""
-    if cfg.source.file_columns:
-        return list(cfg.source.file_columns)
-    newest = _newest_day_folder(spark, cfg)
-    df = None if newest is None else read_csv(spark, newest, sep=cfg.csv_sep, encoding=cfg.csv_encoding,
-                                              recursive=True, na_tokens=False)
-    if df is not None:
-        return df.columns
-    return [c for c in cfg.source.columns if not (cfg.source_layout == "hive" and c == cfg.source.date)]
-
-
 def _plan_batch(touched: list[str], first_date: str, lookback: int) -> tuple[list[str], list[str], list[str]]:
     """Days to report, days to read, and the first day of each unbroken run of days read.
 
@@ -120,28 +92,12 @@ def start_report_stream(spark: SparkSession, cfg: JobConfig, checkpoint: str | N
     if cfg.source_format not in ("csv", "parquet") or cfg.source_layout not in ("prefix", "hive"):
         raise ValueError("the stream reads day-keyed CSV or Parquet trees (prefix or hive layout)")
     apply_required_conf(spark)
-    hive = cfg.source_layout == "hive"
-    if cfg.source_format == "csv":
-        header = _header(spark, cfg)
-        if hive:  # the day comes from the folder name, filled in by partition discovery
-            header = [c for c in header if c != cfg.source.date] + [cfg.source.date]
-        reader = (spark.readStream.schema(string_schema(header)).option("header", True)
-                  .option("sep", cfg.csv_sep).option("encoding", cfg.csv_encoding)
-                  .option("enforceSchema", False))
-    else:  # a file stream needs its schema up front: take it from the newest day
-        newest = _newest_day_folder(spark, cfg)
-        if newest is None:
-            raise ValueError(f"no day folders under {cfg.source_path} to take the Parquet schema from")
-        schema = spark.read.option("recursiveFileLookup", True).parquet(newest).schema
-        if hive:
-            schema = schema.add(cfg.source.date, "string")
-        reader = spark.readStream.schema(schema)
-    if not hive:  # recursive lookup would switch partition discovery off
-        reader = reader.option("recursiveFileLookup", True)
+    # Only paths are asked of the binary file source, so no file is opened here; the report reads each once.
+    reader = (spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+              .schema("path string, modificationTime timestamp, length long, content binary"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    days = reader.format(cfg.source_format).load(cfg.source_path).select(
-        _day_of_path(spark, cfg, F.col("_metadata.file_path")).alias("day"))
+    days = reader.load(cfg.source_path).select(_day_of_path(spark, cfg, F.col("path")).alias("day"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         touched = [r["day"] for r in batch.where(F.col("day").isNotNull()).distinct().collect()]

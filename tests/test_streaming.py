@@ -1,3 +1,5 @@
+import os
+
 from daybar.config import JobConfig
 from daybar.streaming import published_reports, start_report_stream
 from tests.fixtures import F1, F2, write_tick_csvs
@@ -97,3 +99,15 @@ def test_files_not_keyed_by_a_calendar_day_are_passed_over(spark, tmp_dir):
     cfg = JobConfig(source_path=src, target_prefix=f"{tmp_dir}/trg/r_", ledger_path=f"{tmp_dir}/unused", first_date="2021-04-17")
     start_report_stream(spark, cfg, f"{tmp_dir}/ck").awaitTermination()
     assert sorted(tuple(r) for r in published_reports(spark, cfg).collect()) == sorted(F2)
+
+
+def test_the_stream_opens_no_file_to_learn_its_days(spark, tmp_dir):
+    # A file that no reader could read: its path is enough to plan the batch, and its day is not asked for.
+    write_tick_csvs(f"{tmp_dir}/src", F1)
+    os.makedirs(f"{tmp_dir}/src/2020-01-01")
+    with open(f"{tmp_dir}/src/2020-01-01/broken.csv", "wb") as fh:
+        fh.write(b"\xff\xfe not,a,\"table\n" * 10)
+    cfg = JobConfig(source_path=f"{tmp_dir}/src", target_prefix=f"{tmp_dir}/trg/r_", ledger_path=f"{tmp_dir}/led",
+                    first_date="2021-04-17")
+    start_report_stream(spark, cfg, f"{tmp_dir}/ck").awaitTermination()
+    assert sorted(r["Date"] for r in published_reports(spark, cfg).collect()) == ["2021-04-17", "2021-04-18", "2021-04-19"]
