@@ -1,6 +1,7 @@
 """Operators against brute force on edge cases and on the smallest tables."""
 
 import hashlib
+import os
 import re
 import textwrap
 import zlib
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daybar.llm import packing, rans, repeats, simhash_bk, suffix_dedup, subtree_dedup, text, tokens
+from daybar.llm import packing, quality_knn, rans, repeats, simhash_bk, suffix_dedup, subtree_dedup, text, tokens
 from daybar.llm.license_scan import TEMPLATES, license_scan
 from daybar.llm.mixing import MixPlan, mix_sources
 from daybar.llm.mph_dedup import build_index, exact_dedup, find_slots
@@ -313,6 +314,38 @@ def test_classifier(spark, docs, empty, sf):
     assert good.where("predicted = 1").count() >= 0.95 * good.count()
 
 
+def test_classifier_on_rows_it_never_saw(spark, sf):
+    """Recall, precision and the order of scores, on the held-out fold alone."""
+    more = f"{os.path.dirname(sf)}/sf0.01"
+    table, labels = (spark.read.parquet(f"{more}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_votes(table, fit(table, labels)).join(labels, "doc_id").collect()
+    rows = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert all(r.held_out for r in rows)
+    good, bad = ([r for r in rows if r.quality == q] for q in (1, 0))
+    hits, false = (sum(r.predicted for r in part) for part in (good, bad))
+    assert len(good) >= 20 and len(bad) >= 5
+    assert hits >= 0.95 * len(good) and hits >= 0.95 * (hits + false) and false <= 0.2 * len(bad)
+    above = sum((g.score > b.score) + (g.score == b.score) / 2 for g in good for b in bad)
+    assert above >= 0.97 * len(good) * len(bad)
+
+
+def test_votes_against_one_document_at_a_time(spark, sf):
+    """Blocked products against plain cosines of each document with every sample row."""
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    model = fit(table, spark.read.parquet(f"{sf}/labels.parquet"))
+    got = {r.doc_id: r.score for r in quality_votes(table, model).collect()}
+    for r in table.limit(60).collect():
+        counts = quality_knn._features([(r.text or "").encode()])
+        v = model._latent(quality_knn._weighted(counts, model.idf))[0]
+        near = sorted(((float(v @ known), label) for known, label in zip(model.known, model.labels)), reverse=True)
+        weights = [(max(c, 0.0) ** quality_knn.SHARPNESS, label) for c, label in near[:quality_knn.NEIGHBOURS]]
+        total = sum(w for w, _ in weights)
+        words = float(counts[0, :-1].sum())
+        trust = words / (words + quality_knn.SHORT)
+        want = trust * sum(w * label for w, label in weights) / total + (1 - trust) * model.prior if total else model.prior
+        assert abs(got[r.doc_id] - want) < 1e-3, r.doc_id
+
+
 def test_sample_holds_an_id_once(spark, docs):
     rows = [(i % 7, f"text {i} of id {i % 7} with some words") for i in range(300)]
     table = spark.createDataFrame(rows, "doc_id long, text string")
