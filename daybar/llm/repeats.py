@@ -17,13 +17,18 @@ text falls into runs of windows with one anchor.
    id of each class goes back to the chunks that have a greater one.
 5. A chunk marks the units of its documents that windows with smaller ids cover.
 
-What moves are packed arrays of a chunk and a shard, not a row for each
-window. The number of shards follows the input, so a shard stays of one size.
+What moves are packed arrays, not a row for each window. The number of shards
+follows the input, so a shard stays of one size. Entries reach their shard, and
+its answers their chunk, in hops: a hop splits a row into at most ``fan``
+others, and between hops the rows of neighbouring sources are joined into one of
+the size of a chunk. So rows and their entries grow with the input, times the
+number of hops, and never with chunks times shards.
 Hashes of strings and anchors have 64 bits; strings of equal hash are compared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -39,9 +44,11 @@ from daybar.llm.tables import release, shards_for, written
 from daybar.llm.text import as_bytes, mix, span_hashes
 
 COMPARED_UNITS = 1 << 22  # units of strings compared at once
+MOST_TASKS = 1 << 15      # of one exchange, as Spark's driver tracks each; a task holds one shard or chunk at a time
 NO_ID = (1 << 63) - 1    # stands for a null id: after all others
 
 _CHUNK_ROW = "chunk long, docs binary, lengths binary, nulls binary, data binary"
+_HOP_ROW = "hop long, part long, data binary"
 
 
 @dataclass(frozen=True)
@@ -53,6 +60,7 @@ class Sizes:
     shard_bytes: int = 24 << 20   # bytes of input for each shard
     hot_chunks: int = 64          # an anchor in more chunks is dealt by single windows
     batch_units: int = 1 << 19    # units of strings that a shard compares together (an anchor's strings stay together)
+    fan: int = 1 << 11            # rows that one is split into at a hop: 49 GB need one hop, 100 TB two
 
 
 @dataclass(frozen=True)
@@ -95,6 +103,98 @@ def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def _cuts(sorted_values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values (none negative) begin, and the end."""
+    return np.flatnonzero(np.diff(sorted_values, prepend=-1, append=-1)) if len(sorted_values) else np.zeros(1, np.int64)
+
+
+@dataclass(frozen=True)
+class Parcel:
+    """Entries on their way: destination, source, values of some kinds; with ``units`` also as many units as the last value says."""
+    kinds: tuple[str, ...]
+    units: str | None = None
+
+    def rows(self, hop: np.ndarray, part: int | np.ndarray, to: np.ndarray, frm: np.ndarray, values: tuple,
+             units: np.ndarray | None = None, starts: np.ndarray | None = None) -> pd.DataFrame:
+        """A row for each value of ``hop``, with its entries in their order; ``starts``: where their units lie."""
+        order = np.argsort(hop, kind="stable")
+        cuts, out = _cuts(hop[order]), []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            at = order[a:b]
+            arrays = [to[at].astype("<i8"), frm[at].astype("<i8"), *(v[at].astype(k) for v, k in zip(values, self.kinds))]
+            if self.units:
+                arrays.append(units[_ranges(starts[at], values[-1][at].astype(np.int64))])
+            out.append((int(hop[at[0]]), int(part), _pack(*arrays)))
+        return pd.DataFrame(out, columns=["hop", "part", "data"])
+
+    def read(self, data) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray | None]:
+        """Destination, source, values and units of the entries of some rows, one row after the other."""
+        kinds = ("<i8", "<i8", *self.kinds, *((self.units,) if self.units else ()))
+        to, frm, *values = (np.concatenate(x) for x in zip(*(_unpack(x, *kinds) for x in data)))
+        return (to, frm, values[:-1], values[-1]) if self.units else (to, frm, values, None)
+
+
+_ANCHORS = Parcel(("<i8", "u1"))                              # low 40 bits, whether two ids of the chunk have it
+_FLAGS = Parcel(("u1", "u1"))                                 # met, hot
+_RUNS = Parcel(("<u4", "<u4", "<u4", "<i8"))                  # string, start, windows, least id
+
+
+def _strings(unit_kind: str) -> Parcel:
+    """Index in the chunk, anchor, least and greatest id, length; and the units."""
+    return Parcel(("<u4", "<u4", "<i8", "<i8", "<i8"), unit_kind)
+
+
+@dataclass(frozen=True)
+class Route:
+    """The hops between ``chunks`` chunks and ``shards`` shards.
+
+    Going to shards, a row after hop j holds entries for the shards that share all but the last digits (to the base
+    ``fan``) of their number, from the chunks whose place shares all but the last j; coming back, the other way round.
+    """
+    chunks: int
+    shards: int
+    fan: int
+    hops: int
+
+    @staticmethod
+    def between(chunks: int, shards: int, most: int) -> Route:
+        hops = 1
+        while most ** hops < shards:
+            hops += 1
+        fan = max(2, math.ceil(shards ** (1 / hops)))
+        return Route(max(1, chunks), shards, fan + (fan ** hops < shards), hops)
+
+    def place(self, chunk: np.ndarray) -> np.ndarray:
+        return (mix(chunk.astype(np.uint64)) % np.uint64(self.chunks)).astype(np.int64)
+
+    def to_shard(self, shard: np.ndarray, j: int = 0) -> np.ndarray:
+        return shard // self.fan ** (self.hops - 1 - j)
+
+    def to_chunk(self, chunk: np.ndarray, j: int = 0) -> np.ndarray:
+        left = self.hops - 1 - j
+        return self.place(chunk) // self.fan ** left if left else chunk
+
+    def carried(self, rows: DataFrame, parcel: Parcel, towards: Callable[[np.ndarray, int], np.ndarray]) -> DataFrame:
+        """Rows after their first hop -> after the last one."""
+        def hop(j: int):
+            def forward(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+                to, frm, values, units = parcel.read(frame["data"])
+                starts = np.cumsum(values[-1]) - values[-1] if parcel.units else None
+                return parcel.rows(towards(to, j), key[1], to, frm, values, units, starts)
+
+            return forward
+
+        for j in range(1, self.hops):
+            rows = rows.withColumn("part", F.expr(f"part div {self.fan}")).repartition(self.tasks, "hop", "part") \
+                .groupBy("hop", "part").applyInPandas(hop(j), _HOP_ROW)
+        return rows
+
+    @property
+    def tasks(self) -> int:
+        """So many tasks that few shards, or chunks, meet in one; in the largest, tasks take more of them one by one."""
+        return min(max(self.chunks, 4 * self.shards), MOST_TASKS)
+
+
 def chunk_rows(docs: DataFrame, id_col: str, text_col: str, limit: int = Sizes.chunk) -> DataFrame:
     def run(batches):
         part, n, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
@@ -169,9 +269,10 @@ class Chunk:
         return pd.Series(self.docs, dtype="Int64").mask(self.nulls)
 
     def anchors(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchors by (shard, hash): the shard and hash of each, whether two ids here have it, and each run's."""
+        """Distinct anchors by (shard, low bits): the shard and low bits of each, whether two ids here have it, and each run's."""
         distinct, of = np.unique(self.anchor, return_inverse=True)
         shard = ((distinct >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
+        distinct = (distinct & np.uint64((1 << 40) - 1)).astype(np.int64)
         order = np.lexsort([distinct, shard])
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
@@ -234,66 +335,51 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
 
 
-def _anchor_rows(chunks: DataFrame, kind: Units, shards: int) -> DataFrame:
+def _anchor_rows(chunks: DataFrame, kind: Units, route: Route) -> DataFrame:
     def run(frames):
         for frame in frames:
             for _, row in frame.iterrows():
-                shard, value, many, _ = Chunk(row, kind).anchors(shards)
-                cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=-1)) if len(shard) else []
-                low = np.ascontiguousarray(value.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
-                yield pd.DataFrame([(int(shard[a]), row["chunk"], low[a:b].tobytes(), np.packbits(many[a:b]).tobytes())
-                                    for a, b in zip(cuts[:-1], cuts[1:])], columns=["shard", "chunk", "anchors", "many"])
-
-    return chunks.mapInPandas(run, "shard int, chunk long, anchors binary, many binary")
-
-
-def _met(key: tuple, rows: pd.DataFrame, hot_chunks: int) -> pd.DataFrame:
-    """For each chunk of a shard, which of its anchors another document has, and which of them very many chunks have."""
-    parts = []
-    for raw in rows["anchors"]:
-        wide = np.zeros((len(raw) // 5, 8), np.uint8)
-        wide[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-        parts.append(wide.view("<u8").ravel())
-    sizes = np.array(list(map(len, parts)))
-    values = np.concatenate(parts)
-    many = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n) for m, n in zip(rows["many"], sizes)])
-    _, of, count = np.unique(values, return_inverse=True, return_counts=True)
-    met = (np.bincount(of, many) > 0) | (count > 1)
-    hot = count > hot_chunks
-    out, at = [], 0
-    for chunk, n in zip(rows["chunk"], sizes):
-        own = of[at:at + n]
-        at += n
-        if met[own].any():
-            out.append((chunk, key[0], np.packbits(met[own]).tobytes(), np.packbits(hot[own]).tobytes()))
-    return pd.DataFrame(out, columns=["chunk", "shard", "met", "hot"])
-
-
-def _flags(shard: np.ndarray, flags: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+                shard, low, many, _ = Chunk(row, kind).anchors(route.shards)
+                own = np.full(len(shard), row["chunk"], np.int64)
+                yield _ANCHORS.rows(route.to_shard(shard), route.place(own[:1])[0] if len(own) else 0, shard, own, (low, many))
+
+    return route.carried(chunks.mapInPandas(run, _HOP_ROW), _ANCHORS, route.to_shard)
+
+
+def _met(route: Route, hot_chunks: int):
+    """For the chunks of a shard, which of their anchors another document has, and which of them very many chunks have."""
+    def met(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        shard, chunk, (value, many), _ = _ANCHORS.read(rows["data"])
+        _, of, count = np.unique(value, return_inverse=True, return_counts=True)
+        met = ((np.bincount(of, many) > 0) | (count > 1))[of]
+        hot = (count > hot_chunks)[of]
+        names, of = np.unique(chunk, return_inverse=True)
+        told = (np.bincount(of, met, len(names)) > 0)[of]  # a chunk with none of them is not told
+        return _FLAGS.rows(route.to_chunk(chunk[told]), key[0], chunk[told], shard[told], (met[told], hot[told]))
+
+    return met
+
+
+def _flags(shard: np.ndarray, rows) -> tuple[np.ndarray, np.ndarray]:
+    """For the anchors of a chunk, by shard as ``Chunk.anchors`` gives them, what the shards told of them."""
     met, hot = np.zeros(len(shard), bool), np.zeros(len(shard), bool)
-    for s, m, h in zip(flags["shard"], flags["met"], flags["hot"]):
-        a, b = np.searchsorted(shard, [s, s + 1])
-        met[a:b] = np.unpackbits(np.frombuffer(m, np.uint8), count=b - a).astype(bool)
-        hot[a:b] = np.unpackbits(np.frombuffer(h, np.uint8), count=b - a).astype(bool)
+    if len(rows):
+        _, told, (m, h), _ = _FLAGS.read(rows)
+        order, at = np.argsort(told, kind="stable"), np.isin(shard, told)
+        met[at], hot[at] = m[order], h[order]
     return met, hot
 
 
-def _deal(kind: Units, shards: int):
+def _deal(kind: Units, route: Route, parcel: Parcel):
     def deal(chunk: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(chunk) and len(flags):
-            row = chunk.iloc[0]
-            c = Chunk(row, kind)
-            shard, _, _, of = c.anchors(shards)
-            _, _, _, first, count, key, low, high, to = c.strings(shards, *_flags(shard, flags), of)
-            order = np.argsort(to, kind="stable")
-            cuts = np.flatnonzero(np.diff(to[order], prepend=-1, append=-1)) if len(order) else []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                at = order[a:b]
-                units = c.units[_ranges(first[at], count[at] + kind.length - 1)]
-                out.append((int(to[at[0]]), row["chunk"],
-                            _pack(at.astype("<u4"), key[at].astype("<u4"), count[at].astype("<u4"), low[at], high[at], units)))
-        return pd.DataFrame(out, columns=["shard", "chunk", "strings"])
+        if not len(chunk) or not len(flags):
+            return pd.DataFrame([], columns=["hop", "part", "data"])
+        c = Chunk(chunk.iloc[0], kind)
+        shard, _, _, of = c.anchors(route.shards)
+        _, _, _, first, count, key, low, high, to = c.strings(route.shards, *_flags(shard, flags["data"]), of)
+        own = np.full(len(to), chunk["chunk"].iloc[0], np.int64)
+        values = (np.arange(len(to)), key, low, high, count + kind.length - 1)
+        return parcel.rows(route.to_shard(to), route.place(own[:1])[0] if len(own) else 0, to, own, values, c.units, first)
 
     return deal
 
@@ -312,14 +398,10 @@ def _window_classes(kind: Units, units: np.ndarray, starts: np.ndarray, counts:
     return of[at], windows[at] - starts[of[at]], np.diff(np.append(at, len(windows))), least[at]
 
 
-def _settle(kind: Units, unit_kind: str):
+def _settle(kind: Units, route: Route, parcel: Parcel):
     def settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(x, "<u4", "<u4", "<u4", "<i8", "<i8", unit_kind) for x in rows["strings"]]
-        source = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-        index, anchor, count, low, high, units = (np.concatenate(x) for x in zip(*parts))
-        del parts
-        count = count.astype(np.int64)
-        length = count + kind.length - 1
+        shard, source, (index, anchor, low, high, length), units = parcel.read(rows["data"])
+        count = length - kind.length + 1
         start = np.cumsum(length) - length
         hashes = _distinct_hashes(units, start, length)
         order = np.lexsort([hashes, anchor])
@@ -354,26 +436,24 @@ def _settle(kind: Units, unit_kind: str):
         run = _ranges(first[of], times)
         news = m[run] < high[member]  # else no document of the chunk has a greater id
         member, run = member[news], run[news]
-        ends = np.searchsorted(source[member], np.arange(len(rows) + 1))
-        out = [(chunk, key[0], _pack(index[member[a:b]].astype("<u4"), s[run[a:b]].astype("<u4"), n[run[a:b]].astype("<u4"), m[run[a:b]]))
-               for chunk, a, b in zip(rows["chunk"], ends[:-1], ends[1:]) if b > a]
-        return pd.DataFrame(out, columns=["chunk", "shard", "runs"])
+        return _RUNS.rows(route.to_chunk(source[member]), key[0], source[member], shard[member],
+                          (index[member], s[run], n[run], m[run]))
 
     return settle
 
 
-def _mark(kind: Units, shards: int, measure: Callable[[Chunk, np.ndarray], pd.DataFrame]):
+def _mark(kind: Units, route: Route, measure: Callable[[Chunk, np.ndarray], pd.DataFrame]):
     def mark(chunk: pd.DataFrame, notes: pd.DataFrame) -> pd.DataFrame:
         c = Chunk(chunk.iloc[0], kind)
         edge = np.zeros(len(c.units) + 1, np.int32)
-        flags, runs = notes[notes["met"].notna()], notes["runs"].dropna()
+        flags, runs = notes["data"][~notes["settled"].astype(bool)], notes["data"][notes["settled"].astype(bool)]
         if len(runs):
-            shard, _, _, of = c.anchors(shards)
-            place, doc, of, *_ = c.strings(shards, *_flags(shard, flags), of)
+            shard, _, _, of = c.anchors(route.shards)
+            place, doc, of, *_ = c.strings(route.shards, *_flags(shard, flags), of)
             order = np.argsort(of, kind="stable")
             first = np.searchsorted(of[order], np.arange(int(of.max()) + 2))
             for raw in runs:
-                index, start, count, least = (x.astype(np.int64) for x in _unpack(raw, "<u4", "<u4", "<u4", "<i8"))
+                index, start, count, least = (x.astype(np.int64) for x in _RUNS.read([raw])[2])
                 times = first[index + 1] - first[index]
                 at, run = order[_ranges(first[index], times)], np.repeat(np.arange(len(index)), times)
                 hit = least[run] < doc[at]
@@ -390,13 +470,20 @@ def repeated_windows(docs: DataFrame, kind: Units, unit_kind: str, measure: Call
     """``measure`` of every chunk, given which of its units lie in a window that a document with a smaller id has."""
     spark = docs.sparkSession
     chunks = written(chunk_rows(docs, id_col, text_col, kind.sizes.chunk), "chunks", "uncompressed")
-    shards = shards_for(chunks.count() * kind.sizes.chunk, kind.sizes.shard_bytes)
-    flags = written(_anchor_rows(chunks, kind, shards).groupBy("shard").applyInPandas(
-        lambda key, rows: _met(key, rows, kind.sizes.hot_chunks), "chunk long, shard int, met binary, hot binary"), "anchors", "uncompressed")
-    dealt = chunks.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInPandas(
-        _deal(kind, shards), "shard int, chunk long, strings binary")
-    runs = written(dealt.groupBy("shard").applyInPandas(
-        _settle(kind, unit_kind), "chunk long, shard int, runs binary"), "runs", "uncompressed")
+    n = chunks.count()
+    route = Route.between(n, shards_for(n * kind.sizes.chunk, kind.sizes.shard_bytes), kind.sizes.fan)
+    parcel = _strings(unit_kind)
+    by_chunk = chunks.repartition(route.tasks, "chunk").groupBy("chunk")
+
+    def of_each(rows: DataFrame):
+        return rows.repartition(route.tasks, "hop").groupBy("hop")
+
+    met = of_each(_anchor_rows(chunks, kind, route)).applyInPandas(_met(route, kind.sizes.hot_chunks), _HOP_ROW)
+    flags = written(route.carried(met, _FLAGS, route.to_chunk), "anchors", "uncompressed")
+    release(spark)
+    dealt = by_chunk.cogroup(of_each(flags)).applyInPandas(_deal(kind, route, parcel), _HOP_ROW)
+    settled = of_each(route.carried(dealt, parcel, route.to_shard)).applyInPandas(_settle(kind, route, parcel), _HOP_ROW)
+    runs = written(route.carried(settled, _RUNS, route.to_chunk), "runs", "uncompressed")
     release(spark)
-    notes = flags.unionByName(runs, allowMissingColumns=True)
-    return chunks.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInPandas(_mark(kind, shards, measure), schema)
+    notes = flags.withColumn("settled", F.lit(False)).unionByName(runs.withColumn("settled", F.lit(True)))
+    return by_chunk.cogroup(of_each(notes)).applyInPandas(_mark(kind, route, measure), schema)
