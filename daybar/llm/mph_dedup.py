@@ -29,8 +29,8 @@ KEYS_PER_SHARD = 1 << 12   # digests in one index row: about 250 kB with locator
 _SPREAD = 2                # bits of a level for each key still open
 _WHITE = r"[\x20\x09-\x0D]+"
 
-_INDEX = "shard int, sizes array<int>, bits array<binary>, digests binary, winners binary, rows binary, counts binary"
-_GROUP = "digest binary, keep_id long, keep_row long, group_size long"
+_INDEX = "shard int, sizes array<int>, bits array<binary>, digests binary, winners binary, nulls binary, rows binary, counts binary"
+_GROUP = "digest binary, keep_id long, keep_null boolean, keep_row long, group_size long"
 
 
 def text_digest(text: Column) -> Column:
@@ -88,6 +88,7 @@ def _index_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     longs = lambda c: rows[c].to_numpy(np.int64)[order].tobytes()
     return pd.DataFrame({"shard": [key[0]], "sizes": [[len(x) for x in levels]], "bits": [packed],
                          "digests": [keys[order].tobytes()], "winners": [longs("keep_id")],
+                         "nulls": [rows["keep_null"].to_numpy(bool)[order].tobytes()],
                          "rows": [longs("keep_row")], "counts": [longs("n")]})
 
 
@@ -108,33 +109,32 @@ def _look_up(index: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
         fresh = ~same
         raw = digests.tobytes()
         out.append(pd.DataFrame({"digest": [raw[i:i + 32] for i in range(0, len(raw), 32)],
-                                 "keep_id": np.frombuffer(row["winners"], np.int64),
+                                 "keep_id": np.frombuffer(row["winners"], np.int64), "keep_null": np.frombuffer(row["nulls"], bool),
                                  "keep_row": np.frombuffer(row["rows"], np.int64), "group_size": counts}))
     if fresh.any():
         own = probes[fresh]
         out.append(pd.DataFrame({"digest": list(own["digest"]), "keep_id": own["keep_id"].to_numpy(np.int64),
-                                 "keep_row": own["keep_row"].to_numpy(np.int64), "group_size": own["n"].to_numpy(np.int64)}))
-    return pd.concat(out) if out else pd.DataFrame({"digest": [], "keep_id": [], "keep_row": [], "group_size": []})
+                                 "keep_null": own["keep_null"].to_numpy(bool), "keep_row": own["keep_row"].to_numpy(np.int64), "group_size": own["n"].to_numpy(np.int64)}))
+    return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("digest", "keep_id", "keep_null", "keep_row", "group_size")})
 
 
 def _combined(rows: DataFrame, shard: Column) -> DataFrame:
     """One row per digest: the winner's locator and the number of rows (partial sums before the shuffle)."""
-    best = F.min(F.struct(F.col("id"), F.col("row")))
+    best = F.min(F.struct("no_id", "id", "row"))  # null ids after all others
     return rows.groupBy("digest").agg(best.alias("w"), F.count(F.lit(1)).alias("n")).select(
-        shard.alias("shard"), "digest", F.col("w.id").alias("keep_id"), F.col("w.row").alias("keep_row"), "n")
+        shard.alias("shard"), "digest", F.col("w.id").alias("keep_id"), F.col("w.no_id").alias("keep_null"), F.col("w.row").alias("keep_row"), "n")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  is_history: Column | None = None, row_col: str | None = None) -> DataFrame:
-    """Every row's locator, digest and group: row, id, digest, keep_id, keep_row, group_size.
+    """Every row's locator, digest and group: row, id, digest, keep_id, keep_row, group_size (ids null where the row has none).
 
     ``row_col`` is a column of unique longs that already names the rows. ``is_history`` marks the rows seen earlier, whose digests the index holds;
     without it the whole table arrives at once into an empty history.
     """
     past = F.coalesce(is_history, F.lit(False)) if is_history is not None else F.lit(False)
-    # A null id sorts after all others as the largest long.
     rows = written(docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
-                               F.coalesce(F.col(id_col), F.lit((1 << 63) - 1)).cast("long").alias("id"),
+                               F.coalesce(F.col(id_col), F.lit(0)).cast("long").alias("id"),
                                F.col(id_col).isNull().alias("no_id"), past.alias("past"),
                                text_digest(F.col(text_col)).alias("digest")), "digests")
     shards = shards_for(rows.count(), KEYS_PER_SHARD)
@@ -142,14 +142,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     index = _combined(rows.where("past"), shard).groupBy("shard").applyInPandas(_index_shard, _INDEX)
     probes = _combined(rows.where("not past"), shard)
     groups = index.groupBy("shard").cogroup(probes.groupBy("shard")).applyInPandas(_look_up, _GROUP)
-    return rows.join(groups, "digest")
+    return rows.join(groups, "digest").withColumn("id", F.when(~F.col("no_id"), F.col("id"))) \
+        .withColumn("keep_id", F.when(~F.col("keep_null"), F.col("keep_id")))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 is_history: Column | None = None) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256."""
     g = exact_groups(docs, id_col, text_col, is_history)
-    none = F.lit((1 << 63) - 1)
-    return g.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col),
-                    F.when(F.col("keep_id") != none, F.col("keep_id")).alias("keep_id"), "group_size",
-                    (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    return g.select(F.col("id").alias(id_col), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
+                    F.lower(F.hex("digest")).alias("text_sha256"))
