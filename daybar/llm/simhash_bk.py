@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybar.llm.components import components
-from daybar.llm.tables import written
+from daybar.llm.tables import shards_for, written
 from daybar.llm.text import as_bytes
 
 SHINGLE, RADIUS = 4, 4
 BLOCKS = (9, 9, 9, 9, 9, 9, 10)  # bits; radius + 3 blocks, of which 3 stay equal
 TREE_SIZE = 2048                 # fingerprints in one tree
+SPREAD = 1 << 13                 # fingerprints that one task turns into rows
 _SEED = 42
 
 
@@ -177,7 +178,9 @@ def near_links(fps: DataFrame, radius: int = RADIUS, blocks: tuple[int, ...] = B
         for i in chosen:
             key = F.shiftleft(key, blocks[i]).bitwiseOR(parts[i])
         keys.append(key)
-    dealt = fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+    # A fingerprint becomes a row for each triple: spread over many tasks first, written once, read for sizes and members.
+    spread = fps.repartition(shards_for(fps.count(), SPREAD), "fp")
+    dealt = written(spread.select("fp", F.explode(F.array(*keys)).alias("key")), "dealt")
     sizes = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = dealt.join(sizes, "key")
     cut = F.ceil(F.col("n") / F.lit(tree_size)).cast("int")
@@ -196,7 +199,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id (the smallest id reachable)."""
     own = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    vertices = own.groupBy("fp").agg(F.min(id_col).alias("least"))
+    vertices = written(own.groupBy("fp").agg(F.min(id_col).alias("least")), "vertices")
     roots = components(near_links(vertices.select("fp"), radius, tree_size=tree_size))
     named = vertices.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
