@@ -70,8 +70,8 @@ def test_word_dedup(docs, empty):
     assert subtree_dedup.dedup_words(empty).count() == 0
 
 
-# Many chunks and shards, anchors that are dealt by single windows, runs that are cut, several batches a shard.
-TINY = repeats.Sizes(chunk=20_000, span=1024, longest_run=32, shard_bytes=60_000, hot_chunks=3, batch_units=2048)
+# Many chunks and shards, anchors that are dealt by single windows, runs that are cut, several batches a shard, several hops.
+TINY = repeats.Sizes(chunk=20_000, span=1024, longest_run=32, shard_bytes=60_000, hot_chunks=3, batch_units=2048, fan=2)
 
 
 @pytest.mark.parametrize("operator", ["bytes", "words"])
@@ -94,6 +94,62 @@ def test_dealing_in_many_small_parts(spark, sf, operator, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
 
 
+def test_rows_of_a_hop_grow_with_the_input(spark, sf):
+    """Four times the documents: four times the rows of each exchange, not sixteen."""
+    one = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    kind = replace(suffix_dedup.KIND, sizes=replace(TINY, shard_bytes=20_000, fan=3))
+    rows = []
+    for times in (1, 4):
+        docs = one.crossJoin(spark.range(times).withColumnRenamed("id", "copy")).select(
+            (F.col("doc_id") * 10 + F.col("copy")).alias("doc_id"), "text")
+        chunks = repeats.written(repeats.chunk_rows(docs.repartition(8 * times), "doc_id", "text", TINY.chunk), "test-chunks")
+        n = chunks.count()
+        route = repeats.Route.between(n, n, 3)
+        assert route.fan <= 3 and route.fan ** route.hops >= n > 8 * times
+        anchors = repeats.written(repeats._anchor_rows(chunks, kind, route), "test-anchors")
+        told = anchors.groupBy("hop").applyInPandas(repeats._met(route, 3), repeats._HOP_ROW)
+        answers = repeats.written(route.carried(told, repeats._FLAGS, route.to_chunk), "test-answers")
+        assert anchors.count() <= n * route.fan and answers.count() <= n * 2 * route.fan * 3
+        assert {r.hop for r in answers.select("hop").distinct().collect()} <= {r.chunk for r in chunks.select("chunk").collect()}
+        rows.append((n, anchors.count(), answers.count()))
+    (n, a, b), (m, c, d) = rows
+    assert m / n > 3 and c / a < 1.5 * m / n and d / b < 1.5 * m / n
+
+
+@pytest.mark.parametrize("shards, most", [(1, 2), (7, 2), (64, 4), (100, 7), (5, 2048)])
+def test_entries_reach_every_shard_and_come_back(spark, shards, most):
+    route = repeats.Route.between(13, shards, most)
+    kind = repeats.Parcel(("<u4", "<i8"), "u1")
+    r = np.random.default_rng(4)
+    sent = [(int(s), c * 1000, k, r.integers(0, 9, r.integers(0, 5)).astype("u1")) for c in range(13) for k, s in enumerate(np.sort(r.integers(0, shards, 30)))]
+    frames = []
+    for c in range(13):
+        own = [x for x in sent if x[1] == c * 1000]
+        to, frm, k = (np.array([x[i] for x in own]) for i in range(3))
+        size = np.array([len(x[3]) for x in own])
+        frames.append(kind.rows(route.to_shard(to), route.place(frm[:1])[0], to, frm, (k, size), np.concatenate([x[3] for x in own]), np.cumsum(size) - size))
+        assert len(frames[-1]) <= route.fan
+    rows = spark.createDataFrame([tuple(x) for f in frames for x in f.itertuples(index=False)], repeats._HOP_ROW)
+    there = route.carried(rows, kind, route.to_shard).collect()
+    got, back = [], []
+    for row in there:
+        to, frm, (k, size), units = kind.read([row.data])
+        assert (to == row.hop).all()
+        ends = np.cumsum(size)
+        own = [(int(t), int(f), int(i), units[e - n:e].tobytes()) for t, f, i, e, n in zip(to, frm, k, ends, size)]
+        for pair in {x[:2] for x in own}:
+            assert [x[2] for x in own if x[:2] == pair] == sorted(x[2] for x in own if x[:2] == pair)
+        got += own
+        back += [tuple(x) for x in kind.rows(route.to_chunk(frm), row.hop, frm, to, (k, size), units, ends - size).itertuples(index=False)]
+    assert sorted(got) == sorted((s, c, k, u.tobytes()) for s, c, k, u in sent)
+    home = []
+    for row in route.carried(spark.createDataFrame(back, repeats._HOP_ROW), kind, route.to_chunk).collect():
+        to, frm, (k, _), _ = kind.read([row.data])
+        assert (to == row.hop).all()
+        home += list(zip(frm.tolist(), to.tolist(), k.tolist()))
+    assert sorted(home) == sorted(x[:3] for x in sent)
+
+
 def thue_morse(n):
     """Two unequal strings whose polynomial hashes modulo 2**64 are equal for every odd base."""
     one = b"a"
@@ -158,6 +214,15 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup(empty).count() == 0
 
 
+def test_the_largest_id_is_an_id(spark):
+    top = (1 << 63) - 1
+    table = spark.createDataFrame([(top, "a"), (None, "a"), (None, "b"), (None, "b"), (0, "c"), (-5, "c")], "doc_id long, text string")
+    for history in (None, F.col("doc_id") > 0):
+        got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup(table, is_history=history).collect()), key=str)
+        want = [(top, top, 2, True), (None, top, 2, False), (None, None, 2, True), (None, None, 2, False), (0, -5, 2, False), (-5, -5, 2, True)]
+        assert got == sorted(want, key=str)
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(2).integers(0, 1 << 63, (5000, 4), dtype=np.uint64)
     levels, slot = build_index(keys)
@@ -427,6 +492,18 @@ def test_packing(docs, empty):
     out = packing.pack(docs, tokens.default_vocabulary(), 1).collect()
     want = sorted(len(slow_ids(t, 1)) for _, t in rows_of(docs))
     assert sorted(r.doc_tokens for r in out if r.start == 0) == want and sum(r.length for r in out) == sum(want)
+    # The pieces of each document lie end to end, and their ids are the library's.
+    pieces = {}
+    for r in out:
+        pieces.setdefault((r.doc_id, r.doc_tokens), []).append((r.start, r.length, r.ids_crc32))
+    for i, t in rows_of(docs):
+        ids = library_ids([t.decode()])[0] + [1]
+        own = [(a, n, crc) for a, n, crc in pieces[i, len(ids)] if zlib.crc32(np.array(ids[a:a + n], "<u4").tobytes()) == crc]
+        reached = 0
+        for a, n in sorted({x[:2] for x in own}):
+            assert a <= reached
+            reached = max(reached, a + n)
+        assert reached == len(ids)
     by = {}
     for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)):
         assert r.offset == by.get(r.sequence_id, 0)
