@@ -36,6 +36,7 @@ from daybar.session import scratch_path
 MAGIC = b"DBR1"
 BLOCK_TOKENS = 1 << 19
 LANES = 4096
+TEXT_BYTES = 4 << 20  # texts encoded at once: their words are looked up once
 CHECKPOINT = 64
 SCALE = 18  # frequencies add up to 2**SCALE, or more where there are too many different ids for that
 _LOW = np.uint64(1 << 31)
@@ -182,7 +183,7 @@ def token_rows(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: i
         part, row, total = TaskContext.get().partitionId(), 0, np.zeros(0, np.int64)
         for batch in batches:
             texts = as_bytes(batch.column(1))
-            for a, b in chunked(texts):
+            for a, b in chunked(texts, TEXT_BYTES):
                 ids = [x + tail for x in tokens.encode([t.decode() for t in texts[a:b]], path)]
                 own = np.bincount(np.frombuffer(b"".join(ids), np.uint32))
                 total = np.pad(total, (0, max(0, len(own) - len(total))))

@@ -462,6 +462,33 @@ def test_added_tokens_keep_their_ids():
     assert got[0] == [87, 220, 50256, 331] and got == library_ids(texts)
 
 
+def test_new_words_go_to_the_library_together(monkeypatch):
+    path, calls = tokens.default_vocabulary(), []
+    model = tokens._Model(path)
+    one_by_one = model.letters
+    monkeypatch.setitem(tokens._models, path, model)
+    monkeypatch.setattr(model, "letters", lambda lead, word: calls.append(word) or one_by_one(lead, word))
+    r = np.random.default_rng(8)
+    words = ["".join(r.choice(list("abcdeéöß"), r.integers(1, 12))) for _ in range(3000)]
+    texts = [" ".join(w + r.choice(["", "", ",", "...", "!?"]) for w in words[k:k + 300]) for k in range(0, 3000, 300)]
+    got = tokens.encode(texts, path)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == library_ids(texts)
+    assert len(calls) <= len(texts) + 5  # the first word of each text; one by one it is nearly every word
+
+
+def test_words_beside_marks_lines_and_control_characters(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 40)  # several generations
+    monkeypatch.setattr(tokens, "_models", {})
+    r = np.random.default_rng(9)
+    words = ["a", "Word", "word,", "word,,", "12.5%,", "12.5%", "12.5", "\x01a", "\x00", "\x02.", "é!", "ж.", "漢,", "½:", "'s", "it's!", "...", ",", "%a%", "Ġx", "Ċ", "ª.", "ɐ.",
+             *("".join(r.choice(list("abcdeé"), 5)) for _ in range(60))]
+    texts = ["".join(r.choice(words) + r.choice([" ", " ", "\n"]) for _ in range(n)) + "z" for n in r.integers(0, 30, 1500)]
+    for _ in range(2):
+        got = [g for k in range(0, len(texts), 100) for g in tokens.encode(texts[k:k + 100], tokens.default_vocabulary())]
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == library_ids(texts)
+    assert set(tokens._OTHER_SPACE) == {c for c in map(chr, range(0x110000)) if c.isspace()} - {" ", "\n"}
+
+
 def test_coded_blocks(docs, empty):
     out = rans.coded_documents(docs, tokens.default_vocabulary(), 0).orderBy("start").collect()
     rows = sorted(rows_of(docs), key=lambda r: (r[0] is not None, r[0] or 0))
