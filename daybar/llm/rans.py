@@ -79,17 +79,20 @@ class Table:
 def encode_words(ids: np.ndarray, table: Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words, the lanes' last states, and at each checkpoint the states and the place in the words."""
     steps = -(-len(ids) // LANES)
+    at = ids.astype(np.intp)
+    room, rest = np.uint64(63 - table.scale), np.uint64(1 << table.scale) - table.freq
     state = np.full(LANES, _LOW, np.uint64)
     words, marks, sizes = [], [], []
     for t in range(steps - 1, -1, -1):
-        s = ids[t * LANES:(t + 1) * LANES]
+        s = at[t * LANES:(t + 1) * LANES]
         x = state[:len(s)]
-        f, c = table.freq[s], table.start[s]
-        full = x >= f << np.uint64(63 - table.scale)
-        words.append(x[full].astype(np.uint32))
-        x = np.where(full, x >> np.uint64(32), x)
-        q = x // f
-        state[:len(s)] = (q << np.uint64(table.scale)) + (x - q * f) + c
+        f = table.freq.take(s)
+        full = np.flatnonzero(x >= f << room)
+        moved = x[full]
+        words.append(moved.astype(np.uint32))
+        x[full] = moved >> np.uint64(32)
+        x += x // f * rest.take(s)
+        x += table.start.take(s)
         if t and t % CHECKPOINT == 0:
             marks.append(state.copy())
             sizes.append(sum(map(len, words)))
@@ -103,19 +106,21 @@ def decode_words(words: np.ndarray, state: np.ndarray, at: int, first: int, n: i
     """Ids ``first`` (a multiple of LANES) up to n, from the states and the place in the words that hold there."""
     out = np.empty(n - first, np.uint32)
     state = state.copy()
-    mask = np.uint64((1 << table.scale) - 1)
+    scale, mask = np.uint64(table.scale), np.uint64((1 << table.scale) - 1)
     for i in range(first, n, LANES):
         m = min(LANES, n - i)
         x = state[:m]
         slot = x & mask
-        s = table.symbol[slot]
-        x = table.freq[s] * (x >> np.uint64(table.scale)) + slot - table.start[s]
-        low = x < _LOW
-        k = int(low.sum())
-        x[low] = x[low] << np.uint64(32) | words[at:at + k]
-        at += k
-        state[:m] = x
+        s = table.symbol.take(slot.view(np.int64))
         out[i - first:i - first + m] = s
+        s = s.astype(np.intp)
+        x >>= scale
+        x *= table.freq.take(s)
+        x += slot
+        x -= table.start.take(s)
+        low = np.flatnonzero(x < _LOW)
+        x[low] = x[low] << np.uint64(32) | words[at:at + len(low)]
+        at += len(low)
     return out
 
 
